@@ -110,12 +110,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]] if len(column) else whole[:0], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
-    """Cut a batch so that each slice holds about ``most`` bytes of ``column``, one row at least."""
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20, rows: int = 4096):
+    """Cut a batch so that each slice holds about ``most`` bytes of ``column``, one row at least and ``rows`` at most."""
     lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(lengths):
-        if i > start and held + n > most:
+        if i > start and (held + n > most or i - start >= rows):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(n)

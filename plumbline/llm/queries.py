@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from plumbline.llm.packing import op5_best_fit_packing
-from plumbline.llm.token_binary import op1_token_binary
+from plumbline.llm import decontamination, language_id, line_dedup, packing, secret_scan, token_binary
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_binary, op5_best_fit_packing)}
+    found = (
+        token_binary.op1_token_binary,
+        secret_scan.op2_secret_scan,
+        language_id.op3_language_id,
+        line_dedup.op4_line_dedup,
+        packing.op5_best_fit_packing,
+        decontamination.op9_benchmark_decontamination,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_secret_scan": secret_scan.ORACLE_SQL,
+        "op4_line_dedup": line_dedup.ORACLE_SQL,
+        "op9_benchmark_decontamination": decontamination.ORACLE_SQL,
+    }
