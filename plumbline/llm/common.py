@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,7 +113,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20, rows: int = 4096):
     """Cut a batch so that each slice holds about ``most`` bytes of ``column``, one row at least and ``rows`` at most."""
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(lengths):
         if i > start and (held + n > most or i - start >= rows):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import decontamination, language_id, line_dedup, packing, secret_scan, token_binary
+from plumbline.llm import decontamination, language_id, line_dedup, packing, secret_scan, token_binary, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         language_id.op3_language_id,
         line_dedup.op4_line_dedup,
         packing.op5_best_fit_packing,
+        toxicity.op6_toxicity,
         decontamination.op9_benchmark_decontamination,
     )
     return {f.__name__: f for f in found}

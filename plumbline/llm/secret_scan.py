@@ -184,7 +184,7 @@ raw AS ({rows}),
 placed AS (SELECT doc_id, n, kind, m, v, g, least, unnest(range(1, len(m) + 1)) AS i FROM raw WHERE len(m) > 0),
 found AS (
   SELECT doc_id, n, kind, least, v[i] AS v,
-    CAST(list_sum(list_transform(g[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS BIGINT) AS s, length(m[i]) AS l
+    CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s, length(m[i]) AS l
   FROM placed),
 base AS (SELECT doc_id, n, kind, s, s + l AS e FROM found WHERE n < {len(KINDS)} AND length(v) >= least),
 cand AS (
@@ -193,7 +193,7 @@ cand AS (
 win AS (SELECT doc_id, s, v, most, unnest(range(0, length(v) - {WINDOW} + 1)) AS i FROM cand),
 sums AS (
   SELECT doc_id, s, i, most, list_sum(list_transform(list_distinct(string_split(substring(v, i + 1, {WINDOW}), '')),
-    c -> {_TABLE}[1 + {WINDOW} - length(replace(substring(v, i + 1, {WINDOW}), c, ''))])) AS total FROM win),
+    lambda c: {_TABLE}[1 + {WINDOW} - length(replace(substring(v, i + 1, {WINDOW}), c, ''))])) AS total FROM win),
 hot AS (SELECT doc_id, {len(KINDS)} AS n, 'entropy' AS kind, s + min(i) AS s, s + max(i) + {WINDOW} AS e FROM sums WHERE total <= most GROUP BY doc_id, sums.s),
 spans AS (SELECT * FROM base UNION ALL SELECT * FROM hot),
 out AS (
