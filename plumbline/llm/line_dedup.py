@@ -50,7 +50,7 @@ def repeated(rows: DataFrame) -> DataFrame:
     """Rows whose name another row has too, with the first copy of the group."""
     place = F.struct("__id", "pos", "__h1", "__h2")
     groups = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first")).where("copies > 1")
-    return rows.join(groups, ["a", "b"])
+    return rows.join(groups.hint("merge"), ["a", "b"])  # one plan at every size
 
 
 def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES) -> DataFrame:
@@ -60,7 +60,7 @@ def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES)
     while depth < min_lines:
         step = min(depth, min_lines - depth)  # the last round overlaps where min_lines is no power of two
         right = current.select(*KEY, (F.col("pos") - step).alias("pos"), F.col("last").alias("last2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
-        pairs = current.alias("l").join(right.alias("r"), _same("l", "r") & (F.col("l.pos") == F.col("r.pos")))
+        pairs = current.alias("l").join(right.hint("merge").alias("r"), _same("l", "r") & (F.col("l.pos") == F.col("r.pos")))
         depth += step
         named = pairs.select(*[f"l.{c}" for c in KEY], "l.pos", "l.line", F.col("r.last2").alias("last"), F.xxhash64("l.a", "r.a2", "l.b").alias("a"), F.xxhash64("l.b", "r.b2", "r.a2").alias("b"))
         current = ws.stage(named if depth >= min_lines else repeated(named).drop("copies", "first"), f"depth{depth}")
@@ -89,7 +89,7 @@ def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, id_col: str = "d
 
     runs = ws.stage(runs.select(*KEY, F.aggregate("w", start, merge).alias("__runs")), "runs")
     keyed = docs.select("*", F.col(id_col).alias("__id"), *_key(F.col(text_col))).alias("l")
-    out = keyed.join(runs.alias("r"), _same("l", "r"), "left").select("l.*", "r.__runs")
+    out = keyed.join(runs.hint("merge").alias("r"), _same("l", "r"), "left").select("l.*", "r.__runs")
     kept = F.filter(_lines(F.col(text_col)), lambda x, i: ~F.exists("__runs", lambda r: (r["line"] <= i) & (i <= r["last"])))
     others = [c for c in docs.columns if c != text_col]
     return out.select(*others, F.size(_lines(F.col(text_col))).alias("n_lines"), F.coalesce("__runs", start).alias("runs"), F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col))
