@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -51,6 +52,11 @@ class Workspace:
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def release(self) -> None:
+        """Let executors delete shuffle files of plans that nobody holds any more."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def _forget(self) -> None:
         try:
             self.drop()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import decontamination, embedding_dedup, language_id, line_dedup, packing, secret_scan, token_binary, toxicity
+from plumbline.llm import decontamination, embedding_dedup, language_id, line_dedup, ngram_join, packing, secret_scan, token_binary, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         line_dedup.op4_line_dedup,
         packing.op5_best_fit_packing,
         toxicity.op6_toxicity,
+        ngram_join.op7_ngram_jaccard,
         embedding_dedup.op8_embedding_dedup,
         decontamination.op9_benchmark_decontamination,
     )
@@ -23,6 +24,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_secret_scan": secret_scan.ORACLE_SQL,
         "op4_line_dedup": line_dedup.ORACLE_SQL,
+        "op7_ngram_jaccard": ngram_join.ORACLE_SQL,
         "op8_embedding_dedup": embedding_dedup.ORACLE_SQL,
         "op9_benchmark_decontamination": decontamination.ORACLE_SQL,
     }
