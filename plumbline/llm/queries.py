@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import decontamination, embedding_dedup, language_id, line_dedup, ngram_join, packing, secret_scan, token_binary, toxicity
+from plumbline.llm import decontamination, embedding_dedup, language_id, line_dedup, ngram_join, packing, secret_scan, token_binary, toxicity, window_dedup
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         ngram_join.op7_ngram_jaccard,
         embedding_dedup.op8_embedding_dedup,
         decontamination.op9_benchmark_decontamination,
+        window_dedup.op10_window_dedup,
     )
     return {f.__name__: f for f in found}
 
