@@ -105,8 +105,8 @@ def merge(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, k: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Each document's number of words, hit runs of words and items; ``keep`` carries columns along."""
+def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, k: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, keep_prefix: str = "", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Each document's number of words, hit runs of words and items; ``keep`` carries columns along, named with ``keep_prefix``."""
     spark = docs.sparkSession
     ws = Workspace(spark, "decontamination")
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
@@ -137,7 +137,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, k: int = 5,
         if b + 1 < blocks:
             rows = ws.stage(rows, f"pass{b}")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s[1] - s[0]))
-    return rows.select("doc_id", *[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)], "n_words", n_hit.alias("n_hit"), "spans", "items")
+    return rows.select("doc_id", *[F.col(f"__keep{i}").alias(keep_prefix + c) for i, c in enumerate(keep)], "n_words", n_hit.alias("n_hit"), "spans", "items")
 
 
 def contaminated(share: int = 20):

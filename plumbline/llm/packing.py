@@ -246,7 +246,8 @@ def pack(docs: DataFrame, *, capacity: int = 2048, end_id: int = 0, id_col: str
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(seq), pa.array(offset)], names=[*kept, "sequence_id", "offset"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank")
-    return ranked.mapInArrow(assign, f"{schema}, sequence_id long, offset long")
+    out = ranked.mapInArrow(assign, f"{schema}, sequence_id long, offset long")
+    return out.select("doc_id", "piece", "start", "length", "sequence_id", "offset", *extra)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
