@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def significant(x: Column, digits: int = 4) -> Column:
     """Rounded to ``digits`` significant figures; 0 stays 0."""
-    return F.format_string(f"%.{digits - 1}e", x.cast("double")).cast("double")
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits - 1}e", x.cast("double")).try_cast("double"))
 
 
 def finite(x: Column, digits: int = 6) -> Column:

@@ -18,7 +18,8 @@ def long_scores(df: DataFrame, key: str, scorer: str, metrics: dict[str, str]) -
 def item_json(scores: DataFrame) -> DataFrame:
     """One JSON object an item: scorer -> metric -> score."""
     per = scores.groupBy("item", "scorer").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "score")))).alias("m"))
-    return per.groupBy("item").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("scorer", "m"))))).alias("json"))
+    by_name = lambda a, b: F.when(a["scorer"] < b["scorer"], -1).when(a["scorer"] > b["scorer"], 1).otherwise(0)  # noqa: E731  maps have no order
+    return per.groupBy("item").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("scorer", "m")), by_name))).alias("json"))
 
 
 def write(scores: DataFrame, meta: DataFrame | None, path: str) -> None:

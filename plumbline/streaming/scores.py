@@ -13,15 +13,20 @@ def score_stream(stream: DataFrame, scores: dict[str, Column]) -> DataFrame:
     return stream.withColumns(scores)
 
 
+def _timed(stream: DataFrame, time: str) -> DataFrame:
+    """Watermarks need an instant; local timestamps of a stream count as session time."""
+    return stream.withColumn(time, F.col(time).cast("timestamp")) if stream.isStreaming else stream
+
+
 def drop_replays(stream: DataFrame, key: str, time: str, late: str = "1 hour") -> DataFrame:
     """At-least-once sources: one row a key within the watermark."""
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+    return _timed(stream, time).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
 def windowed(stream: DataFrame, time: str, value: str, by: list[str], length: str = "1 hour", late: str = "1 hour") -> DataFrame:
     """Count, mean, least and largest value of each window and group."""
     w = F.window(time, length)
-    out = stream.withWatermark(time, late).groupBy(w, *by).agg(F.count(F.lit(1)).alias("num"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
+    out = _timed(stream, time).withWatermark(time, late).groupBy(w, *by).agg(F.count(F.lit(1)).alias("num"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
     return out.select(F.col("window.start").alias("window_start"), *by, "num", "mean", "min", "max")
 
 
