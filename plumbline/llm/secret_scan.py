@@ -120,7 +120,10 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         made = F.transform(column, lambda m: F.struct(m["start"].alias("start"), F.lit(number).alias("n"), m["end"].alias("end"), F.lit(kind).alias("kind")))
         return F.coalesce(made, F.array().cast("array<struct<start:bigint,n:int,end:bigint,kind:string>>"))
 
-    base = F.concat(*[spans(k, i, F.filter(F.col(k), lambda m, least=least: F.length(m["value"]) >= least)) for i, (k, (_, _, least)) in enumerate(KINDS.items())])
+    def long_enough(kind: str, least: int) -> Column:
+        return F.filter(F.col(kind), lambda m: F.length(m["value"]) >= least)
+
+    base = F.concat(*[spans(k, i, long_enough(k, least)) for i, (k, (_, _, least)) in enumerate(KINDS.items())])
     df = df.withColumn("base", base)
     wanted = F.filter("candidate", lambda m: ~F.exists("base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])) & ~F.lit(False).__or__(_any(m["value"])))
     df = df.withColumn("wanted", F.when(F.size("candidate") > 0, wanted))
