@@ -337,11 +337,11 @@ def mean_vectors(spark, sf_dir):
     return vectors.mean_vector(read(spark, sf_dir, "embeddings"), "label").select("label", "i", r6("mu").alias("mu"))
 
 
-@query(f"""WITH {_E}, f AS (SELECT vec_id, unnest(range(0, 8)) AS i, unnest(v[1:8]) AS x FROM e)
+@query(f"""WITH {_E}, f AS (SELECT vec_id, unnest(range(0, len(v))) AS i, unnest(v) AS x FROM e)
 SELECT CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(covar_samp(a.x, b.x), 6) AS cov FROM f a JOIN f b ON a.vec_id = b.vec_id WHERE a.i <= b.i GROUP BY a.i, b.i""")
-def covariance_corner(spark, sf_dir):
+def covariance_matrix(spark, sf_dir):
     _, cov = vectors.moments(read(spark, sf_dir, "embeddings"))
-    rows = [(i, j, round(float(cov[i, j]), 6)) for i in range(8) for j in range(i, 8)]
+    rows = [(i, j, round(float(cov[i, j]), 6)) for i in range(len(cov)) for j in range(i, len(cov))]
     return spark.createDataFrame(rows, "i int, j int, cov double")
 
 
@@ -373,11 +373,11 @@ def vendi_embedding(spark, sf_dir):
     return spark.createDataFrame([(round(vectors.vendi(read(spark, sf_dir, "embeddings")), 2),)], "vendi double")
 
 
-@query(f"""WITH {_E}, f AS (SELECT vec_id, unnest(range(0, 8)) AS i, unnest(list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))[1:8]) AS x FROM e)
+@query(f"""WITH {_E}, f AS (SELECT vec_id, unnest(range(0, len(v))) AS i, unnest(list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))) AS x FROM e)
 SELECT CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(sum(a.x * b.x) / (SELECT count(*) FROM e), 6) AS g FROM f a JOIN f b ON a.vec_id = b.vec_id WHERE a.i <= b.i GROUP BY a.i, b.i""")
 def vendi_gram(spark, sf_dir):
     n, _, g = vectors.second_moments(read(spark, sf_dir, "embeddings").select(vector.normalise(F.col("embedding")).alias("embedding")))
-    return spark.createDataFrame([(i, j, round(float(g[i, j] / n), 6)) for i in range(8) for j in range(i, 8)], "i int, j int, g double")
+    return spark.createDataFrame([(i, j, round(float(g[i, j] / n), 6)) for i in range(len(g)) for j in range(i, len(g))], "i int, j int, g double")
 
 
 @query(f"""WITH {_E}, u AS (SELECT vec_id, list_transform(range(0, 4), lambda k: v[k * 16 + 1:k * 16 + 16]) AS t FROM e), n AS (SELECT vec_id, list_transform(t, lambda x: list_transform(x, lambda y: y / sqrt(list_dot_product(x, x)))) AS t FROM u),

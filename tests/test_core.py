@@ -204,3 +204,33 @@ def test_queries_have_stable_columns(spark):
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
     for name in ("filter_by_label", "sub_path_totals", "json_fields"):
         assert catalog.queries()[name](spark, SF).count() > 0
+
+
+def test_configured_run(spark, tmp_path):
+    from plumbline import cli, sinks
+
+    (tmp_path / "in.jsonl").write_text('{"id": 1, "text": "a b c d e f"}\n{"id": 2, "text": "mail x@y.org now"}\n')
+    cfg = {"data": {"path": str(tmp_path / "in.jsonl"), "key": "id"}, "output": str(tmp_path / "out"), "scorers": {"NgramScorer": {"ngrams": 2}, "PresidioScorer": {}, "LangkitScorer": {"metrics_to_keep": {"LangkitLetterCountScore": False}}}}
+    (tmp_path / "c.json").write_text(json.dumps(cfg))
+    cli.run(spark, cli.Config.load(str(tmp_path / "c.json")))
+    got = {r.item: json.loads(r.json) for r in spark.read.json(str(tmp_path / "out/items")).collect()}
+    assert got[1]["NgramScorer"] == {"NgramScore": 1.0} and got[2]["PresidioScorer"] == {"PresidioScore": 1.0}
+    assert "LangkitLetterCountScore" not in got[1]["LangkitScorer"] and got[1]["LangkitScorer"]["LangkitLexiconCountScore"] == 6.0
+    assert sinks.is_published(spark, str(tmp_path / "out/items"))
+    cfg["scorers"] = {"Unknown": {}}
+    (tmp_path / "c.json").write_text(json.dumps(cfg))
+    with pytest.raises(KeyError):
+        cli.Config.load(str(tmp_path / "c.json"))
+
+
+def test_sinks(spark, tmp_path):
+    from plumbline import sinks
+
+    rows = table(spark, [("a", 1, True, [1]), ("a", 2, False, []), ("b", 3, None, [2, 3])], "route string, k int, bad boolean, v array<int>")
+    counts = {r.route: (r.rows, r.dropped) for r in sinks.write_routed(rows, str(tmp_path / "r"), "route", F.col("bad"), {"k": F.col("k")}).collect()}
+    assert counts == {"a": (1, 1), "b": (1, 0), "_": (2, 1)}
+    assert spark.read.json(str(tmp_path / "r")).count() == 2
+    sinks.write_attribute(rows, str(tmp_path / "v"), "route", "k", "v")
+    assert sorted((r.k, r.len, r.off) for r in spark.read.parquet(str(tmp_path / "v")).collect()) == [(1, 1, 0), (2, 0, 1), (3, 2, 0)]
+    p = table(spark, [("x/y.jsonl.gz",)], "p string")
+    assert p.select(sinks.output_name(F.col("p"))).first()[0] == "y_output.json"
