@@ -8,8 +8,8 @@ the toxic one; the bytes saved are the distance.  Savings of all windows give th
 numbers a text (largest, sum, count above a threshold) and a logistic curve, fitted on
 texts that the dictionaries have not seen, turns them into a score.
 
-Training reads at most ``per_class`` labelled texts a class (a bounded sample by hash of
-the id, a documented parameter), each whole; scoring reads every whole text.
+Training reads about ``per_class`` toxic and twice as many ordinary labelled texts (a
+bounded sample by hash of the id, a documented parameter), each whole; scoring reads every whole text.
 
 Edge cases: null and empty texts are one empty window and get the low score of a text
 without savings; without labelled rows, or with one class only, scores are 0; null
@@ -36,6 +36,8 @@ WINDOW, STRIDE, GRAM = 64, 48, 6
 SAVED = 2
 #: Predicted toxic from this score on.
 THRESHOLD = 0.7
+#: A toxic row weighs as much as this many ordinary ones when the curve is fitted.
+TOXIC_WEIGHT = 2.0
 
 _BETWEEN = re.compile(rb"[^a-z0-9\x80-\xff]+")
 
@@ -82,22 +84,25 @@ def segments(toxic: list[bytes], ordinary: list[bytes], *, most: int = 256, leas
     """Greedy cover: strings that mark toxic samples and that ordinary ones lack, best first."""
     holds: dict[bytes, set[int]] = {}
     df = Counter(g for t in toxic for g in {t[i : i + GRAM] for i in range(len(t) - GRAM + 1)})
-    least = max(3, round(0.004 * len(toxic)))
+    least = max(3, round(0.02 * len(toxic)))
     df = {g: n for g, n in df.items() if n >= least}
-    seen = Counter(g for t in ordinary for g in {t[i : i + GRAM] for i in range(len(t) - GRAM + 1)} if g in df)
+    seen: Counter = Counter()
+    for t in ordinary:
+        seen.update(df.keys() & {t[i : i + GRAM] for i in range(len(t) - GRAM + 1)})
     nt, no = len(toxic), max(1, len(ordinary))
 
     def marks(g: bytes) -> bool:
         rate, other = df[g] / nt, (seen[g] + 0.5) / no
         expected = nt * (seen[g] + 1) / no
-        return rate >= least_precision * (rate + other) and df[g] - expected > 5 * (expected + 1) ** 0.5
+        return rate >= least_precision * (rate + other) and df[g] - expected > 3.5 * (expected + 1) ** 0.5
 
     good = {g for g in df if marks(g)}
     left = dict(enumerate(toxic))
+    spots = {k: [i for i in range(len(t) - GRAM + 1) if t[i : i + GRAM] in good] for k, t in left.items()}
 
     def note(k: int) -> None:
-        for g in {left[k][i : i + GRAM] for i in range(len(left[k]) - GRAM + 1)} & good:
-            holds.setdefault(g, set()).add(k)
+        for i in spots[k]:
+            holds.setdefault(left[k][i : i + GRAM], set()).add(k)
 
     for k in left:
         note(k)
@@ -111,9 +116,10 @@ def segments(toxic: list[bytes], ordinary: list[bytes], *, most: int = 256, leas
         chosen.append(longer)
         for k in list(holds[g]):  # what a chosen segment covers no longer speaks for others
             covered[k] += 1
-            for h in {left[k][i : i + GRAM] for i in range(len(left[k]) - GRAM + 1)} & good:
-                holds[h].discard(k)
+            for i in spots[k]:
+                holds[left[k][i : i + GRAM]].discard(k)
             left[k] = left[k].replace(longer, b"\x00" * len(longer)).replace(g, b"\x00" * len(g))
+            spots[k] = [i for i in spots[k] if left[k][i : i + GRAM] in good]
             note(k)
         holds = {h: ks for h, ks in holds.items() if ks and h != g}
     return list(dict.fromkeys(chosen))
@@ -141,8 +147,12 @@ def dictionaries(pairs: list[tuple[str, int]]) -> Model:
     return Model(known, b"\x00".join([b"", *segments(toxic, ordinary)[::-1], b""]) + b"\x00" * 8, [])
 
 
-def learn(texts: list[str], labels: list[int]) -> Model:
-    """Dictionaries from all distinct texts; the curve from texts scored by the other half's dictionaries."""
+def learn(texts: list[str], labels: list[int], toxic_share: float | None = None) -> Model:
+    """Dictionaries from all distinct texts; the curve from texts scored by the other half's dictionaries.
+
+    ``toxic_share`` is the share of toxic rows among all labelled ones; the curve weighs
+    the sample back to it.
+    """
     pairs = sorted(set(zip(texts, labels)), key=lambda p: (zlib.crc32(p[0].encode("utf-8", "replace")), p))
     if min(Counter(y for _, y in pairs).values(), default=0) < 2 or len({y for _, y in pairs}) < 2:
         return Model(b" " * 8, b" " * 8, [])
@@ -150,11 +160,13 @@ def learn(texts: list[str], labels: list[int]) -> Model:
     two = [p for y in (0, 1) for p in [q for q in pairs if q[1] == y][1::2]]
     rows = [(m.features(t), y) for m, part in ((dictionaries(one), two), (dictionaries(two), one)) for t, y in part]
     x, y = np.array([f for f, _ in rows]), np.array([float(v) for _, v in rows])
+    share = y.mean() if toxic_share is None else toxic_share
+    weight = np.where(y == 1, TOXIC_WEIGHT * share / y.mean(), (1 - share) / (1 - y.mean()))
     w = np.zeros(x.shape[1])
     for _ in range(50):  # Newton steps of a ridge logistic regression
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - 0.1 * w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (weight * (y - p)) - 0.1 * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -162,23 +174,24 @@ def learn(texts: list[str], labels: list[int]) -> Model:
     return Model(whole.ordinary, whole.toxic, [float(v) for v in w])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, per_class: int) -> tuple[list[str], list[int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, per_class: int) -> tuple[list[str], list[int], float | None]:
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).where("doc_id is not null and y is not null").where(remainder_of_crc("doc_id") != 1).groupBy("doc_id").agg(F.max("y").alias("y"))
     sizes = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a class
     grain = 1 << 20
     share = F.lit(0)
     for y, n in sizes.items():
-        share = F.when(F.col("y") == y, F.lit(min(grain, -(-per_class * grain // n)))).otherwise(share)
+        share = F.when(F.col("y") == y, F.lit(min(grain, -(-per_class * (1 if y > 0 else 2) * grain // n)))).otherwise(share)
     some = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < share)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
     ids = [r["doc_id"] for r in some.select("doc_id").collect()]  # about per_class a class
     wanted = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long") if ids else some.select("doc_id")
     rows = texts.join(F.broadcast(wanted), "doc_id", "left_semi").join(some, "doc_id").collect() if ids else []
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return [r["text"] for r in rows], [int(r["y"] > 0) for r in rows]
+    toxic = sum(n for y, n in sizes.items() if y > 0)
+    return [r["text"] for r in rows], [int(r["y"] > 0) for r in rows], toxic / sum(sizes.values()) if sizes else None
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 1500) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 1000) -> Model:
     return learn(*training_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, per_class=per_class))
 
 
