@@ -46,16 +46,20 @@ def suffixes(docs: DataFrame) -> DataFrame:
     return rows.select(*KEY, "pos", F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.col("s.a").alias("a"), F.col("s.b").alias("b"))
 
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """Rows whose name another row has too, with the first copy of the group."""
+def repeated(rows: DataFrame, ws: Workspace, name: str) -> DataFrame:
+    """Rows whose name another row has too, with the first copy of the group.
+
+    The groups are written first: a join of two shuffles can split a hot group.
+    """
     place = F.struct("__id", "pos", "__h1", "__h2")
     groups = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first")).where("copies > 1")
+    groups = ws.stage(groups, name)
     return rows.join(groups.hint("merge"), ["a", "b"])  # one plan at every size
 
 
 def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES) -> DataFrame:
     """Documents' windows of ``min_lines`` lines of which an earlier copy exists."""
-    current = ws.stage(repeated(suffixes(docs)).drop("copies", "first") if min_lines > 1 else suffixes(docs), "depth1")
+    current = ws.stage(repeated(suffixes(docs), ws, "groups1").drop("copies", "first") if min_lines > 1 else suffixes(docs), "depth1")
     depth = 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)  # the last round overlaps where min_lines is no power of two
@@ -63,8 +67,8 @@ def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES)
         pairs = current.alias("l").join(right.hint("merge").alias("r"), _same("l", "r") & (F.col("l.pos") == F.col("r.pos")))
         depth += step
         named = pairs.select(*[f"l.{c}" for c in KEY], "l.pos", "l.line", F.col("r.last2").alias("last"), F.xxhash64("l.a", "r.a2", "l.b").alias("a"), F.xxhash64("l.b", "r.b2", "r.a2").alias("b"))
-        current = ws.stage(named if depth >= min_lines else repeated(named).drop("copies", "first"), f"depth{depth}")
-    found = repeated(current)
+        current = ws.stage(named if depth >= min_lines else repeated(named, ws, f"groups{depth}").drop("copies", "first"), f"depth{depth}")
+    found = repeated(current, ws, "groups")
     here = F.struct("__id", "pos", "__h1", "__h2")
     return found.where(~here.eqNullSafe(F.col("first"))).select(*KEY, "line", "last")
 
