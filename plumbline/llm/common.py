@@ -117,7 +117,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]] if len(column) else whole[:0], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20, rows: int = 4096):
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20, rows: int = 4096):
     """Cut a batch so that each slice holds about ``most`` bytes of ``column``, one row at least and ``rows`` at most."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0

@@ -14,8 +14,10 @@ shares with a partner the rarest is never one of them, on either side.
 
 Sets are verified on all their elements.  In each group of equal cells first everybody is
 compared with the least member; groups that then still hold different components are
-compared in pairs of blocks, across components only, so every link between components
-is found and no group is ever expanded into all its pairs.  Equal sets are one node
+compared in pairs of blocks by bit sketches (each element flips one bit), across
+components only; pairs whose Hamming distance is no larger than the symmetric difference
+of linked sets can be are verified, first each member's nearest, then all that remain.  So every link between
+components is found, and no group is ever expanded into all its pairs.  Equal sets are one node
 throughout.  The sets in a node are told apart by 64-bit hashes of their elements.
 
 Edge cases: null and empty texts and texts without words have no elements and link with
@@ -85,6 +87,23 @@ def sketch(elements: np.ndarray, band: int, cells: int) -> np.ndarray:
     return mix(value + _salt(band, cells), 6)
 
 
+def parity(elements: np.ndarray, cells: int) -> bytes:
+    """A 32-bit word a cell: every element of a sorted set flips one bit of its cell's word.
+
+    The Hamming distance of two sets' words never exceeds their symmetric difference, and
+    falls short of it only where two elements of one cell share a bit.
+    """
+    cell = ((elements >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
+    edge = np.searchsorted(cell, np.arange(cells, dtype=np.uint64))
+    full = np.append(edge, len(elements))
+    words = np.zeros(cells, np.uint32)
+    some = full[1:] > full[:-1]
+    if some.any():
+        bit = np.uint32(1) << (elements & np.uint64(31)).astype(np.uint32)
+        words[some] = np.bitwise_xor.reduceat(bit, edge[some])
+    return words.astype("<u4").tobytes()
+
+
 def element_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of each text."""
     w = Words(*utf8(column), BLANK_SEPARATED)
@@ -105,29 +124,42 @@ def _sets_and_sketches(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                sizes, nodes, first, second, reserve1, reserve2 = [], [], [], [], [], []
+                sizes, nodes, first, second, reserve1, reserve2, bits1, bits2 = [], [], [], [], [], [], [], []
                 for s in element_sets(part.column("text"), n):
                     sizes.append(len(s))
-                    nodes.append(int(signed(mix(np.array([mix(s, 11).sum(dtype=np.uint64) + np.uint64(len(s))]), 12))[0]) if len(s) else None)
-                    keys = [(signed(sketch(s, b, bands.cells_for(bands.tops[b])[2])), bands.cells_for(bands.tops[b])[1]) for b in bands.of(len(s))] if len(s) else []
-                    keys = keys + [(np.zeros(0, np.int64), 0)] * (2 - len(keys))
+                    nodes.append(node_of(s) if len(s) else None)
+                    keys = []
+                    for b in bands.of(len(s)) if len(s) else ():
+                        _, reserve, cells = bands.cells_for(bands.tops[b])
+                        keys.append((signed(sketch(s, b, cells)), reserve, parity(s, cells)))
+                    keys += [(np.zeros(0, np.int64), 0, None)] * (2 - len(keys))
                     first.append(keys[0][0])
                     second.append(keys[1][0])
                     reserve1.append(keys[0][1])
                     reserve2.append(keys[1][1])
+                    bits1.append(keys[0][2])
+                    bits2.append(keys[1][2])
                 longs = pa.list_(pa.int64())
-                cols = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(first, longs), pa.array(second, longs), pa.array(reserve1, pa.int32()), pa.array(reserve2, pa.int32())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "node", "keys1", "keys2", "e1", "e2"])
+                cols = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(first, longs), pa.array(second, longs), pa.array(reserve1, pa.int32()), pa.array(reserve2, pa.int32()), pa.array(bits1, pa.binary()), pa.array(bits2, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "node", "keys1", "keys2", "e1", "e2", "bits1", "bits2"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, node long, keys1 array<long>, keys2 array<long>, e1 int, e2 int, bits1 binary, bits2 binary")
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, keys1 array<long>, keys2 array<long>, e1 int, e2 int")
+
+def node_of(elements: np.ndarray) -> int:
+    """64-bit hash of a set."""
+    return int(signed(mix(np.array([mix(elements, 11).sum(dtype=np.uint64) + np.uint64(len(elements))]), 12))[0])
 
 
 def _sets_of(docs: DataFrame, n: int) -> DataFrame:
+    """Elements of each text whose set is the row's node (an id may name several texts)."""
+
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                data = [s.astype("<u8").tobytes() for s in element_sets(part.column("text"), n)]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(data, pa.binary())], names=["node", "elements"])
+                pairs = zip(part.column("node").to_pylist(), element_sets(part.column("text"), n))
+                kept = [(node, s.astype("<u8").tobytes()) for node, s in pairs if len(s) and node_of(s) == node]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.int64()), pa.array([d for _, d in kept], pa.binary())], names=["node", "elements"])
 
     return docs.select("node", "text").mapInArrow(run, "node long, elements binary")
 
@@ -162,17 +194,21 @@ def near_documents(docs: DataFrame, *, n: int = 4, share: int = 85, id_col: str
     sided = cells.select("node", "n", F.lit(1).alias("side"), F.col("e1").alias("e"), F.explode("keys1").alias("key")).union(cells.select("node", "n", F.lit(2), F.col("e2"), F.explode("keys2")))
     held = sided.join(many, "key").groupBy("node", "side", "key").agg(F.first("n").alias("n"), F.first("e").alias("e"), F.first("members").alias("members"))
     order = Window.partitionBy("node", "side").orderBy(F.desc("members"), F.desc("key"))
-    held = ws.stage(held.withColumn("frequent", F.row_number().over(order)).where("frequent > e").select("key", "node", "n"), "held")
+    held = ws.stage(held.withColumn("frequent", F.row_number().over(order)).where("frequent > e").select("key", "node", "n", "side"), "held")
+    cells = sk.join(held.select("node").distinct().hint("merge"), "node").groupBy("node").agg(F.first("bits1").alias("bits1"), F.first("bits2").alias("bits2"))
+    cells = ws.stage(cells, "cells")
+    light = ws.stage(sk.select("doc_id", "n", "node"), "light")
+    ws.release()
+    ws.drop("sketches")
     least = held.groupBy("key").agg(F.min("node").alias("a"))
     star = held.join(least.hint("merge"), "key").where("node <> a").select("a", F.col("node").alias("b"))
     pairs = ws.stage(pairs.union(star).distinct(), "pairs")
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(held.select("node")).distinct()
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(held.select("node")).distinct()  # never more than the nodes of a group
     reps = wanted.join(nodes, "node").where("rep is not null").select("node", F.col("rep").alias("doc_id"))
     texts = base.join(reps.hint("merge"), "doc_id")
     elements = _sets_of(texts, n)
-    # an id can name several texts; the node tells which one is meant
-    elements = ws.stage(_check_nodes(elements).dropDuplicates(["node"]), "elements")
+    elements = ws.stage(elements.dropDuplicates(["node"]), "elements")
     ws.release()
 
     left, right = elements.select(F.col("node").alias("a"), F.col("elements").alias("x")), elements.select(F.col("node").alias("b"), F.col("elements").alias("y"))
@@ -182,66 +218,70 @@ def near_documents(docs: DataFrame, *, n: int = 4, share: int = 85, id_col: str
             ok = [linked(x.as_py(), y.as_py(), share) for x, y in zip(batch.column("x"), batch.column("y"))]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in (batch.column("a"), batch.column("b"))], names=["a", "b"])
 
-    links = ws.stage(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
+    def verified(candidates: DataFrame, name: str) -> DataFrame:
+        both = candidates.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y")
+        return ws.stage(both.mapInArrow(verify, "a long, b long"), name)
+
+    links = verified(pairs, "links")
+    ws.release()
     cc = connected_components(ws, links)
 
-    # what is left: groups that hold several components
-    at = held.join(cc.hint("merge"), "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    mixed = ws.stage(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
-    if not mixed.isEmpty():
-        side = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-        rows = at.join(mixed.hint("merge"), "key").withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).select("key", "i", "j", "side", "node", "component")
-        rows = rows.join(elements.hint("merge"), "node")
-
-        def across(t: pa.Table) -> pa.Table:
-            node, comp, s = (t.column(c).to_numpy() for c in ("node", "component", "side"))
-            data = t.column("elements").to_pylist()
-            sizes = np.array([len(d) // 8 for d in data])
-            pair = t.column("i")[0].as_py() != t.column("j")[0].as_py()
-            root = {int(c): int(c) for c in comp}
-
-            def find(c: int) -> int:
-                while root[c] != c:
-                    root[c] = root[root[c]]
-                    c = root[c]
-                return c
-
-            out = []
-            for i in range(len(node)):
-                near = (100 * np.minimum(sizes, sizes[i]) >= share * np.maximum(sizes, sizes[i])) & (comp != comp[i])
-                near &= (s > s[i]) if pair else (np.arange(len(node)) > i)
-                for j in np.nonzero(near)[0]:
-                    u, v = find(int(comp[i])), find(int(comp[j]))
-                    if u != v and linked(data[i], data[j], share):
-                        root[max(u, v)] = min(u, v)
-                        out.append((int(node[i]), int(node[j])))
-            return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
-
-        more = ws.stage(rows.groupBy("key", "i", "j").applyInArrow(across, "a long, b long"), "more")
-        if not more.isEmpty():
-            cc = connected_components(ws, links.union(more), "cc2")
+    # what is left: groups that hold several components.  Twice every member names its nearest
+    # candidate only, which joins clusters at a row a member; then all candidates that remain.
+    compared = pairs
+    for step, nearest in enumerate((True, True, False)):
+        at = held.join(cc.hint("merge"), "node", "left").select("key", "node", "n", "side", F.coalesce("component", "node").alias("component"))
+        near = ws.stage(_across(ws, at, cells, share, nearest, step), f"near{step}")
+        if near.isEmpty():
+            break
+        fresh = ws.stage(near.join(compared.hint("merge"), ["a", "b"], "left_anti"), f"fresh{step}")
+        if fresh.isEmpty():
+            continue
+        compared = compared.union(fresh)
+        links = links.union(verified(fresh, f"links{step}"))
+        cc = connected_components(ws, links, f"cc{step}")
 
     named = nodes.join(cc.hint("merge"), "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(least.hint("merge"), "component").select("node", "component_id")
-    return sk.join(named.hint("merge"), "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return light.join(named.hint("merge"), "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _check_nodes(elements: DataFrame) -> DataFrame:
-    """Keep rows whose elements have the node's hash (an id may name several texts)."""
+def _across(ws: Workspace, at: DataFrame, cells: DataFrame, share: int, nearest: bool, step: int) -> DataFrame:
+    """Pairs of a group in different components whose bit sketches are near enough for a link.
 
-    def run(batches):
-        for batch in batches:
-            ok = []
-            for node, data in zip(batch.column("node"), batch.column("elements")):
-                s = np.frombuffer(data.as_py(), "<u8")
-                ok.append(len(s) > 0 and int(signed(mix(np.array([mix(s, 11).sum(dtype=np.uint64) + np.uint64(len(s))]), 12))[0]) == node.as_py())
-            mask = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in batch.columns], names=batch.schema.names)
-
-    return elements.mapInArrow(run, "node long, elements binary")
+    ``nearest`` keeps for each member of a block the nearest of them.
+    """
+    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
+    mixed = ws.stage(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), f"mixed{step}")
+    place = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    rows = at.join(mixed.hint("merge"), "key").join(cells.hint("merge"), "node")
+    rows = rows.withColumn("sketch", F.when(F.col("side") == 1, F.col("bits1")).otherwise(F.col("bits2"))).withColumn("block", place)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).select("key", "i", "j", "block", "node", "n", "component", "sketch")
+
+    def across(t: pa.Table) -> pa.Table:
+        node, comp, size, block = (t.column(c).to_numpy() for c in ("node", "component", "n", "block"))
+        sketches = np.array([np.frombuffer(x, "<u4") for x in t.column("sketch").to_pylist()])
+        pair = t.column("i")[0].as_py() != t.column("j")[0].as_py()
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(len(node)):
+            both = size + size[i]
+            allowed = both - 2 * -(-share * both // (100 + share))
+            near = (100 * np.minimum(size, size[i]) >= share * np.maximum(size, size[i])) & (comp != comp[i])
+            near &= (block != block[i]) if pair else (np.arange(len(node)) != i)
+            j = np.nonzero(near)[0]
+            apart = np.bitwise_count(sketches[j] ^ sketches[i]).sum(1, dtype=np.int64)
+            j, apart = j[apart <= allowed[j]], apart[apart <= allowed[j]]
+            if nearest and len(j):
+                j = j[[np.lexsort((node[j], apart))[0]]]
+            out_a.append(np.full(len(j), node[i]))
+            out_b.append(node[j])
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
+        one = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        return pa.table({"a": one[:, 0], "b": one[:, 1]})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(across, "a long, b long").distinct()
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
