@@ -147,7 +147,7 @@ def repeated_windows(docs: DataFrame, ws: Workspace, *, length: int = LENGTH, di
     long_enough = docs.where(F.octet_length("text") >= length)
     runs = ws.stage(_runs(long_enough, length, digit), "runs")
     groups = runs.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u0"), F.max("u").alias("u1")).where("n > 1")
-    groups = groups.select("h", (F.col("u0") != F.col("u1")).alias("mixed"))
+    groups = ws.stage(groups.select("h", (F.col("u0") != F.col("u1")).alias("mixed")), "groups")  # so that the join can split a hot group
     held = ws.stage(runs.join(groups.hint("merge"), "h"), "held")
     ws.release()
     ws.drop("runs")
