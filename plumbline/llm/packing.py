@@ -229,7 +229,7 @@ def pack(docs: DataFrame, *, capacity: int = 2048, end_id: int = 0, id_col: str
     before = per_shard.select("shard", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("shard")) - F.col("n")).alias("before"))
     extra = {"ids": F.col("ids")} if payload is None else payload
     rows = pieces.select("doc_id", "piece", "start", "length", "shard", "rank_in_shard", *[c.alias(k) for k, c in extra.items()])
-    ranked = rows.join(before, ["shard", "length"]).withColumn("rank", F.col("rank_in_shard") + F.col("before")).drop("shard", "rank_in_shard", "before")
+    ranked = rows.join(before.hint("merge"), ["shard", "length"]).withColumn("rank", F.col("rank_in_shard") + F.col("before")).drop("shard", "rank_in_shard", "before")
     kept = [c for c in ranked.columns if c != "rank"]
 
     def assign(batches):
