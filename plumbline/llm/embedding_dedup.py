@@ -1,10 +1,15 @@
 """Operator 8: near-duplicate vectors by a pivot-permutation index.
 
-A vector is described by its nearest reference points in order (a permutation prefix).
-Inverted lists hold, for each label and pivot, the vectors that name the pivot.  Two
-vectors are candidates when they share at least ``shared`` pivots; the exact cosine in
-double precision decides.  Every vector is indexed.  Equal vectors of a label are one
-class with a count, so copies are never paired.
+Angles to reference points (pivots) build inverted lists; all pairs of a list are
+compared by the exact cosine in double precision.  Every vector is indexed.  Equal
+vectors of a label are one class with a count, so copies are never paired.
+
+A vector with a pivot within ``reach`` lies in the cell of the nearest one, and every
+vector joins the list of each pivot whose cell is no wider than their angle less the
+link angle.  By the triangle inequality whatever links with a vector of a cell is in
+the list of that cell: these links are exact, however dense the group.  A vector
+outside all cells joins the lists of its ``k`` nearest pivots too; two such vectors
+are compared when they share one of them, which can miss a link.
 
 A list is cut into blocks of about ``BLOCK`` vectors and every pair of blocks is one
 group of rows: a matrix product counts shared pivots, another gives the cosines.  A pair
@@ -13,7 +18,10 @@ vector its number of links and an edge to the root of its part of the group, so
 pairs are counted and never listed.
 
 Reference points: unit vectors of a bounded sample by hash of the id, a power of two
-near the root of the number of classes, 64 at least and ``most_pivots`` at most.
+near the root of the number of classes, 64 at least and ``most_pivots`` at most.  None
+lies within ``reach`` of another, so a dense group has few of them; ``reach`` is twice
+the link angle, or less (the link angle at least) where vectors would join more than
+``k`` lists on average.
 
 Edge cases: null labels, ids or vectors, null or non-finite components and zero vectors
 link with nothing and stay; vectors of different lengths are never compared; repeated
@@ -32,6 +40,8 @@ from plumbline.llm.common import Workspace, connected_components, table
 
 BLOCK = 768
 NEAREST = 8
+#: Angles that bounds are widened by, far above rounding errors.
+SLACK = 1e-6
 
 
 def unit_rows(values: pa.ListArray) -> list[bytes | None]:
@@ -51,9 +61,21 @@ def unit_rows(values: pa.ListArray) -> list[bytes | None]:
     return out
 
 
-def nearest(vectors: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` nearest pivots of each vector in order; ties to the lower number."""
-    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :k]
+def angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(vectors @ pivots.T, -1, 1))
+
+
+def spread_pivots(sample: np.ndarray, m: int, link: float, k: int) -> tuple[np.ndarray, float]:
+    """At most ``m`` vectors of the sample, none within ``reach`` of another, and ``reach``."""
+    for reach in (2 * link, 1.5 * link, link):
+        have = np.zeros((m, sample.shape[1]))
+        n = 0
+        for x in sample:
+            if n < m and (angles(x[None], have[:n]) > reach).all():
+                have[n] = x
+                n += 1
+        if reach == link or (angles(sample, have[:n]) <= reach + link).sum(1).mean() <= k:
+            return have[:n], reach
 
 
 def _roots(mask: np.ndarray) -> np.ndarray:
@@ -67,18 +89,18 @@ def _roots(mask: np.ndarray) -> np.ndarray:
         lab = new
 
 
-def verify(rep, n, side, pivots, vectors, pivot: int, pair: bool, m: int, shared: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+def verify(rep, n, side, pivots, vectors, pivot: int, pair: bool, m: int, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Links (weighted by class size) of each row, and the row of its root, for one pair of blocks."""
     marks = np.zeros((len(rep), m), np.float32)
-    np.put_along_axis(marks, pivots, 1, axis=1)
-    ok = (marks @ marks.T >= shared) & (marks[:, :pivot] @ marks[:, :pivot].T == 0) & (vectors @ vectors.T >= least)
+    marks[np.repeat(np.arange(len(rep)), [len(p) for p in pivots]), np.concatenate(pivots)] = 1
+    ok = (marks[:, :pivot] @ marks[:, :pivot].T == 0) & (vectors @ vectors.T >= least)
     np.fill_diagonal(ok, False)
     if pair:
         ok &= side[:, None] != side[None, :]
     return ok.astype(np.int64) @ n, _roots(ok)
 
 
-def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93, shared: int = 2, k: int = NEAREST, most_pivots: int = 4096, ws: Workspace | None = None) -> DataFrame:
+def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93, k: int = NEAREST, most_pivots: int = 4096, ws: Workspace | None = None) -> DataFrame:
     """``vec_id, n_links, component_id`` of every vector."""
     spark = vectors.sparkSession
     ws = ws or Workspace(spark, "embedding-dedup")
@@ -101,30 +123,56 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     by_size: dict[int, list[np.ndarray]] = {}
     for r in sample:
         x = np.frombuffer(bytes(r["unit"]), "<f8")
-        if len(by_size.setdefault(len(x), [])) < m:
-            by_size[len(x)].append(x)
-    shipped = spark.sparkContext.broadcast((m, {d: np.array(v) for d, v in by_size.items()}))
+        by_size.setdefault(len(x), []).append(x)
+    link = float(np.arccos(np.clip(least, -1, 1)))
+    shipped = spark.sparkContext.broadcast((m, {d: spread_pivots(np.array(v), m, link, k) for d, v in by_size.items()}))
 
-    def reference(d: int) -> np.ndarray:
+    def reference(d: int) -> tuple[np.ndarray, float]:
         m, known = shipped.value
-        have = known.get(d, np.zeros((0, d)))
+        have, reach = known.get(d, (np.zeros((0, d)), link))
         if len(have) < m:  # too few vectors of this length were drawn: fixed random directions
             rest = np.random.default_rng(d).standard_normal((m - len(have), d))
             have = np.concatenate([have, rest / np.linalg.norm(rest, axis=1, keepdims=True)])
-        return have
+        return have, reach
+
+    def by_length(batch, kept):
+        """Rows of each length in a batch: their places, angles to the pivots, and the reach."""
+        units = [np.frombuffer(x.as_py(), "<f8") for x in batch.column("unit")]
+        sizes = np.array([len(u) for u in units], np.int32)
+        for d in map(int, np.unique(sizes)):
+            at = np.nonzero(sizes == d)[0]
+            if d not in kept:
+                kept[d] = reference(d)
+            yield d, at, angles(np.array([units[i] for i in at]), kept[d][0]), kept[d][1]
+
+    def homes(batches):
+        kept: dict = {}
+        for b in batches:
+            for d, _, angle, reach in by_length(b, kept):
+                home, width = angle.argmin(1), angle.min(1)
+                inside = width <= reach
+                cells = np.unique(home[inside])
+                most = [width[inside & (home == c)].max() for c in cells]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cells), d, np.int32)), pa.array(cells.astype(np.int32)), pa.array(most, pa.float64())], names=["size", "pivot", "width"])
+
+    widths = classes.select("unit").mapInArrow(homes, "size int, pivot int, width double").groupBy("size", "pivot").agg(F.max("width").alias("width"))
+    cells: dict[int, np.ndarray] = {}
+    for r in widths.collect():  # at most m rows a length
+        cells.setdefault(r["size"], np.full(m, -np.inf))[r["pivot"]] = r["width"]
+    wide = spark.sparkContext.broadcast(cells)
 
     def describe(batches):
-        kept: dict[int, np.ndarray] = {}
+        kept: dict = {}
         for b in batches:
-            units = [np.frombuffer(x.as_py(), "<f8") for x in b.column("unit")]
-            sizes = np.array([len(u) for u in units], np.int32)
-            out = np.zeros((len(units), k), np.int32)
-            for d in np.unique(sizes):
-                at = np.nonzero(sizes == d)[0]
-                if int(d) not in kept:
-                    kept[int(d)] = reference(int(d))
-                out[at] = nearest(np.array([units[i] for i in at]), kept[int(d)], k)
-            yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("label"), b.column("n"), pa.array(sizes), pa.array(list(out), pa.list_(pa.int32())), b.column("unit")], names=["rep", "label", "n", "size", "pivots", "unit"])
+            sizes, out = np.zeros(b.num_rows, np.int32), [None] * b.num_rows
+            for d, at, angle, reach in by_length(b, kept):
+                joins = angle <= wide.value.get(d, np.full(m, -np.inf)) + link + SLACK
+                outside = np.nonzero(angle.min(1) > reach)[0]
+                joins[outside[:, None], np.argsort(angle[outside], axis=1, kind="stable")[:, :k]] = True
+                sizes[at] = d
+                for i, row in zip(at, joins):
+                    out[i] = np.nonzero(row)[0].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("label"), b.column("n"), pa.array(sizes), pa.array(out, pa.list_(pa.int32())), b.column("unit")], names=["rep", "label", "n", "size", "pivots", "unit"])
 
     index = ws.stage(classes.select("rep", "label", "n", "unit").mapInArrow(describe, "rep long, label string, n long, size int, pivots array<int>, unit binary"), "index")
     postings = index.withColumn("pivot", F.explode("pivots"))
@@ -136,10 +184,10 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     spread = spread.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).select(*key, "i", "j", "side", "rep", "n", "pivots", "unit")
 
     def group(t: pa.Table) -> pa.Table:
-        pivots = np.array(t.column("pivots").to_pylist())
+        pivots = t.column("pivots").to_pylist()
         units = np.array([np.frombuffer(x, "<f8") for x in t.column("unit").to_pylist()])
         rep, n, side = (t.column(c).to_numpy() for c in ("rep", "n", "side"))
-        links, root = verify(rep, n, side, pivots, units, t.column("pivot")[0].as_py(), t.column("i")[0].as_py() != t.column("j")[0].as_py(), m, shared, least)
+        links, root = verify(rep, n, side, pivots, units, t.column("pivot")[0].as_py(), t.column("i")[0].as_py() != t.column("j")[0].as_py(), m, least)
         hit = links > 0
         return pa.table({"rep": rep[hit], "links": links[hit], "peer": rep[root[hit]]})
 

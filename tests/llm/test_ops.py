@@ -314,6 +314,18 @@ def test_vectors_near_the_threshold(spark, monkeypatch):
     assert embedding_dedup.near_vectors(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [3000, 12000])
+def test_a_dense_group_of_a_third_of_the_vectors_keeps_its_links(spark, n):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(n, 64))
+    x[: n // 3] = rng.normal(size=64) + rng.normal(size=(n // 3, 64)) * 0.2
+    docs = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(4)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.93).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_vectors(docs).collect()}
+    assert [got[i] for i in range(n)] == want.tolist()
+
+
 # ------------------------------------------------------------------ 9
 
 
