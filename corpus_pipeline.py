@@ -26,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of two or more lines are deleted from the texts."""
-    out = line_dedup.dedup_lines(docs)
+    """Later copies of runs of two or more lines, and of single lines of 50 words or more, are deleted from the texts."""
+    out = line_dedup.dedup_lines(docs, long_words=line_dedup.LONG_WORDS)
     emptied = (F.size("runs") > 0) & (F.length(F.btrim("text", F.lit(" \t\r\n\f\v"))) == 0)
     out = out.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:

@@ -8,6 +8,9 @@ repeats.  Groups at depth ``min_lines`` are the intervals of the suffix array wi
 longest common prefix of that many lines; a longer repeated run is the union of such
 prefixes of its suffixes, so doubling need not go deeper to find maximal runs.
 
+With ``long_words`` a single line of so many words (between white space) is a run too,
+settled from the groups of one line, which are built anyway.
+
 In each group the copy that comes first by (document id, line) stays; lines covered by
 a later copy go, with blank lines between them.  Blank lines do not count as lines.
 
@@ -25,6 +28,8 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import Workspace, table
 
 MIN_LINES = 2
+#: Words from which the pipeline takes a single line for a run.
+LONG_WORDS = 50
 
 
 def _lines(text: Column) -> Column:
@@ -38,12 +43,19 @@ def _key(text: Column) -> list[Column]:
 KEY = ["__id", "__h1", "__h2"]
 
 
-def suffixes(docs: DataFrame) -> DataFrame:
-    """A row a line that is not blank: document, running number, line number, id."""
-    marked = F.transform(_lines(F.col("__text")), lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), (F.length(F.btrim(x, F.lit(" \t\r\f\v"))) > 0).alias("full")))
+def _long(line: Column, words: int | None) -> Column:
+    """Whether a line has ``words`` words or more; lines too short for them aren't split."""
+    if words is None:
+        return F.lit(False)
+    return F.when(F.length(line) >= 2 * words - 1, F.size(F.split(F.btrim(line, F.lit(" \t\r\f\v")), "[ \\t\\r\\f\\x0b]+")) >= words).otherwise(F.lit(False))
+
+
+def suffixes(docs: DataFrame, long_words: int | None = None) -> DataFrame:
+    """A row a line that is not blank: document, running number, line number, id, whether it is a run alone."""
+    marked = F.transform(_lines(F.col("__text")), lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), (F.length(F.btrim(x, F.lit(" \t\r\f\v"))) > 0).alias("full"), _long(x, long_words).alias("long")))
     ids = docs.select("__id", *_key(F.col("__text")), F.filter(marked, lambda s: s["full"]).alias("ids")).dropDuplicates(KEY)
     rows = ids.select(*KEY, F.posexplode("ids").alias("pos", "s"))
-    return rows.select(*KEY, "pos", F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.col("s.a").alias("a"), F.col("s.b").alias("b"))
+    return rows.select(*KEY, "pos", F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.col("s.a").alias("a"), F.col("s.b").alias("b"), F.col("s.long").alias("long"))
 
 
 def repeated(rows: DataFrame, ws: Workspace, name: str) -> DataFrame:
@@ -57,9 +69,13 @@ def repeated(rows: DataFrame, ws: Workspace, name: str) -> DataFrame:
     return rows.join(groups.hint("merge"), ["a", "b"])  # one plan at every size
 
 
-def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES) -> DataFrame:
-    """Documents' windows of ``min_lines`` lines of which an earlier copy exists."""
-    current = ws.stage(repeated(suffixes(docs), ws, "groups1").drop("copies", "first") if min_lines > 1 else suffixes(docs), "depth1")
+def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
+    """Documents' windows of ``min_lines`` lines, and long single lines, of which an earlier copy exists."""
+    here = F.struct("__id", "pos", "__h1", "__h2")
+    rows = suffixes(docs, long_words)
+    if min_lines > 1:
+        rows = repeated(rows, ws, "groups1").withColumn("again", F.col("long") & ~here.eqNullSafe(F.col("first"))).drop("copies", "first")
+    single = current = ws.stage(rows.drop("long"), "depth1")
     depth = 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)  # the last round overlaps where min_lines is no power of two
@@ -68,9 +84,10 @@ def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES)
         depth += step
         named = pairs.select(*[f"l.{c}" for c in KEY], "l.pos", "l.line", F.col("r.last2").alias("last"), F.xxhash64("l.a", "r.a2", "l.b").alias("a"), F.xxhash64("l.b", "r.b2", "r.a2").alias("b"))
         current = ws.stage(named if depth >= min_lines else repeated(named, ws, f"groups{depth}").drop("copies", "first"), f"depth{depth}")
-    found = repeated(current, ws, "groups")
-    here = F.struct("__id", "pos", "__h1", "__h2")
-    return found.where(~here.eqNullSafe(F.col("first"))).select(*KEY, "line", "last")
+    found = repeated(current, ws, "groups").where(~here.eqNullSafe(F.col("first"))).select(*KEY, "line", "last")
+    if long_words is None or min_lines == 1:
+        return found
+    return found.union(single.where("again").select(*KEY, "line", "last"))
 
 
 def _same(left: str, right: str) -> Column:
@@ -78,11 +95,11 @@ def _same(left: str, right: str) -> Column:
     return (F.col(f"{left}.__h1") == F.col(f"{right}.__h1")) & (F.col(f"{left}.__h2") == F.col(f"{right}.__h2")) & F.col(f"{left}.__id").eqNullSafe(F.col(f"{right}.__id"))
 
 
-def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text", ws: Workspace | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words: int | None = None, id_col: str = "doc_id", text_col: str = "text", ws: Workspace | None = None) -> DataFrame:
     """``docs`` with later copies deleted from the text, ``n_lines`` and the deleted ``runs`` (line numbers, end included)."""
     ws = ws or Workspace(docs.sparkSession, "line-dedup")
     base = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    windows = later_copies(base, ws, min_lines=min_lines)
+    windows = later_copies(base, ws, min_lines=min_lines, long_words=long_words)
     runs = windows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("line", "last"))).alias("w"))  # bounded by the lines of one document
     start = F.array().cast("array<struct<line:int,last:int>>")
 

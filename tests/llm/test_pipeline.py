@@ -39,6 +39,15 @@ def test_repeated_lines_stage(spark):
     assert got == {1: ("a b\nc d\ne", 7), 2: ("own line", 8), 4: ("", 0)}
 
 
+def test_long_single_lines_are_runs(spark):
+    line = " ".join(f"w{i}" for i in range(50))
+    short = " ".join(f"v{i}" for i in range(49))
+    texts = [f"a\n{line}\nb\n{short}\nc", f"d\n{line}\ne\n{short}\nf", line, short, f"{line}\ng\n \n{line}"]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, SF).collect()}
+    assert got == {0: texts[0], 1: f"d\ne\n{short}\nf", 3: short, 4: "g\n "}
+
+
 @pytest.mark.parametrize("name", ["op1_token_binary", "op9_benchmark_decontamination"])
 def test_queries_are_registered(name):
     import __spark_entry__
