@@ -22,6 +22,8 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         root = getattr(spark, "_plumbline_root", None)
         if root is None:
             root = "file://" + tempfile.mkdtemp(prefix="plumbline-")
@@ -68,6 +70,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes to differ from every column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def remainder_of_crc(doc_id: str | Column, modulus: int = 3) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null id: null)."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -1,20 +1,24 @@
 """Operator 6: toxicity by compression distance.
 
-Two zstandard dictionaries are learned: one from ordinary texts by the library's
-trainer, one from toxic texts by the same principle (repeatedly take the segment that
-covers most samples), with segments that ordinary texts hold ruled out.  A window of a
-text is compressed with the ordinary dictionary and with the ordinary one followed by
-the toxic one; the bytes saved are the distance.  Savings of all windows give three
-numbers a text (largest, sum, count above a threshold) and a logistic curve, fitted on
-texts that the dictionaries have not seen, turns them into a score.
+The zstandard trainer learns two dictionaries: one from ordinary texts, one from toxic
+texts.  Words that both classes use cost nothing to tell apart, so the toxic samples are
+the stretches of toxic texts made of strings (``GRAM`` bytes) that are significantly more
+frequent there, and ordinary strings that the trainer leaves between them are blanked.
+Each class has a dictionary of its own: the ordinary stock, and the same stock followed
+by what was learned from toxic texts.  A window of a text is compressed with either; the
+difference of the lengths is the distance.  The windows give four numbers a text (largest
+difference, sum, count of windows above a threshold, number of windows) and a logistic
+curve, calibrated on texts that the dictionaries have not seen, turns them into a score.
 
 Training reads about ``per_class`` toxic and twice as many ordinary labelled texts (a
-bounded sample by hash of the id, a documented parameter), each whole; scoring reads every whole text.
+bounded sample by hash of the id, a documented parameter), each whole, in one process on
+the driver; scoring reads every whole text.
 
 Edge cases: null and empty texts are one empty window and get the low score of a text
 without savings; without labelled rows, or with one class only, scores are 0; null
 labels are not learned; several labels of one id count as toxic if one is; repeated
-rows get equal scores; a null id is not held out; other columns are not read.
+rows get equal scores; a null id is not held out; other columns are not read, and
+``score`` carries them along (a column named like its output is replaced).
 """
 
 from __future__ import annotations
@@ -31,7 +35,9 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import remainder_of_crc, slices, table
 
-WINDOW, STRIDE, GRAM = 64, 48, 6
+WINDOW, STRIDE, GRAM = 40, 28, 6
+#: Bytes of the dictionaries.
+ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 #: Bytes saved from which a window counts.
 SAVED = 2
 #: Predicted toxic from this score on.
@@ -52,9 +58,11 @@ def windows(t: bytes) -> list[bytes]:
 
 
 class Model:
+    """Both dictionaries (``toxic`` without the common stock) and the weights of the curve."""
+
     def __init__(self, ordinary: bytes, toxic: bytes, weights: list[float]):
         self.ordinary, self.toxic, self.weights = ordinary, toxic, weights
-        params = zstandard.ZstdCompressionParameters.from_level(3, source_size=WINDOW, dict_size=len(ordinary) + len(toxic), min_match=6, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        params = zstandard.ZstdCompressionParameters.from_level(3, source_size=WINDOW, dict_size=len(ordinary) + len(toxic), min_match=GRAM, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         self.tools = []
         for content in (ordinary, ordinary + toxic):
             d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -80,71 +88,52 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
 
 
-def segments(toxic: list[bytes], ordinary: list[bytes], *, most: int = 256, least_precision: float = 0.85) -> list[bytes]:
-    """Greedy cover: strings that mark toxic samples and that ordinary ones lack, best first."""
-    holds: dict[bytes, set[int]] = {}
-    df = Counter(g for t in toxic for g in {t[i : i + GRAM] for i in range(len(t) - GRAM + 1)})
-    least = max(3, round(0.02 * len(toxic)))
-    df = {g: n for g, n in df.items() if n >= least}
-    seen: Counter = Counter()
+def grams(t: bytes) -> list[bytes]:
+    return [t[i : i + GRAM] for i in range(len(t) - GRAM + 1)]
+
+
+def marks(toxic: list[bytes], ordinary: list[bytes], *, sigmas: float = 5.0, least_ratio: float = 50.0) -> set[bytes]:
+    """Strings of toxic texts that hardly occur in ordinary ones: more texts hold them than chance explains."""
+    here = Counter(g for t in toxic for g in set(grams(t)))
+    least = max(3, round(0.004 * len(toxic)))
+    here = {g: n for g, n in here.items() if n >= least}
+    there: Counter = Counter()
     for t in ordinary:
-        seen.update(df.keys() & {t[i : i + GRAM] for i in range(len(t) - GRAM + 1)})
-    nt, no = len(toxic), max(1, len(ordinary))
-
-    def marks(g: bytes) -> bool:
-        rate, other = df[g] / nt, (seen[g] + 0.5) / no
-        expected = nt * (seen[g] + 1) / no
-        return rate >= least_precision * (rate + other) and df[g] - expected > 3.5 * (expected + 1) ** 0.5
-
-    good = {g for g in df if marks(g)}
-    left = dict(enumerate(toxic))
-    spots = {k: [i for i in range(len(t) - GRAM + 1) if t[i : i + GRAM] in good] for k, t in left.items()}
-
-    def note(k: int) -> None:
-        for i in spots[k]:
-            holds.setdefault(left[k][i : i + GRAM], set()).add(k)
-
-    for k in left:
-        note(k)
-    covered, chosen = Counter(), []
-    while holds and len(chosen) < most:
-        gain = {g: sum(0.6 ** covered[k] for k in ks) for g, ks in holds.items()}
-        g = max(gain, key=lambda x: (gain[x], x.count(b" "), x))
-        if gain[g] < 1.0:
-            break
-        longer = _extend(g, toxic)
-        chosen.append(longer)
-        for k in list(holds[g]):  # what a chosen segment covers no longer speaks for others
-            covered[k] += 1
-            for i in spots[k]:
-                holds[left[k][i : i + GRAM]].discard(k)
-            left[k] = left[k].replace(longer, b"\x00" * len(longer)).replace(g, b"\x00" * len(g))
-            spots[k] = [i for i in spots[k] if left[k][i : i + GRAM] in good]
-            note(k)
-        holds = {h: ks for h, ks in holds.items() if ks and h != g}
-    return list(dict.fromkeys(chosen))
-
-
-def _extend(g: bytes, samples: list[bytes]) -> bytes:
-    """Lengthen a segment while most of its places go on alike, up to a word's ends."""
-    for side in (1, -1):
-        while len(g) < 24 and g[:: side * -1][:1] != b" ":
-            near = Counter(t[m.end() : m.end() + 1] if side == 1 else t[m.start() - 1 : m.start()] for t in samples for m in re.finditer(re.escape(g), t))
-            c, n = near.most_common(1)[0] if near else (b"", 0)
-            if not c or n < 0.7 * sum(near.values()):
-                break
-            g = g + c if side == 1 else c + g
-    return g
+        there.update(here.keys() & set(grams(t)))
+    ratio = len(toxic) / max(1, len(ordinary))
+    out = set()
+    for g, n in here.items():
+        expected = ratio * (there[g] + 1)
+        if n - expected > sigmas * (expected + 1) ** 0.5 and there[g] * ratio * least_ratio <= n:
+            out.add(g)
+    return out or {g for g, n in here.items() if not there[g]}  # too few texts for significance
+
+
+def stretches(t: bytes, known: set[bytes]) -> list[bytes]:
+    """Maximal runs of bytes that lie in a known string."""
+    on = np.zeros(len(t) + 2, np.int8)
+    for i, g in enumerate(grams(t)):
+        if g in known:
+            on[i + 1 : i + 1 + GRAM] = 1
+    edges = np.flatnonzero(np.diff(on)).reshape(-1, 2)
+    return [t[a:b] for a, b in edges]
+
+
+def train(samples: list[bytes], size: int, **more: int) -> bytes:
+    try:
+        return zstandard.train_dictionary(size, samples, **more).as_bytes()
+    except zstandard.ZstdError:  # too few samples to train on
+        return b"".join(samples)[-size:]
 
 
 def dictionaries(pairs: list[tuple[str, int]]) -> Model:
     toxic = [plain(t) for t, y in pairs if y]
     ordinary = [plain(t) for t, y in pairs if not y]
-    try:
-        known = zstandard.train_dictionary(16384, [o[i : i + 512] for o in ordinary for i in range(0, len(o), 512)][:20000]).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on
-        known = b"".join(ordinary)[-16384:]
-    return Model(known, b"\x00".join([b"", *segments(toxic, ordinary)[::-1], b""]) + b"\x00" * 8, [])
+    stock = train([o[i : i + 512] for o in ordinary for i in range(0, len(o), 512)], ORDINARY_BYTES)
+    known = marks(toxic, ordinary)
+    samples = [b"\x00".join(s) for s in (stretches(t, known) for t in toxic) if s]
+    learned = train(samples, TOXIC_BYTES, k=16, d=GRAM)
+    return Model(stock, b"\x00".join([b"", *stretches(learned, known), b""]) + b"\x00" * 8, [])
 
 
 def learn(texts: list[str], labels: list[int], toxic_share: float | None = None) -> Model:
@@ -196,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with a score of each text; all columns are carried along."""
+    """``docs`` with a score of each text; all other columns are carried along."""
+    docs = docs.drop(out)
     shipped = docs.sparkSession.sparkContext.broadcast((model.ordinary, model.toxic, model.weights))
     schema = docs.select("*", F.lit(0.0).alias(out)).schema
     at = docs.columns.index(text_col)
