@@ -7,8 +7,10 @@ size bands; a band's P exceeds the largest symmetric difference that two linked
 it can have, plus a reserve e, so linked sets agree in more than e cells (pigeonhole).
 A document near the top of its band also takes part in the next one.
 
-Equal cells are found by an aggregation on (band, cell, value).  Cells that many share
-(blank cells, a passage common to many documents) are met by the reserve: of its cells,
+Every cell is shuffled once, by (band, cell, value); a window over equal cells keeps those
+that two different sets share.  A document brings a cell at most once and a task sends the
+cells of equal sets once, so the cells of one group of copies are no more than its share of
+documents.  Cells that many share (blank cells, a passage common to many documents) are met by the reserve: of its cells,
 a document need not use the e most frequent ones, as among the more than e that it
 shares with a partner the rarest is never one of them, on either side.
 
@@ -22,8 +24,9 @@ throughout.  The sets in a node are told apart by 64-bit hashes of their element
 
 Edge cases: null and empty texts and texts without words have no elements and link with
 nothing; texts of fewer words than n are one element; equal texts link; repeated ids are
-separate documents that share a name; a null id never names a component that has
-another; an empty table gives no rows; other columns are not read.
+separate documents that share a name; null ids link like others, and a null id never
+names a component that has another; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -32,16 +35,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import Workspace, connected_components, mix, signed, slices, table, utf8
 from plumbline.llm.words import BLANK_SEPARATED, Words
 
 #: Members of a block in the comparison of what is left of a group.
-BLOCK = 256
-#: Keys that are sent to all tasks at most (8 bytes each); beyond it the join shuffles.
-BROADCAST_KEYS = 500_000
+BLOCK = 2048
 
 
 class Bands:
@@ -120,30 +121,34 @@ def element_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
+#: Sets that a task remembers, so as to send the cells of equal sets once; the store starts anew when full.
+SEEN = 200_000
+
+
 def _sets_and_sketches(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
     def run(batches):
+        seen: set[int] = set()
+        longs = pa.list_(pa.int64())
+        none = np.zeros(0, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                sizes, nodes, first, second, reserve1, reserve2, bits1, bits2 = [], [], [], [], [], [], [], []
+                sizes, nodes, first, second = [], [], [], []
                 for s in element_sets(part.column("text"), n):
-                    sizes.append(len(s))
-                    nodes.append(node_of(s) if len(s) else None)
+                    node = node_of(s) if len(s) else None
                     keys = []
-                    for b in bands.of(len(s)) if len(s) else ():
-                        _, reserve, cells = bands.cells_for(bands.tops[b])
-                        keys.append((signed(sketch(s, b, cells)), reserve, parity(s, cells)))
-                    keys += [(np.zeros(0, np.int64), 0, None)] * (2 - len(keys))
-                    first.append(keys[0][0])
-                    second.append(keys[1][0])
-                    reserve1.append(keys[0][1])
-                    reserve2.append(keys[1][1])
-                    bits1.append(keys[0][2])
-                    bits2.append(keys[1][2])
-                longs = pa.list_(pa.int64())
-                cols = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(first, longs), pa.array(second, longs), pa.array(reserve1, pa.int32()), pa.array(reserve2, pa.int32()), pa.array(bits1, pa.binary()), pa.array(bits2, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "node", "keys1", "keys2", "e1", "e2", "bits1", "bits2"])
-
-    return docs.mapInArrow(run, "doc_id long, n long, node long, keys1 array<long>, keys2 array<long>, e1 int, e2 int, bits1 binary, bits2 binary")
+                    if node is not None and node not in seen:
+                        keys = [signed(sketch(s, b, bands.cells_for(bands.tops[b])[2])) for b in bands.of(len(s))]
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(node)
+                    sizes.append(len(s))
+                    nodes.append(node)
+                    first.append(keys[0] if keys else none)
+                    second.append(keys[1] if len(keys) > 1 else none)
+                cols = [part.column("doc_id"), part.column("th"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(first, longs), pa.array(second, longs)]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "th", "n", "node", "keys1", "keys2"])
+
+    return docs.mapInArrow(run, "doc_id long, th long, n long, node long, keys1 array<long>, keys2 array<long>")
 
 
 def node_of(elements: np.ndarray) -> int:
@@ -151,17 +156,22 @@ def node_of(elements: np.ndarray) -> int:
     return int(signed(mix(np.array([mix(elements, 11).sum(dtype=np.uint64) + np.uint64(len(elements))]), 12))[0])
 
 
-def _sets_of(docs: DataFrame, n: int) -> DataFrame:
-    """Elements of each text whose set is the row's node (an id may name several texts)."""
+def _sets_of(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
+    """Elements of each text whose set is the row's node, and its bit sketch of each band (hash collisions of texts fall out)."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                pairs = zip(part.column("node").to_pylist(), element_sets(part.column("text"), n))
-                kept = [(node, s.astype("<u8").tobytes()) for node, s in pairs if len(s) and node_of(s) == node]
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.int64()), pa.array([d for _, d in kept], pa.binary())], names=["node", "elements"])
+                kept, held, bits = [], [], []
+                for node, s in zip(part.column("node").to_pylist(), element_sets(part.column("text"), n)):
+                    if len(s) and node_of(s) == node:
+                        kept.append(node)
+                        held.append(s.astype("<u8").tobytes())
+                        bits.append([parity(s, bands.cells_for(bands.tops[b])[2]) for b in bands.of(len(s))])
+                cols = [pa.array(kept, pa.int64()), pa.array(held, pa.binary()), pa.array(bits, pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["node", "elements", "bits"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, elements binary")
+    return docs.select("node", "text").mapInArrow(run, "node long, elements binary, bits array<binary>")
 
 
 def linked(a: bytes, b: bytes, share: int) -> bool:
@@ -173,41 +183,42 @@ def linked(a: bytes, b: bytes, share: int) -> bool:
 
 
 def near_documents(docs: DataFrame, *, n: int = 4, share: int = 85, id_col: str = "doc_id", text_col: str = "text", ws: Workspace | None = None) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+    """``doc_id, n_shingles, component_id`` of every document.
+
+    Also ``text_hash`` (xxhash64 of the text) and ``is_first``: whether the row is its
+    component's first by id and text hash (null ids last); documents without words are.
+    """
     spark = docs.sparkSession
     ws = ws or Workspace(spark, "ngram-join")
     bands = Bands(share)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     sk = ws.stage(_sets_and_sketches(base, n, bands), "sketches")
-    nodes = ws.stage(sk.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "nodes")
-
-    cells = sk.where("node is not null")
-    each = cells.select("node", F.explode(F.concat("keys1", "keys2")).alias("key"))
-    groups = each.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count(F.lit(1)).alias("members")).where("a <> b")
-    groups = ws.stage(groups, "groups")
+    light = sk.select("doc_id", "th", "n", "node")
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
+    nodes = ws.stage(light.where("node is not null").groupBy("node").agg(place.alias("first"), F.first("n").alias("n")), "nodes")
+
+    # every cell travels once: a document has a cell at most once, so no key outweighs a partition
+    cells = sk.select("node", F.explode("keys1").alias("key"), F.lit(1).alias("side")).union(sk.select("node", F.explode("keys2"), F.lit(2)))
+    same = Window.partitionBy("key")
+    held = cells.withColumns({"a": F.min("node").over(same), "b": F.max("node").over(same), "members": F.count(F.lit(1)).over(same)}).where("a <> b")
+    held = ws.stage(held.groupBy("key", "node", "side").agg(F.first("a").alias("a"), F.first("members").alias("members")), "shared")
+    light = ws.stage(light, "light")
     ws.release()
-    pairs = groups.where("members = 2").select("a", "b")
+    ws.drop("sketches")
 
-    # groups of three or more rows: back to their members, without each member's most frequent cells
-    many = groups.where("members > 2").select("key", "members")
-    many = F.broadcast(many) if many.count() <= BROADCAST_KEYS else many.hint("merge")
-    sided = cells.select("node", "n", F.lit(1).alias("side"), F.col("e1").alias("e"), F.explode("keys1").alias("key")).union(cells.select("node", "n", F.lit(2), F.col("e2"), F.explode("keys2")))
-    held = sided.join(many, "key").groupBy("node", "side", "key").agg(F.first("n").alias("n"), F.first("e").alias("e"), F.first("members").alias("members"))
+    # without each member's most frequent cells: the reserve of its band
+    held = held.join(nodes.select("node", "n").hint("merge"), "node")
     order = Window.partitionBy("node", "side").orderBy(F.desc("members"), F.desc("key"))
-    held = ws.stage(held.withColumn("frequent", F.row_number().over(order)).where("frequent > e").select("key", "node", "n", "side"), "held")
-    cells = sk.join(held.select("node").distinct().hint("merge"), "node").groupBy("node").agg(F.first("bits1").alias("bits1"), F.first("bits2").alias("bits2"))
-    cells = ws.stage(cells, "cells")
-    light = ws.stage(sk.select("doc_id", "n", "node"), "light")
-    ws.release()
-    ws.drop("sketches")
-    least = held.groupBy("key").agg(F.min("node").alias("a"))
-    star = held.join(least.hint("merge"), "key").where("node <> a").select("a", F.col("node").alias("b"))
-    pairs = ws.stage(pairs.union(star).distinct(), "pairs")
-
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(held.select("node")).distinct()  # never more than the nodes of a group
-    reps = wanted.join(nodes, "node").where("rep is not null").select("node", F.col("rep").alias("doc_id"))
-    texts = base.join(reps.hint("merge"), "doc_id")
-    elements = _sets_of(texts, n)
+    held = held.withColumn("frequent", F.row_number().over(order)).where(F.col("frequent") > _reserve(bands, F.col("n"), F.col("side"))).select("key", "node", "n", "side")
+    held = ws.stage(held, "held")
+    ws.drop("shared")
+    least = ws.stage(held.groupBy("key").agg(F.min("node").alias("a")), "least")  # so that the join can split a hot group
+    pairs = ws.stage(held.join(least.hint("merge"), "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
+
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    reps = wanted.join(nodes, "node").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"))
+    texts = base.alias("l").join(reps.hint("merge").alias("r"), (F.col("l.th") == F.col("r.th")) & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")))
+    elements = _sets_of(texts.select("r.node", "l.text"), n, bands)
     elements = ws.stage(elements.dropDuplicates(["node"]), "elements")
     ws.release()
 
@@ -231,7 +242,7 @@ def near_documents(docs: DataFrame, *, n: int = 4, share: int = 85, id_col: str
     compared = pairs
     for step, nearest in enumerate((True, True, False)):
         at = held.join(cc.hint("merge"), "node", "left").select("key", "node", "n", "side", F.coalesce("component", "node").alias("component"))
-        near = ws.stage(_across(ws, at, cells, share, nearest, step), f"near{step}")
+        near = ws.stage(_across(ws, at, elements, share, nearest, step), f"near{step}")
         if near.isEmpty():
             break
         fresh = ws.stage(near.join(compared.hint("merge"), ["a", "b"], "left_anti"), f"fresh{step}")
@@ -241,13 +252,26 @@ def near_documents(docs: DataFrame, *, n: int = 4, share: int = 85, id_col: str
         links = links.union(verified(fresh, f"links{step}"))
         cc = connected_components(ws, links, f"cc{step}")
 
-    named = nodes.join(cc.hint("merge"), "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(least.hint("merge"), "component").select("node", "component_id")
-    return light.join(named.hint("merge"), "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = nodes.join(cc.hint("merge"), "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    first = ws.stage(named.groupBy("component").agg(F.min("first").alias("first")), "first")
+    named = named.select("node", "component").join(first.hint("merge"), "component").select("node", "first")
+    named = ws.stage(named, "named")
+    for name in ("elements", "held", "least", "pairs", "nodes", "first"):
+        ws.drop(name)
+    ws.release()
+    here = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th")
+    out = light.join(named.hint("merge"), "node", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("first.doc_id", "doc_id").alias("component_id"), F.col("th").alias("text_hash"), (F.col("first").isNull() | here.eqNullSafe(F.col("first"))).alias("is_first"))
+
+
+def _reserve(bands: Bands, n: Column, side: Column) -> Column:
+    """Reserve of the band that a set of ``n`` elements takes part in on a side (see ``Bands.of``)."""
+    own = F.size(F.filter(F.array(*[F.lit(t) for t in bands.tops]), lambda t: t < n))
+    reserves = F.array(*[F.lit(bands.cells_for(t)[1]) for t in bands.tops])
+    return F.get(reserves, F.when(own == 0, F.lit(1)).otherwise(own + side - 1))
 
 
-def _across(ws: Workspace, at: DataFrame, cells: DataFrame, share: int, nearest: bool, step: int) -> DataFrame:
+def _across(ws: Workspace, at: DataFrame, elements: DataFrame, share: int, nearest: bool, step: int) -> DataFrame:
     """Pairs of a group in different components whose bit sketches are near enough for a link.
 
     ``nearest`` keeps for each member of a block the nearest of them.
@@ -255,8 +279,9 @@ def _across(ws: Workspace, at: DataFrame, cells: DataFrame, share: int, nearest:
     mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
     mixed = ws.stage(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), f"mixed{step}")
     place = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    rows = at.join(mixed.hint("merge"), "key").join(cells.hint("merge"), "node")
-    rows = rows.withColumn("sketch", F.when(F.col("side") == 1, F.col("bits1")).otherwise(F.col("bits2"))).withColumn("block", place)
+    rows = ws.stage(at.join(mixed.hint("merge"), "key"), f"rows{step}")
+    rows = rows.join(elements.select("node", "bits").hint("merge"), "node")
+    rows = rows.withColumn("sketch", F.get("bits", F.least(F.col("side"), F.size("bits")) - 1)).withColumn("block", place)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).select("key", "i", "j", "block", "node", "n", "component", "sketch")
 
@@ -285,7 +310,7 @@ def _across(ws: Workspace, at: DataFrame, cells: DataFrame, share: int, nearest:
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_documents(table(spark, sf_dir, "documents"))
+    return near_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 ORACLE_SQL = r"""
