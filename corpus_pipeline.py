@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import decontamination, line_dedup, ngram_join, packing, toxicity
-from plumbline.llm.common import Workspace, table
+from plumbline.llm.common import Workspace, free_name, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold, by a model fitted on the labelled ones."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, out="__toxicity").where(F.col("__toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    name = free_name(docs, "toxicity")
+    return toxicity.score(docs, model, out=name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +37,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group linked at a similarity of 0.8 on five words."""
+    """The first document, by id and text hash, of each group linked at a similarity of 0.8 on five words."""
     found = ngram_join.near_documents(docs, n=5, share=80)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    gone = found.where("not is_first").select(F.col("doc_id").alias("id"), "text_hash").distinct()
+    rows = docs.alias("l").join(gone.hint("merge").alias("r"), (F.xxhash64("l.text") == F.col("r.text_hash")) & F.col("l.doc_id").eqNullSafe(F.col("r.id")), "left_anti")
+    return rows.select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
