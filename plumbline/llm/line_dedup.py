@@ -1,31 +1,37 @@
 """Operator 4: repeated runs of lines, with DataFrame functions only.
 
-Lines become 128-bit ids.  Suffixes of the id sequences are grouped by prefix
-doubling: suffixes that agree on 2**k lines get a common name; the name for twice as
-many lines comes from the names of two suffixes 2**k lines apart.  A suffix whose
-group holds nobody else leaves the race at once, so later rounds see only what still
-repeats.  Groups at depth ``min_lines`` are the intervals of the suffix array with a
-longest common prefix of that many lines; a longer repeated run is the union of such
-prefixes of its suffixes, so doubling need not go deeper to find maximal runs.
+Lines become 128-bit ids, and prefix doubling orders the suffixes of the id sequences
+into intervals: all suffixes that agree on their first ``d`` lines, ranked by the place of
+the first of them.  The intervals at ``2 d`` come from the pairs of intervals of two
+suffixes ``d`` lines apart.  An interval of one suffix leaves the race at once, so later
+rounds see only what still repeats, and doubling ends when nothing does: after as many
+rounds as the longest repeated run has binary digits.
+
+An interval at depth ``d`` says that the suffixes in it have a common prefix of ``d``
+lines at least; a suffix that is not the first of its interval starts a later copy.  Its
+prefixes of all depths that it reaches, united with those of its neighbours, are the
+maximal repeated runs: a run of any length ends where the run's last ``min_lines`` lines
+do, and these are an interval of their own.  Lines of runs go, with blank lines between
+them; the copy that comes first by (document id, line) stays.  Blank lines do not count.
 
 With ``long_words`` a single line of so many words (between white space) is a run too,
-settled from the groups of one line, which are built anyway.
-
-In each group the copy that comes first by (document id, line) stays; lines covered by
-a later copy go, with blank lines between them.  Blank lines do not count as lines.
+settled from the intervals of depth one.
 
 Edge cases: null text stays null; empty text and blank lines stay; rows that repeat
 both id and text are one document and get the same result; null ids come first; copies
 of one run inside one document count (the first stays); an empty table gives no rows;
-other columns are carried along and never read.
+other columns are carried along and never read, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Workspace, table
+from plumbline.functions.text import once
+from plumbline.llm.common import Workspace, free_name, table
 
 MIN_LINES = 2
 #: Words from which the pipeline takes a single line for a run.
@@ -58,36 +64,39 @@ def suffixes(docs: DataFrame, long_words: int | None = None) -> DataFrame:
     return rows.select(*KEY, "pos", F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.col("s.a").alias("a"), F.col("s.b").alias("b"), F.col("s.long").alias("long"))
 
 
-def repeated(rows: DataFrame, ws: Workspace, name: str) -> DataFrame:
-    """Rows whose name another row has too, with the first copy of the group.
+def intervals(rows: DataFrame, ws: Workspace, depth: int) -> DataFrame:
+    """Suffixes that share their first ``depth`` lines with another, each with the rank of its interval.
 
-    The groups are written first: a join of two shuffles can split a hot group.
+    The rank is the place of the interval's first suffix, in the order of documents and
+    lines.  Intervals are written first: a join of two shuffles can split a hot one.
     """
     place = F.struct("__id", "pos", "__h1", "__h2")
-    groups = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first")).where("copies > 1")
-    groups = ws.stage(groups, name)
-    return rows.join(groups.hint("merge"), ["a", "b"])  # one plan at every size
-
-
-def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
-    """Documents' windows of ``min_lines`` lines, and long single lines, of which an earlier copy exists."""
-    here = F.struct("__id", "pos", "__h1", "__h2")
-    rows = suffixes(docs, long_words)
-    if min_lines > 1:
-        rows = repeated(rows, ws, "groups1").withColumn("again", F.col("long") & ~here.eqNullSafe(F.col("first"))).drop("copies", "first")
-    single = current = ws.stage(rows.drop("long"), "depth1")
+    groups = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("rank")).where("copies > 1").drop("copies")
+    groups = ws.stage(groups, f"intervals{depth}")
+    return ws.stage(rows.join(groups.hint("merge"), ["a", "b"]), f"depth{depth}")  # one plan at every size
+
+
+def later_copies(docs: DataFrame, ws: Workspace, *, min_lines: int = MIN_LINES, long_words: int | None = None) -> list[DataFrame]:
+    """Spans of lines of which an earlier copy exists, a table for each depth that any suffix reaches."""
+    later = ~F.struct("__id", "pos", "__h1", "__h2").eqNullSafe(F.col("rank"))
+    current = intervals(suffixes(docs, long_words), ws, 1)
+    found = [] if long_words is None or min_lines == 1 else [current.where(F.col("long") & later)]
     depth = 1
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)  # the last round overlaps where min_lines is no power of two
+    while True:
+        if depth >= min_lines:
+            found.append(current.where(later))
+        if min_lines == 1:  # every repeated line is a run of its own, and blank lines stay
+            break
+        step = depth if depth >= min_lines else min(depth, min_lines - depth)  # the last step up to min_lines may overlap
         right = current.select(*KEY, (F.col("pos") - step).alias("pos"), F.col("last").alias("last2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
         pairs = current.alias("l").join(right.hint("merge").alias("r"), _same("l", "r") & (F.col("l.pos") == F.col("r.pos")))
         depth += step
-        named = pairs.select(*[f"l.{c}" for c in KEY], "l.pos", "l.line", F.col("r.last2").alias("last"), F.xxhash64("l.a", "r.a2", "l.b").alias("a"), F.xxhash64("l.b", "r.b2", "r.a2").alias("b"))
-        current = ws.stage(named if depth >= min_lines else repeated(named, ws, f"groups{depth}").drop("copies", "first"), f"depth{depth}")
-    found = repeated(current, ws, "groups").where(~here.eqNullSafe(F.col("first"))).select(*KEY, "line", "last")
-    if long_words is None or min_lines == 1:
-        return found
-    return found.union(single.where("again").select(*KEY, "line", "last"))
+        named = pairs.select(*[f"l.{c}" for c in KEY], "l.pos", "l.line", F.col("r.last2").alias("last"), F.xxhash64("l.a", "r.a2", "l.b").alias("a"), F.xxhash64("l.b", "r.b2", "r.a2").alias("b"), "l.long")
+        current = intervals(ws.stage(named, f"named{depth}"), ws, depth)
+        ws.drop(f"named{depth}")
+        if current.isEmpty():
+            break
+    return [f.select(*KEY, "line", "last") for f in found]
 
 
 def _same(left: str, right: str) -> Column:
@@ -95,12 +104,19 @@ def _same(left: str, right: str) -> Column:
     return (F.col(f"{left}.__h1") == F.col(f"{right}.__h1")) & (F.col(f"{left}.__h2") == F.col(f"{right}.__h2")) & F.col(f"{left}.__id").eqNullSafe(F.col(f"{right}.__id"))
 
 
+def _no_spans(base: DataFrame) -> DataFrame:
+    return base.where(F.lit(False)).select("__id", *_key(F.col("__text")), F.lit(0).alias("line"), F.lit(0).alias("last"))
+
+
 def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words: int | None = None, id_col: str = "doc_id", text_col: str = "text", ws: Workspace | None = None) -> DataFrame:
-    """``docs`` with later copies deleted from the text, ``n_lines`` and the deleted ``runs`` (line numbers, end included)."""
+    """``docs`` with later copies deleted from the text, ``n_lines`` and the deleted ``runs`` (line numbers, end included).
+
+    Columns of ``docs`` that have these two names are replaced.
+    """
     ws = ws or Workspace(docs.sparkSession, "line-dedup")
     base = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    windows = later_copies(base, ws, min_lines=min_lines, long_words=long_words)
-    runs = windows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("line", "last"))).alias("w"))  # bounded by the lines of one document
+    spans = reduce(DataFrame.union, later_copies(base, ws, min_lines=min_lines, long_words=long_words), _no_spans(base))
+    runs = spans.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("line", "last"))).alias("w"))  # bounded by the lines of one document
     start = F.array().cast("array<struct<line:int,last:int>>")
 
     def merge(acc, w):
@@ -109,11 +125,21 @@ def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words: int
         return F.when((F.size(acc) > 0) & (w["line"] <= end["last"] + 1), joined).otherwise(F.array_append(acc, F.struct(w["line"].alias("line"), w["last"].alias("last"))))
 
     runs = ws.stage(runs.select(*KEY, F.aggregate("w", start, merge).alias("__runs")), "runs")
-    keyed = docs.select("*", F.col(id_col).alias("__id"), *_key(F.col(text_col))).alias("l")
-    out = keyed.join(runs.hint("merge").alias("r"), _same("l", "r"), "left").select("l.*", "r.__runs")
-    kept = F.filter(_lines(F.col(text_col)), lambda x, i: ~F.exists("__runs", lambda r: (r["line"] <= i) & (i <= r["last"])))
-    others = [c for c in docs.columns if c != text_col]
-    return out.select(*others, F.size(_lines(F.col(text_col))).alias("n_lines"), F.coalesce("__runs", start).alias("runs"), F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col))
+    ws.release()
+    names = [free_name(docs, f"__{c}") for c in ("id", "h1", "h2", "found")]
+    id_, h1, h2, found = names
+    keyed = docs.select("*", F.col(id_col).alias(id_), *[c.alias(n) for c, n in zip(_key(F.col(text_col)), (h1, h2))]).alias("l")
+    same = (F.col(f"l.{h1}") == F.col("r.__h1")) & (F.col(f"l.{h2}") == F.col("r.__h2")) & F.col(f"l.{id_}").eqNullSafe(F.col("r.__id"))
+    out = keyed.join(runs.hint("merge").alias("r"), same, "left").select("l.*", F.col("r.__runs").alias(found))
+
+    def between(lines: Column, k: Column) -> Column:
+        """Lines after run ``k - 1`` and before run ``k``."""
+        first = F.coalesce(F.get(F.col(found), k - 1)["last"] + 1, F.lit(0))
+        return F.slice(lines, first + 1, F.greatest(F.lit(0), F.coalesce(F.get(F.col(found), k)["line"], F.size(lines)) - first))
+
+    kept = once(_lines(F.col(text_col)), lambda lines: F.flatten(F.transform(F.sequence(F.lit(0), F.size(found)), lambda k: between(lines, k))))
+    others = [c for c in docs.columns if c not in (text_col, "n_lines", "runs")]
+    return out.select(*others, F.size(_lines(F.col(text_col))).alias("n_lines"), F.coalesce(found, start).alias("runs"), F.when(F.col(found).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col))
 
 
 def deleted_lines() -> Column:
