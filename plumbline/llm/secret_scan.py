@@ -2,8 +2,8 @@
 
 Base kinds are leftmost non-overlapping matches of fixed patterns.  The method adds
 ``entropy`` spans: candidate strings are maximal runs of token characters; a window
-slides over each, and its Shannon entropy is kept up to date from the counts of the
-one character that leaves and the one that enters.  Entropies are whole numbers (a
+slides over each with the count of every character in it; a step adjusts the counts of
+the one that leaves and the one that enters, and the Shannon entropy by their change.  Entropies are whole numbers (a
 table of c*log2(c)), so nothing drifts.  Candidates fall in character classes with
 thresholds of their own; an allow-list and spans already found suppress them.
 
@@ -12,6 +12,7 @@ the matches and of the pieces between them, as running sums.
 
 Edge cases: null text counts as empty and has no spans; repeated rows give equal rows;
 a null id stays null; an empty table gives no rows; other columns are not read.
+Texts and candidates of any length are read whole, in time that grows with their length.
 Offsets count code points, ends are exclusive.
 """
 
@@ -22,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.text import once
 from plumbline.llm.common import table
 
 #: kind -> (pattern, group whose length decides, least length)
@@ -38,6 +40,13 @@ CLASSES = {"hex": (r"^[0-9A-Fa-f]+$", 3.1), "alphanumeric": (r"^[0-9A-Za-z]+$",
 #: A candidate that fits one of these is no secret: no digit or no letter, a UUID, placeholders.
 ALLOW = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"(?i)example|placeholder|xxxx|0123456789|abcdefgh")
 
+#: Windows of a candidate that one fold looks at.
+BLOCK = 104
+_BLOCKS = rf"(?s)(?=(.{{1,{BLOCK + WINDOW - 1}}})).{{1,{BLOCK}}}"
+#: Counts are kept as five bits a character, twelve to a number; codes start at "+".
+_FIRST, _BITS, _PER_WORD = ord("+"), 5, 12
+_WORDS = (ord("z") - _FIRST) // _PER_WORD + 1
+
 _SCALE = 1_000_000
 _TABLE = [0] + [round(_SCALE * c * math.log2(c)) for c in range(1, WINDOW + 1)]
 
@@ -79,34 +88,61 @@ def locate(df: DataFrame, text: str, pattern: str, out: str, group: int = 0) ->
     return df.select(*kept, found.alias(out))
 
 
-def _count(s: Column, start: Column, n: int, ch: Column) -> Column:
-    return F.lit(n) - F.length(F.replace(F.substring(s, start, F.lit(n)), ch, F.lit("")))
-
-
 def _f(c: Column) -> Column:
     return F.get(F.array(*[F.lit(v).cast("long") for v in _TABLE]), c)
 
 
-def hot_windows(s: Column, limit: Column) -> Column:
-    """(first, last) window of ``s`` whose sum of c*log2(c) is at most ``limit``; -1 without any."""
-    head = F.substring(s, F.lit(1), F.lit(WINDOW))
-    total = F.aggregate(F.array_distinct(F.split(head, "")), F.lit(0).cast("long"), lambda a, ch: a + F.when(ch == "", F.lit(0).cast("long")).otherwise(_f(_count(s, F.lit(1), WINDOW, ch))))
-    state = F.struct(total.alias("sum"), F.lit(-1).cast("long").alias("first"), F.lit(-1).cast("long").alias("last"))
+def _codes(s: Column) -> Column:
+    """Characters of a candidate as small whole numbers."""
+    return F.transform(F.filter(F.split(s, ""), lambda c: c != ""), lambda c: F.ascii(c) - _FIRST)
+
+
+def _word(code: Column) -> Column:
+    return (code / _PER_WORD).cast("int")
+
+
+def _bit(code: Column) -> Column:
+    return code % _PER_WORD * _BITS
 
-    def note(total, st, i):
-        hot = total <= limit
-        return F.struct(total.alias("sum"), F.when(hot & (st["first"] < 0), i).otherwise(st["first"]).cast("long").alias("first"), F.when(hot, i).otherwise(st["last"]).cast("long").alias("last"))
 
-    def slide(st, i):
-        gone, come = F.substring(s, i, F.lit(1)), F.substring(s, i + WINDOW, F.lit(1))
-        was = _count(s, i, WINDOW, gone)
-        now = _count(s, i + 1, WINDOW - 1, come)
-        after = st["sum"] + _f(was - 1) - _f(was) + _f(now + 1) - _f(now)
-        return note(F.when(gone == come, st["sum"]).otherwise(after), st, i)
+def _slide(codes: Column, limit: Column) -> Column:
+    """(first, last) window of a block whose sum is at most ``limit``, by one fold over its characters.
+
+    The state holds the count of every character in the window, five bits each, and the
+    sum of c*log2(c); a step adjusts the counts of the character that leaves and of the
+    one that enters, and the sum by their change.
+    """
+    zero, none = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    start = F.struct(F.array_repeat(zero, _WORDS).alias("counts"), zero.alias("sum"), none.alias("first"), none.alias("last"))
+
+    def count(counts: Column, code: Column) -> Column:
+        return F.call_function("shiftright", F.get(counts, _word(code)), _bit(code)).bitwiseAND(31).cast("int")
+
+    def one(code: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), _bit(code))
+
+    def step(st: Column, i: Column) -> Column:
+        come, gone = F.get(codes, i), F.get(codes, i - WINDOW)  # nothing leaves the first windows
+        was, now = count(st["counts"], gone), count(st["counts"], come)
+        counts = F.transform(st["counts"], lambda w, k: w + F.when(_word(come) == k, one(come)).otherwise(zero) - F.when(_word(gone) == k, one(gone)).otherwise(zero))
+        less = F.coalesce(_f(was - 1) - _f(was), zero)
+        total = st["sum"] + F.when(gone.eqNullSafe(come), zero).otherwise(less + _f(now + 1) - _f(now))
+        at = (i - (WINDOW - 1)).cast("long")
+        hot = (at >= 0) & (total <= limit)
+        return F.struct(counts.alias("counts"), total.alias("sum"), F.when(hot & (st["first"] < 0), at).otherwise(st["first"]).alias("first"), F.when(hot, at).otherwise(st["last"]).alias("last"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last")))
+
+
+def hot_windows(s: Column, limit: Column) -> Column:
+    """(first, last) window of ``s`` whose sum of c*log2(c) is at most ``limit``; null without any.
 
-    steps = F.when(F.length(s) > WINDOW, F.sequence(F.lit(1), F.length(s) - WINDOW)).otherwise(F.array().cast("array<int>"))
-    first = F.struct(total.alias("sum"), F.when(total <= limit, 0).otherwise(-1).cast("long").alias("first"), F.when(total <= limit, 0).otherwise(-1).cast("long").alias("last"))
-    return F.aggregate(steps, first, slide)
+    A candidate is cut once into blocks of ``BLOCK`` windows, which overlap by a window
+    less one character, so the work grows with its length and a block's state is small.
+    """
+    blocks = F.regexp_extract_all(s, F.lit(_BLOCKS), F.lit(1))
+    found = F.transform(blocks, lambda b, k: once(_codes(b), lambda codes: once(_slide(codes, limit), lambda h: F.when(h["first"] >= 0, F.struct((h["first"] + k * BLOCK).alias("first"), (h["last"] + k * BLOCK).alias("last"))))))
+    return once(F.array_compact(found), lambda h: F.when(F.size(h) > 0, F.struct(F.get(h, 0)["first"].alias("first"), F.element_at(h, -1)["last"].alias("last"))))
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,12 +161,11 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     base = F.concat(*[spans(k, i, long_enough(k, least)) for i, (k, (_, _, least)) in enumerate(KINDS.items())])
     df = df.withColumn("base", base)
-    wanted = F.filter("candidate", lambda m: ~F.exists("base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])) & ~F.lit(False).__or__(_any(m["value"])))
+    wanted = F.filter("candidate", lambda m: ~F.exists("base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])) & ~_any(m["value"]))
     df = df.withColumn("wanted", F.when(F.size("candidate") > 0, wanted))
-    limit = lambda v: _by_class(v)
-    hot = F.transform("wanted", lambda m: F.struct(m["start"].alias("start"), hot_windows(m["value"], limit(m["value"])).alias("hot")))
+    hot = F.transform("wanted", lambda m: F.struct(m["start"].alias("start"), hot_windows(m["value"], _by_class(m["value"])).alias("hot")))
     df = df.withColumn("hot", F.when(F.size("wanted") > 0, hot))
-    more = F.transform(F.filter("hot", lambda h: h["hot"]["first"] >= 0), lambda h: F.struct((h["start"] + h["hot"]["first"]).alias("start"), (h["start"] + h["hot"]["last"] + WINDOW).cast("long").alias("end")))
+    more = F.transform(F.filter("hot", lambda h: h["hot"].isNotNull()), lambda h: F.struct((h["start"] + h["hot"]["first"]).alias("start"), (h["start"] + h["hot"]["last"] + WINDOW).cast("long").alias("end")))
     return df.select("doc_id", F.array_sort(F.concat("base", spans("entropy", len(KINDS), more))).alias("spans"))
 
 
