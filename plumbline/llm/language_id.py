@@ -11,6 +11,8 @@ matrix product of its presence matrix.
 Training reads at most ``per_language`` labelled texts of each language (a bounded
 sample by hash of the id, a documented parameter); scoring reads every whole text.
 
+Letters are those of any script and plane; marks, digits and symbols are none.
+
 Edge cases: null, empty or letterless text gives ``und`` with score 0; null languages
 are not learned; a single learned language is always predicted; without labelled rows
 all predictions are ``und``; repeated rows get equal predictions; a null id is not held
@@ -31,7 +33,7 @@ CLASSES = 1 << BITS
 #: Prediction of texts without letters.
 UNDETERMINED = "und"
 
-_letter = np.fromiter((chr(i).isalpha() for i in range(0x10000)), bool, 0x10000)
+_letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 def presence(texts: list[str | None]) -> np.ndarray:
@@ -41,8 +43,7 @@ def presence(texts: list[str | None]) -> np.ndarray:
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = [len(t.lower()) + 1 if t is not None else 1 for t in texts]
     row = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)
-    small = codes < 0x10000
-    letters = np.where(small, _letter[np.where(small, codes, 0)], True)
+    letters = _letter[codes]
     codes = np.where(letters, codes, 32).astype(np.uint64)
     lettered = np.zeros(len(texts), bool)
     lettered[row[letters]] = True
