@@ -15,6 +15,7 @@ each; null ids stay null; an empty table gives no rows; other columns are not re
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,130 +30,121 @@ PIECES = "doc_id long, piece int, start long, length long, shard int, rank_in_sh
 
 # ---------------------------------------------------------------- the search
 
-def fillings(counts: np.ndarray, gap: int, most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``gap`` from the lengths at hand, least waste first.
+def fillings(counts: list[int], gap: int) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``gap`` from the lengths at hand, least waste first.
 
-    One, two or three items, and the greedy filling with largest first.  A filling goes
-    if another's items can hold all of its items one in one.
+    Lazily: for each waste in turn the multisets of exactly that sum, larger items first,
+    led by the sums that smaller lengths can reach (sets of sums are bits of a number).
+    A filling is dominated, and left out, if another item fits besides, or could take the
+    place of one or several of its items that sum to no more.
     """
-    if gap <= 0:
-        return [()]
-    sizes = np.nonzero(counts[: gap + 1])[0]
-    if not len(sizes):
-        return [()]
-    below = np.zeros(gap + 1, np.int64)
-    below[sizes] = sizes
-    below = np.maximum.accumulate(below)
-    found: set[tuple[int, ...]] = {(int(sizes[-1]),)}
-    if sizes[-1] != gap:
-        first = sizes[::-1]
-        second = below[gap - first]
-        second = np.where(second > first, first, second)
-        second = np.where((second == first) & (counts[first] < 2), below[first - 1], second)
-        order = np.argsort(-(first + second), kind="stable")[:most]
-        found.update((int(a), int(b)) if b else (int(a),) for a, b in zip(first[order], second[order]))
-        if max(map(sum, found)) < gap:
-            for a in first[:64]:
-                rest = sizes[sizes <= min(a, gap - a)][::-1]
-                if not len(rest):
-                    continue
-                third = np.minimum(below[gap - a - rest], rest)
-                total = a + rest + third
-                k = int(np.argmax(total))
-                f = tuple(int(x) for x in (a, rest[k], third[k]) if x)
-                if all(f.count(x) <= counts[x] for x in f):
-                    found.add(f)
-        greedy, left, used = [], gap, {}
-        while left and (x := int(below[left])):
-            take = min(left // x, int(counts[x]) - used.get(x, 0))
-            if take <= 0:
-                smaller = sizes[sizes < x]
-                if not len(smaller):
-                    break
-                below = np.where(below >= x, smaller[-1], below)
-                continue
-            greedy += [x] * take
-            used[x] = used.get(x, 0) + take
-            left -= x * take
-        found.add(tuple(greedy))
-    ranked = sorted(found, key=lambda f: (-sum(f), len(f), tuple(-x for x in f)))
-    kept: list[tuple[int, ...]] = []
-    for f in ranked:
-        if not any(len(g) >= len(f) and all(x >= y for x, y in zip(g, f)) for g in kept):
-            kept.append(f)
-    return kept[:most]
+    sizes = [s for s in range(1, gap + 1) if counts[s]]
+    free = sum(1 << s for s in sizes)
+    reach = [1]
+    for s in sizes:
+        sums, copies, k = reach[-1], min(counts[s], gap // s), 1
+        while copies:
+            k = min(k, copies)
+            sums |= sums << (s * k)
+            copies, k = copies - k, 2 * k
+        reach.append(sums & ((2 << gap) - 1))
+
+    def exact(j: int, target: int) -> Iterator[tuple[int, ...]]:
+        if not target:
+            yield ()
+            return
+        while j >= 0 and reach[j + 1] >> target & 1:
+            s = sizes[j]
+            for c in range(min(counts[s], target // s), 0, -1):
+                if reach[j] >> (target - c * s) & 1:
+                    for rest in exact(j - 1, target - c * s):
+                        yield (s,) * c + rest
+            j -= 1
+
+    for waste in range(gap + 1):
+        if reach[-1] >> (gap - waste) & 1:
+            yield from (f for f in exact(len(sizes) - 1, gap - waste) if not _dominated(f, counts, free, waste))
+
+
+def _dominated(filling: tuple[int, ...], counts: list[int], free: int, waste: int) -> bool:
+    """``free``: bits of the lengths at hand."""
+    one, several, sums = 0, 0, 1
+    for x in filling:
+        several |= (sums & ~1) << x
+        one |= 1 << x
+        sums |= sums << x
+    could = several
+    for k in range(1, waste + 1):
+        could |= several << k | (one | 1) << k
+    could &= free
+    for x in set(filling):
+        if counts[x] <= filling.count(x):
+            could &= ~(1 << x)
+    return could != 0
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
-    """Volume bound, and items over half of the capacity that exclude each other."""
-    sizes = np.arange(len(counts))
-    volume = -(-int((sizes * counts).sum()) // capacity)
-    best = volume
-    for k in range(1, capacity // 2 + 1, max(1, capacity // 256)):
-        big = int(counts[capacity - k + 1 :].sum())
-        mid = counts[capacity // 2 + 1 : capacity - k + 1]
-        n_mid = int(mid.sum())
-        free = n_mid * capacity - int((np.arange(capacity // 2 + 1, capacity - k + 1) * mid).sum())
-        small = int((sizes[k : capacity // 2 + 1] * counts[k : capacity // 2 + 1]).sum())
-        best = max(best, big + n_mid + max(0, -(-(small - free) // capacity)))
-    return best
+    """Volume bound, and items over half of the capacity that exclude each other, at every split."""
+    sizes, half = np.arange(len(counts)), capacity // 2
+    number, volume = np.cumsum(counts), np.cumsum(sizes * counts)
+    k = np.arange(1, half + 1)
+    big, mid = number[-1] - number[capacity - k], number[capacity - k] - number[half]
+    free = mid * capacity - (volume[capacity - k] - volume[half])
+    small = volume[half] - volume[k - 1]
+    return int(max(-(-volume[-1] // capacity), (big + mid + np.maximum(0, -(-(small - free) // capacity))).max(initial=0)))
 
 
-def bin_completion(counts, capacity: int, *, branches: int = 8, nodes: int = 1500) -> list[tuple[tuple[int, ...], int]]:
+def bin_completion(counts, capacity: int, *, nodes: int | None = 4000) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths, how many sequences) that hold all items.
 
-    Depth first: the largest item left is completed by each undominated filling in
-    turn, as often as the counts allow.  The first descent takes the best fit each
-    time and is the first incumbent.  A branch ends when its waste leaves no way to
-    beat the incumbent; the search ends at the lower bound or after ``nodes`` nodes
-    (a limit on search effort, never on items: the incumbent always packs them all).
+    Depth first: the largest item left is completed by every undominated filling in turn,
+    as often as the counts allow and then less often.  The first descent takes the best
+    fit each time and is the first incumbent; better packings replace it.  A branch ends
+    when its waste, or the bound of what is left, leaves no way to beat the incumbent.
+    The search ends at the lower bound, when all branches are done, or once an incumbent
+    exists after ``nodes`` nodes (None: never): a limit on effort, as the problem is
+    NP-hard, and never on items: the incumbent always packs them all.
     """
     left = np.array(counts, np.int64)
     total = int((np.arange(len(left)) * left).sum())
     target, best, best_bins = lower_bound(left, capacity), [], None
-    stack: list[list] = []
     path: list[tuple[tuple[int, ...], int]] = []
     bins = waste = visited = 0
 
-    def expand():
-        sizes = np.nonzero(left)[0]
-        big = int(sizes[-1])
-        left[big] -= 1
-        options = fillings(left, capacity - big, branches)
-        left[big] += 1
-        stack.append([(big, *f) for f in options][::-1])
-
-    def undo():
-        nonlocal bins, waste
-        pattern, m = path.pop()
-        bins, waste = bins - m, waste - m * (capacity - sum(pattern))
-        for x in pattern:
-            left[x] += m
-
-    if total:
-        expand()
-    while stack:
-        if not stack[-1]:
+    def order(pattern: tuple[int, ...]) -> tuple:
+        return capacity - sum(pattern), tuple(-x for x in pattern)
+
+    def options() -> Iterator[tuple[tuple[int, ...], int]]:
+        """Sequences for the largest item; those of one largest item come in order, each set of them once."""
+        have = left.tolist()
+        big = max(x for x, n in enumerate(have) if n)
+        last = order(path[-1][0]) if path and path[-1][0][0] == big else None
+        have[big] -= 1
+        for f in fillings(have, capacity - big):
+            pattern = (big, *f)
+            if last is None or order(pattern) > last:
+                for m in range(min(int(left[x]) // pattern.count(x) for x in set(pattern)), 0, -1):
+                    yield pattern, m
+
+    stack = [options()] if total else []
+    while stack and not (best_bins is not None and (best_bins <= target or (nodes is not None and visited >= nodes))):
+        chosen = next(stack[-1], None)
+        if chosen is None:
             stack.pop()
             if path:
-                undo()
+                pattern, m = path.pop()
+                bins, waste = bins - m, waste - m * (capacity - sum(pattern))
+                np.add.at(left, list(pattern), m)
             continue
-        pattern = stack[-1].pop()
-        m = min(int(left[x]) // pattern.count(x) for x in set(pattern))
-        for x in pattern:
-            left[x] -= m
-        path.append((pattern, m))
-        bins, waste, visited = bins + m, waste + m * (capacity - sum(pattern)), visited + 1
-        if best_bins is not None and waste > (best_bins - 1) * capacity - total:
-            undo()
-        elif left.any():
-            expand()
-        else:
-            if best_bins is None or bins < best_bins:
-                best, best_bins = list(path), bins
-            undo()
-        if best_bins is not None and (best_bins <= target or visited >= nodes):
-            break
+        pattern, m = chosen
+        visited += 1
+        np.subtract.at(left, list(pattern), m)
+        path.append(chosen)
+        bins, waste = bins + m, waste + m * (capacity - sum(pattern))
+        hopeless = best_bins is not None and (waste > (best_bins - 1) * capacity - total or bins + lower_bound(left, capacity) >= best_bins)
+        if not hopeless and not left.any():
+            best, best_bins = list(path), bins
+        stack.append(iter(()) if hopeless or not left.any() else options())
     return best
 
 
