@@ -35,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ from plumbline.llm.words import BLANK_SEPARATED, Words
 
 #: Members of a block in the comparison of what is left of a group.
 BLOCK = 2048
+#: Pairs, times cells of a sketch, that are compared in one go.
+PAIRS = 1 << 22
 
 
 class Bands:
@@ -121,6 +124,8 @@ def element_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
+#: Bytes of text that a task looks at together.
+SLICE = 1 << 18
 #: Sets that a task remembers, so as to send the cells of equal sets once; the store starts anew when full.
 SEEN = 200_000
 
@@ -131,7 +136,7 @@ def _sets_and_sketches(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
         longs = pa.list_(pa.int64())
         none = np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 sizes, nodes, first, second = [], [], [], []
                 for s in element_sets(part.column("text"), n):
                     node = node_of(s) if len(s) else None
@@ -161,7 +166,7 @@ def _sets_of(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 kept, held, bits = [], [], []
                 for node, s in zip(part.column("node").to_pylist(), element_sets(part.column("text"), n)):
                     if len(s) and node_of(s) == node:
@@ -237,10 +242,10 @@ def near_documents(docs: DataFrame, *, n: int = 4, share: int = 85, id_col: str
     ws.release()
     cc = connected_components(ws, links)
 
-    # what is left: groups that hold several components.  Twice every member names its nearest
+    # what is left: groups that hold several components.  First every member names its nearest
     # candidate only, which joins clusters at a row a member; then all candidates that remain.
     compared = pairs
-    for step, nearest in enumerate((True, True, False)):
+    for step, nearest in enumerate((True, False)):
         at = held.join(cc.hint("merge"), "node", "left").select("key", "node", "n", "side", F.coalesce("component", "node").alias("component"))
         near = ws.stage(_across(ws, at, elements, share, nearest, step), f"near{step}")
         if near.isEmpty():
@@ -274,39 +279,75 @@ def _reserve(bands: Bands, n: Column, side: Column) -> Column:
 def _across(ws: Workspace, at: DataFrame, elements: DataFrame, share: int, nearest: bool, step: int) -> DataFrame:
     """Pairs of a group in different components whose bit sketches are near enough for a link.
 
-    ``nearest`` keeps for each member of a block the nearest of them.
+    ``nearest`` keeps for each member of a block the nearest of them.  Groups of two are
+    left out: their members were compared with each other.  A task takes many small
+    groups, or one pair of blocks of a large one, at a time.
     """
-    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    mixed = ws.stage(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), f"mixed{step}")
+    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi and size > 2")
+    mixed = ws.stage(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), "size"), f"mixed{step}")
+    total = mixed.agg(F.coalesce(F.sum(F.col("size") * F.col("blocks")), F.lit(0)).alias("n")).first()["n"]
     place = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    rows = ws.stage(at.join(mixed.hint("merge"), "key"), f"rows{step}")
+    rows = ws.stage(at.join(mixed.drop("size").hint("merge"), "key"), f"rows{step}")
     rows = rows.join(elements.select("node", "bits").hint("merge"), "node")
     rows = rows.withColumn("sketch", F.get("bits", F.least(F.col("side"), F.size("bits")) - 1)).withColumn("block", place)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).select("key", "i", "j", "block", "node", "n", "component", "sketch")
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    rows = rows.select(F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, total // BLOCK))).alias("lot"), "key", "i", "j", "block", "node", "n", "component", "sketch")
 
     def across(t: pa.Table) -> pa.Table:
-        node, comp, size, block = (t.column(c).to_numpy() for c in ("node", "component", "n", "block"))
-        sketches = np.array([np.frombuffer(x, "<u4") for x in t.column("sketch").to_pylist()])
-        pair = t.column("i")[0].as_py() != t.column("j")[0].as_py()
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in range(len(node)):
-            both = size + size[i]
-            allowed = both - 2 * -(-share * both // (100 + share))
-            near = (100 * np.minimum(size, size[i]) >= share * np.maximum(size, size[i])) & (comp != comp[i])
-            near &= (block != block[i]) if pair else (np.arange(len(node)) != i)
-            j = np.nonzero(near)[0]
-            apart = np.bitwise_count(sketches[j] ^ sketches[i]).sum(1, dtype=np.int64)
-            j, apart = j[apart <= allowed[j]], apart[apart <= allowed[j]]
-            if nearest and len(j):
-                j = j[[np.lexsort((node[j], apart))[0]]]
-            out_a.append(np.full(len(j), node[i]))
-            out_b.append(node[j])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
+        found = [np.zeros((2, 0), np.int64)]
+        cells = pc.binary_length(t.column("sketch")).to_numpy()
+        for length in np.unique(cells):  # all members of a group have sketches of one length
+            part = t.filter(pa.array(cells == length))
+            found += _near_pairs(part, int(length) // 4, share, nearest)
+        a, b = np.concatenate(found, 1)
         one = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
         return pa.table({"a": one[:, 0], "b": one[:, 1]})
 
-    return rows.groupBy("key", "i", "j").applyInArrow(across, "a long, b long").distinct()
+    return rows.groupBy("lot").applyInArrow(across, "a long, b long").distinct()
+
+
+def _near_pairs(t: pa.Table, cells: int, share: int, nearest: bool) -> list[np.ndarray]:
+    """Pairs of rows with one key and pair of blocks, by whole arrays; ``PAIRS`` pairs at a time."""
+    key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
+    order = np.lexsort((j, i, key))
+    key, i, j = key[order], i[order], j[order]
+    node, comp, size, block = (t.column(c).to_numpy()[order] for c in ("node", "component", "n", "block"))
+    sketches = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u4").reshape(-1, cells)[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    start = np.flatnonzero(new)
+    ends = np.append(start[1:], len(key))
+    group = np.cumsum(new) - 1
+    partners = ends[group] - np.arange(len(key)) - 1  # rows of the group behind each row
+    out: list[np.ndarray] = []
+    best_at, best_apart = np.full(len(key), -1), np.full(len(key), np.iinfo(np.int64).max)
+    most = max(1, PAIRS // max(1, cells))
+    first, bounds = 0, np.cumsum(partners)
+    while first < len(key):
+        done = bounds[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(bounds, done + most, side="right")))
+        x = np.repeat(np.arange(first, last), partners[first:last])
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(partners[first:last]) - partners[first:last], partners[first:last])
+        ok = (comp[x] != comp[y]) & ((i[x] == j[x]) | (block[x] != block[y])) & (100 * np.minimum(size[x], size[y]) >= share * np.maximum(size[x], size[y]))
+        x, y = x[ok], y[ok]
+        both = size[x] + size[y]
+        apart = np.bitwise_count(sketches[x] ^ sketches[y]).sum(1, dtype=np.int64)
+        ok = apart <= both - 2 * -(-share * both // (100 + share))
+        x, y, apart = x[ok], y[ok], apart[ok]
+        if nearest:
+            for one, other in ((x, y), (y, x)):
+                rank = np.lexsort((node[other], apart, one))
+                lead = rank[np.append(True, one[rank][1:] != one[rank][:-1])] if len(rank) else rank
+                better = apart[lead] < best_apart[one[lead]]
+                best_at[one[lead][better]], best_apart[one[lead][better]] = other[lead][better], apart[lead][better]
+        else:
+            out.append(np.stack([node[x], node[y]]))
+        first = last
+    if nearest:
+        have = np.flatnonzero(best_at >= 0)
+        out.append(np.stack([node[have], node[best_at[have]]]))
+    return out
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
