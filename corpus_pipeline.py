@@ -27,13 +27,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of two or more lines, and of single lines of 50 words or more, are deleted from the texts."""
-    out = line_dedup.dedup_lines(docs, long_words=line_dedup.LONG_WORDS)
+    """Later copies of runs of two or more lines, and of single lines of 50 words or more, are deleted from the texts.
+
+    A document goes when nothing but white space is left of it.
+    """
+    aside = {c: free_name(docs, f"kept_{c}") for c in docs.columns if c in ("n_lines", "runs")}
+    out = line_dedup.dedup_lines(docs.withColumnsRenamed(aside), long_words=line_dedup.LONG_WORDS)
     emptied = (F.size("runs") > 0) & (F.length(F.btrim("text", F.lit(" \t\r\n\f\v"))) == 0)
     out = out.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("runs") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
