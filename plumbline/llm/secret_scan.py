@@ -163,7 +163,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     df = df.withColumn("base", base)
     wanted = F.filter("candidate", lambda m: ~F.exists("base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])) & ~_any(m["value"]))
     df = df.withColumn("wanted", F.when(F.size("candidate") > 0, wanted))
-    hot = F.transform("wanted", lambda m: F.struct(m["start"].alias("start"), hot_windows(m["value"], _by_class(m["value"])).alias("hot")))
+    hot = F.transform("wanted", lambda m: F.struct(m["start"].alias("start"), once(_by_class(m["value"]), lambda limit: hot_windows(m["value"], limit)).alias("hot")))
     df = df.withColumn("hot", F.when(F.size("wanted") > 0, hot))
     more = F.transform(F.filter("hot", lambda h: h["hot"].isNotNull()), lambda h: F.struct((h["start"] + h["hot"]["first"]).alias("start"), (h["start"] + h["hot"]["last"] + WINDOW).cast("long").alias("end")))
     return df.select("doc_id", F.array_sort(F.concat("base", spans("entropy", len(KINDS), more))).alias("spans"))
