@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import string
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Everything that is no letter, digit, underscore or white space, in any script.
 NOT_WORD = r"[^\p{L}\p{N}_\s]"
@@ -172,3 +174,60 @@ def leading_number(reply: Column) -> Column:
 def whole_number(reply: Column) -> Column:
     """The reply as a whole number; 0 if it is none."""
     return F.coalesce(F.btrim(reply).try_cast("int"), F.lit(0))
+
+
+def dotted(text: Column, path: str, default: float = 0.0) -> Column:
+    """Number at a dotted path of a JSON object; missing, null, false, empty and zero give the default."""
+    found = F.get_json_object(text, "$." + path)
+    number = F.when(found == "true", 1.0).otherwise(found.try_cast("double"))
+    return F.when(number.isNull() | (number == 0), F.lit(default)).otherwise(number)
+
+
+def safe_get(text: Column, path: str, default: str) -> Column:
+    """Value at a path of a JSON object; the default for null or missing."""
+    return F.coalesce(F.get_json_object(text, "$." + path), F.lit(default))
+
+
+def without_surrogates(text: Column) -> Column:
+    """Escapes of lone surrogates in JSON text replaced by the replacement character."""
+    return F.regexp_replace(text, r"(?i)(?<!\\)((?:\\\\)*)\\ud[89a-f][0-9a-f]{2}", "$1\ufffd")
+
+
+def lenient_json(text: Column) -> Column:
+    """JSON as it is; a Python literal of the same shape (single quotes, None, True) as JSON; null for neither."""
+
+    @F.pandas_udf(StringType())
+    def literal(rows: pd.Series) -> pd.Series:
+        import ast
+        import json
+
+        def one(x):
+            try:
+                return json.dumps(ast.literal_eval(x), ensure_ascii=False)
+            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+                return None
+
+        return rows.map(one, na_action="ignore")
+
+    valid = F.try_parse_json(text).isNotNull()
+    return F.when(valid, text).otherwise(literal(F.when(~valid, text)))
+
+
+def stamp(time: Column) -> tuple[Column, Column]:
+    """A time as ``YYYY-MM-DD HH:MM:SS`` and as seconds since 1970."""
+    return F.date_format(time, "yyyy-MM-dd HH:mm:ss"), F.unix_timestamp(time)
+
+
+def is_object_path(path: Column) -> Column:
+    return path.rlike("^s3a?://")
+
+
+def object_path(path: Column, scheme: str = "s3a") -> Column:
+    """The same object under the scheme that the reader at hand takes."""
+    return F.regexp_replace(path, "^s3a?://", f"{scheme}://")
+
+
+def bucket_and_key(path: Column) -> tuple[Column, Column]:
+    """Bucket and key; both empty for other paths."""
+    pattern = "^s3a?://([^/]+)(?:/(.*))?$"
+    return F.regexp_extract(path, pattern, 1), F.regexp_extract(path, pattern, 2)

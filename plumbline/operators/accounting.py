@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.plans.indexing import with_running
+
 
 def roll_up(df: DataFrame, group: str, sums: dict[str, Column]) -> DataFrame:
     """Sums by group, and over all as group ``_``."""
@@ -20,13 +22,12 @@ def quality_gate(df: DataFrame, group: str, error: Column, dropped: Column, thre
 
 def token_estimate(df: DataFrame, group: str, text: str, order: str, every: int, kept: Column) -> DataFrame:
     """Tokens of each group from every ``every``-th row that survives, the first one always."""
-    w = Window.partitionBy(group).orderBy(order)
-    size = F.octet_length(text)
-    live = df.where(kept).withColumn("__n", F.row_number().over(w) - 1)
     tokens = F.size(F.filter(F.split(text, r"\s+"), lambda t: t != ""))
+    slim = df.select(group, order, F.coalesce(kept, F.lit(False)).alias("__kept"), F.octet_length(text).alias("__size"), tokens.alias("__tokens"))
+    live = with_running(slim.where("__kept"), group, [order], pos="__n")
     probe = F.col("__n") % every == 0
-    sampled = live.groupBy(group).agg(F.sum(F.when(probe, tokens)).alias("tokens"), F.sum(F.when(probe, size)).alias("bytes"), F.count(F.lit(1)).alias("live"))
-    lines = df.groupBy(group).agg(F.count(F.lit(1)).alias("lines"), F.sum(size).alias("total_bytes"))
+    sampled = live.groupBy(group).agg(F.sum(F.when(probe, F.col("__tokens"))).alias("tokens"), F.sum(F.when(probe, F.col("__size"))).alias("bytes"), F.count(F.lit(1)).alias("live"))
+    lines = df.groupBy(group).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length(text)).alias("total_bytes"))
     out = lines.join(sampled, group, "left").withColumn("token_per_byte", F.try_divide("tokens", "bytes"))
     out = out.withColumn("remained", F.coalesce(F.col("live"), F.lit(0)) / F.col("lines"))
     return out.withColumn("estimate", F.floor(F.col("total_bytes") * F.col("token_per_byte") * F.col("remained")).cast("long"))
@@ -54,3 +55,13 @@ def statistics(df: DataFrame, score: str, by: list[str] | None = None, nan: str
         bad = F.max((c.isNull() | F.isnan(c)).cast("int")) == 1
         aggs = {k: v if k == "num" else F.when(bad, F.lit(float("nan"))).otherwise(v) for k, v in aggs.items()}
     return df.groupBy(*(by or [])).agg(*[v.alias(k) for k, v in aggs.items()])
+
+
+def early_stop(df: DataFrame, group: str, order: str, most: int) -> DataFrame:
+    """The first ``most`` rows of each file."""
+    return with_running(df, group, [order], pos="__n").where(F.col("__n") < most).drop("__n")
+
+
+def without_errors(df: DataFrame, error: str = "error") -> DataFrame:
+    """Rows that carry no error."""
+    return df.where(F.col(error).isNull()).drop(error)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.plans.indexing import with_running
+
 
 def positional_join(content: DataFrame, attribute: DataFrame, file: str, order_left: str, order_right: str) -> DataFrame:
     """Rows of a file meet by position; the longer side's tail is left out."""
-    a = content.withColumn("pos", F.row_number().over(Window.partitionBy(file).orderBy(order_left)) - 1)
-    b = attribute.withColumn("pos", F.row_number().over(Window.partitionBy(file).orderBy(order_right)) - 1)
+    a = with_running(content, file, [order_left], pos="pos")
+    b = with_running(attribute, file, [order_right], pos="pos")
     return a.join(b.drop(order_right) if order_right != order_left else b.withColumnRenamed(order_right, f"{order_right}_r"), [file, "pos"])
 
 
@@ -24,19 +26,39 @@ def match_by_name(contents: DataFrame, attributes: DataFrame, key: str) -> DataF
 
 def flat_layout(df: DataFrame, group: str, order: str, values: Column) -> DataFrame:
     """Length and exclusive offset of each row's array in the flat array of its group."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     sized = df.withColumn("len", F.size(values).cast("long"))
-    return sized.withColumn("off", F.coalesce(F.sum("len").over(w), F.lit(0).cast("long")))
+    return with_running(sized, group, [order], sums={"off": F.col("len")})
+
+
+def read_ragged(layout: DataFrame, flat: DataFrame, group: str, value: str = "value") -> DataFrame:
+    """Arrays back from ``layout(group, off, len)`` and ``flat(group, i, value)``.
+
+    Every element finds its row by the largest offset that is no larger than its place:
+    a union sorted by place, with the row's offset carried forward inside its group.
+    """
+    from pyspark.sql import Window
+
+    heads = layout.where("len > 0").select(group, F.col("off").alias("i"), F.lit(0).alias("k"), F.col("off").alias("at"), F.lit(None).cast(flat.schema[value].dataType).alias(value))
+    rows = flat.select(group, "i", F.lit(1).alias("k"), F.lit(None).cast("long").alias("at"), value)
+    here = Window.partitionBy(group).orderBy("i", "k").rowsBetween(Window.unboundedPreceding, 0)
+    owned = heads.unionByName(rows).withColumn("off", F.last("at", ignorenulls=True).over(here)).where("k = 1")
+    arrays = owned.groupBy(group, "off").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", value))), lambda s: s[value]).alias("values"))
+    return layout.join(arrays, [group, "off"], "left").withColumn("values", F.when(F.col("len") == 0, F.array().cast(arrays.schema["values"].dataType)).otherwise(F.col("values")))
 
 
 def record_offsets(df: DataFrame, file: str, order: str, line: Column) -> DataFrame:
-    """Byte offset and length of each record when a file's lines are written in order."""
-    w = Window.partitionBy(file).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    sized = df.withColumn("n_bytes", (F.octet_length(line) + 1).cast("long"))
-    sized = sized.withColumn("offset", F.coalesce(F.sum("n_bytes").over(w), F.lit(0).cast("long")))
+    """Byte offset and length of each record when a file's lines are written in order, and its address."""
+    sized = df.select(file, order, (F.octet_length(line) + 1).cast("long").alias("n_bytes"))
+    sized = with_running(sized, file, [order], sums={"offset": F.col("n_bytes")})
     return sized.withColumn("loc", F.concat(F.col(file), F.lit("?bytes="), F.col("offset").cast("string"), F.lit(","), F.col("n_bytes").cast("string")))
 
 
+def track(previous: Column, loc: Column, new: Column) -> tuple[Column, Column]:
+    """Address and history of a document that moves: the address it had joins the history."""
+    history = F.coalesce(previous, F.array().cast("array<string>"))
+    return new, F.when(loc.isNull(), history).otherwise(F.array_append(history, loc))
+
+
 def weighted_mean(df: DataFrame, key: str, value: Column, weight: Column) -> DataFrame:
     """Weighted mean by key; null where the weights sum to zero."""
     return df.groupBy(key).agg(F.try_divide(F.sum(value * weight), F.sum(weight).cast("double")).alias("weighted_mean"))

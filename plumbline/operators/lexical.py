@@ -1,75 +1,130 @@
-"""Lexical diversity: MTLD by an ordered fold, HD-D by counts."""
+"""Lexical diversity: MTLD by an ordered fold, HD-D by counts; readability from one pass over the tokens."""
 
 from __future__ import annotations
 
-import string
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from plumbline.functions import text as t
 from plumbline.functions.text import once, strip_ascii_punctuation, words
 
-_MARKS = str.maketrans("", "", string.punctuation)
+
+def _lexical_tokens(text: Column) -> Column:
+    """White-space words without ASCII punctuation, in lower case; a word of marks alone counts as the empty word."""
+    return F.transform(words(text), lambda w: F.lower(strip_ascii_punctuation(w)))
 
 
 def _factors(tokens: list[str], threshold: float) -> float:
-    """Stretches whose type-token ratio falls to the threshold, the last one in part."""
+    """Words over the number of stretches whose type-token ratio falls to the threshold, the last one in part."""
     types: set[str] = set()
-    n, full, ratio = 0, 0, 1.0
+    n = full = 0
     for token in tokens:
         n += 1
         types.add(token)
-        ratio = len(types) / n
-        if ratio <= threshold:
-            full, n, ratio, types = full + 1, 0, 1.0, set()
-    count = full + (1.0 - ratio) / (1.0 - threshold)
+        if len(types) / n <= threshold:
+            full, n = full + 1, 0
+            types.clear()
+    count = full + (1.0 - (len(types) / n if n else 1.0)) / (1.0 - threshold)
     return len(tokens) / count if count else -1.0
 
 
-def mtld_of(text: str | None, threshold: float = 0.72, more_than: int = 50) -> float | None:
-    tokens = [w.translate(_MARKS).lower() for w in (text or "").split()]
-    if len(tokens) <= more_than:
-        return None
-    return (_factors(tokens, threshold) + _factors(tokens[::-1], threshold)) / 2
+@F.pandas_udf(DoubleType())
+def _both_ways(tokens: pd.Series) -> pd.Series:
+    def one(w):
+        return None if w is None else (_factors(w, 0.72) + _factors(w[::-1], 0.72)) / 2
+
+    return pd.Series([one(w) for w in tokens], dtype="float64").replace(np.nan, None)
 
 
-@F.pandas_udf(DoubleType())
-def mtld(texts: pd.Series) -> pd.Series:
-    """Mean of the forward and the backward pass; null for 50 words or fewer."""
-    return pd.Series([mtld_of(t) for t in texts], dtype="float64").replace(np.nan, None)
+def mtld(text: Column, more_than: int = 50) -> Column:
+    """Mean of the forward and the backward pass; null for ``more_than`` words or fewer.
+
+    Tokens are built by column functions.  The fold restarts at a threshold, so each step
+    needs the one before; as an array fold it took some ten times as long as in a batch
+    of token lists.
+    """
+    tokens = _lexical_tokens(F.col(text) if isinstance(text, str) else text)
+    return _both_ways(once(tokens, lambda w: F.when(F.size(w) > more_than, w)))
 
 
 def hdd(df: DataFrame, key: str = "doc_id", text: str = "text", draws: int = 42) -> DataFrame:
     """Mean over word types of the chance to be drawn among ``draws`` words; null outside 51 to 999 words."""
-    tokens = F.transform(words(F.col(text)), lambda w: F.lower(strip_ascii_punctuation(w)))
-    sized = df.select(key, once(tokens, lambda w: F.struct(F.size(w).alias("n"), w.alias("w"))).alias("s")).select(key, "s.n", "s.w")
+    sized = df.select(key, once(_lexical_tokens(F.col(text)), lambda w: F.struct(F.size(w).alias("n"), w.alias("w"))).alias("s")).select(key, "s.n", "s.w")
     fits = sized.where((F.col("n") > 50) & (F.col("n") < 1000))
     counts = fits.select(key, "n", F.explode("w").alias("t")).groupBy(key, "n", "t").agg(F.count(F.lit(1)).alias("f"))
-    missed = F.aggregate(F.sequence(F.lit(0), F.lit(draws - 1)), F.lit(1.0), lambda a, j: a * F.greatest(F.lit(0.0), (F.col("n") - F.col("f") - j).cast("double")) / (F.col("n") - j))
-    scores = counts.groupBy(key).agg(F.sum((1 - missed) / draws).alias("hdd"))
+    scores = counts.groupBy(key).agg(F.sum((1 - _missed(F.col("n"), F.col("f"), draws)) / draws).alias("hdd"))
     return df.select(key).join(scores, key, "left")
 
 
-def readability(text: Column) -> dict[str, Column]:
-    """Counts, and the Flesch and automated readability formulas over them."""
-    from plumbline.functions import text as t
-
-    tokens = t.clean_words(text)
-    syllables = F.transform(tokens, lambda w: t.syllables(w))
-    w, s = F.size(tokens).cast("double"), t.sentences(text).cast("double")
-    syl = F.aggregate(syllables, F.lit(0), lambda a, x: a + x)
-    return {
-        "character_count": t.characters(text).cast("long"),
-        "letter_count": t.letters(text).cast("long"),
-        "lexicon_count": F.size(tokens).cast("long"),
-        "sentence_count": t.sentences(text).cast("long"),
-        "syllable_count": syl.cast("long"),
-        "polysyllable_count": F.size(F.filter(syllables, lambda x: x >= 3)).cast("long"),
-        "monosyllable_count": F.size(F.filter(syllables, lambda x: x == 1)).cast("long"),
-        "difficult_words": F.size(F.array_distinct(F.filter(tokens, lambda x: t.syllables(x) >= 3))).cast("long"),
-        "flesch_reading_ease": 206.835 - 1.015 * F.try_divide(w, s) - 84.6 * F.try_divide(syl, w),
-        "automated_readability_index": 4.71 * F.try_divide(t.characters(text).cast("double"), w) + 0.5 * F.try_divide(w, s) - 21.43,
-    }
+def _missed(n: Column, f: Column, draws: int) -> Column:
+    """Chance that none of ``draws`` words drawn from ``n`` is of a type with ``f`` words."""
+    return F.aggregate(F.sequence(F.lit(0), F.lit(draws - 1)), F.lit(1.0), lambda a, j: a * F.greatest(F.lit(0.0), (n - f - j).cast("double")) / (n - j))
+
+
+def hdd_of(text: Column, draws: int = 42) -> Column:
+    """HD-D of a column, for scorers of one column: types are counted as runs of the sorted words."""
+
+    def of(w: Column) -> Column:
+        start = F.struct(F.lit(None).cast("string").alias("t"), F.lit(0).alias("f"), F.lit(0.0).alias("sum"))
+        share = lambda f: F.when(f > 0, (1 - _missed(F.size(w), f, draws)) / draws).otherwise(0.0)
+
+        def step(s: Column, x: Column) -> Column:
+            same = s["t"].eqNullSafe(x)
+            return F.struct(x.alias("t"), F.when(same, s["f"] + 1).otherwise(1).alias("f"), F.when(same, s["sum"]).otherwise(s["sum"] + share(s["f"])).alias("sum"))
+
+        return F.aggregate(F.array_sort(w), start, step, lambda s: s["sum"] + share(s["f"]))
+
+    return once(_lexical_tokens(text), lambda w: F.when((F.size(w) > 50) & (F.size(w) < 1000), of(w)))
+
+
+def text_statistics(text: Column) -> Column:
+    """All counts of a text as one struct: the words are cut, and the syllables counted, once."""
+
+    def counts(w: Column) -> Column:
+        return once(F.transform(w, t.syllables), lambda s: F.struct(
+            t.characters(text).cast("long").alias("character_count"),
+            t.letters(text).cast("long").alias("letter_count"),
+            F.size(w).cast("long").alias("lexicon_count"),
+            t.sentences(text).cast("long").alias("sentence_count"),
+            F.aggregate(s, F.lit(0), lambda a, x: a + x).cast("long").alias("syllable_count"),
+            F.size(F.filter(s, lambda x: x >= 3)).cast("long").alias("polysyllable_count"),
+            F.size(F.filter(s, lambda x: x == 1)).cast("long").alias("monosyllable_count"),
+            F.size(F.array_distinct(F.filter(w, lambda x, i: F.get(s, i) >= 3))).cast("long").alias("difficult_words"),
+        ))
+
+    return once(t.clean_words(text), counts)
+
+
+COUNTS = ("character_count", "letter_count", "lexicon_count", "sentence_count", "syllable_count", "polysyllable_count", "monosyllable_count", "difficult_words")
+
+
+def readability(stats: Column) -> dict[str, Column]:
+    """Counts, and the readability formulas over them, from ``text_statistics``."""
+    n = {k: stats[k].cast("double") for k in COUNTS}
+    w, s = n["lexicon_count"], n["sentence_count"]
+    per = F.try_divide
+    ease = 206.835 - 1.015 * per(w, s) - 84.6 * per(n["syllable_count"], w)
+    ari = 4.71 * per(n["character_count"], w) + 0.5 * per(w, s) - 21.43
+    grades = [
+        0.39 * per(w, s) + 11.8 * per(n["syllable_count"], w) - 15.59,
+        1.043 * F.sqrt(30 * per(n["polysyllable_count"], s)) + 3.1291,
+        5.88 * per(n["letter_count"], w) - 29.6 * per(s, w) - 15.8,
+        ari,
+        0.4 * (per(w, s) + 100 * per(n["polysyllable_count"], w)),
+    ]
+    return {**{k: stats[k] for k in COUNTS}, "flesch_reading_ease": ease, "automated_readability_index": ari, "aggregate_reading_level": _consensus(grades)}
+
+
+def _consensus(grades: list[Column]) -> Column:
+    """The grade that most formulas round down or up to; the lowest of equally frequent ones; null without words."""
+    both = F.array(*[f(g).cast("long") for g in grades for f in (F.floor, F.ceil)])
+
+    def mode(all_: Column) -> Column:
+        ranked = F.array_sort(F.transform(F.array_distinct(all_), lambda x: F.struct((-F.size(F.filter(all_, lambda y: y == x))).alias("n"), x.alias("x"))))
+        return F.get(ranked, 0)["x"].cast("double")
+
+    known = grades[0].isNotNull()
+    return F.when(known, once(both, mode))

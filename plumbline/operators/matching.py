@@ -2,20 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import vector as v
+from plumbline.plans.indexing import with_position, with_running
 
 
-def greedy_match(pairs: DataFrame, key: str, hyp: str = "hyp", ref: str = "ref") -> DataFrame:
+def greedy_match(pairs: DataFrame, key: str, hyp: str = "hyp", ref: str = "ref", hyp_weight: str | None = None, ref_weight: str | None = None) -> DataFrame:
     """Precision, recall and F of two arrays of unit vectors, each token with its best partner.
 
-    Weights are even (all document frequencies count alike), so both are plain means.
+    Weights (document frequencies turned round) default to even ones, which makes both plain means.
     """
     best = lambda a, b: F.transform(a, lambda x: F.array_max(F.transform(b, lambda y: v.dot(x, y))))
-    scored = pairs.withColumn("precision", v.mean(best(F.col(hyp), F.col(ref)))).withColumn("recall", v.mean(best(F.col(ref), F.col(hyp))))
-    return scored.select(key, "precision", "recall", (2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).alias("f"))
+
+    def average(values: Column, weight: str | None) -> Column:
+        return v.mean(values) if weight is None else F.try_divide(v.dot(values, F.col(weight)), v.total(F.col(weight)))
+
+    scored = pairs.withColumn("precision", average(best(F.col(hyp), F.col(ref)), hyp_weight)).withColumn("recall", average(best(F.col(ref), F.col(hyp)), ref_weight))
+    return scored.select(key, "precision", "recall", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")).alias("f"))
+
+
+def full_match(fine: DataFrame, coarse: Column) -> DataFrame:
+    """Fine scores, the cosine of the whole vectors (``cogr``), and the mean of both for P, R and F."""
+    named = fine.withColumn("cogr", coarse)
+    return named.select("*", *[((F.col(c) + F.col("cogr")) / 2).alias(f"full_{c}") for c in ("precision", "recall", "f")])
+
+
+def combined(against_references: DataFrame, against_video: DataFrame, key: str, metrics: list[str]) -> DataFrame:
+    """Scores against the references, against the video, and their mean."""
+    a = against_references.select(key, *[F.col(m).alias(f"{m}_refs") for m in metrics])
+    b = against_video.select(key, *[F.col(m).alias(f"{m}_video") for m in metrics])
+    return a.join(b, key).select("*", *[((F.col(f"{m}_refs") + F.col(f"{m}_video")) / 2).alias(f"{m}_both") for m in metrics])
+
+
+def expand_references(df: DataFrame, key: str, candidate: str, references: str) -> DataFrame:
+    """A row for each reference of a candidate, with its number; candidates without any stay, with nulls."""
+    return df.select(key, candidate, F.posexplode_outer(references).alias("reference_number", "reference"))
 
 
 def best_reference(scores: DataFrame, key: str, score: str) -> DataFrame:
@@ -24,25 +47,34 @@ def best_reference(scores: DataFrame, key: str, score: str) -> DataFrame:
 
 
 def inverse_frequencies(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """ln((N + 1) / (df + 1)) of every token."""
+    """ln((N + 1) / (df + 1)) of every token; ``unseen_frequency`` is that of all others."""
     seen = df.select(key, F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     total = df.agg(F.count(F.lit(1)).alias("n"))
-    return seen.crossJoin(F.broadcast(total)).select("token", "df", F.ln((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
+    return seen.crossJoin(F.broadcast(total)).select("token", "df", F.ln((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"), F.ln(F.col("n") + 1.0).alias("unseen_idf"))
 
 
 def average_ranks(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """Rank of a value in its group; ties share their mean rank."""
-    w = Window.partitionBy(group)
-    first = F.rank().over(w.orderBy(value))
-    same = F.count(F.lit(1)).over(Window.partitionBy(group, value))
-    return df.withColumn(name, first + (same - 1) / 2)
+    """Rank of a value in its group; ties share their mean rank.
+
+    Ranks come from the counts of distinct values, so a large group is numbered in parts.
+    """
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = with_running(counts, group, [value], sums={"__before": F.col("__n")}).select(group, value, (F.col("__before") + (F.col("__n") + 1) / 2).alias(name))
+    return df.join(ranked, [group, value])
 
 
 def spearman(df: DataFrame, group: str, a: str, b: str) -> DataFrame:
-    ranked = average_ranks(average_ranks(df, group, a, "__ra"), group, b, "__rb")
+    """Correlation of the mean ranks; pairs of values count as often as they occur."""
+    pairs = df.select(group, F.col(a).alias("__a"), F.col(b).alias("__b"))
+    ranked = average_ranks(average_ranks(pairs, group, "__a", "__ra"), group, "__b", "__rb")
     return ranked.groupBy(group).agg(F.corr("__ra", "__rb").alias("spearman"))
 
 
+def mean_over_raters(scores: DataFrame, rater: str, metric: str) -> DataFrame:
+    """Mean over raters of a correlation by rater, to four places."""
+    return scores.agg(F.count(F.col(metric)).alias("raters"), F.round(F.avg(metric), 4).alias(metric))
+
+
 def kendall(df: DataFrame, group: str, key: str, a: str, b: str) -> DataFrame:
     """tau-b of small rated groups: concordant less discordant pairs over the untied ones."""
     left = df.select(group, F.col(key).alias("k1"), F.col(a).alias("a1"), F.col(b).alias("b1"))
@@ -54,13 +86,23 @@ def kendall(df: DataFrame, group: str, key: str, a: str, b: str) -> DataFrame:
 
 def rescale(df: DataFrame, score: str) -> DataFrame:
     """z-score with the population deviation, and rank over count; moments and ranks come from joins, not from one task."""
-    from plumbline.plans.indexing import with_position
-
     stats = df.agg(F.avg(score).alias("__m"), F.stddev_pop(score).alias("__s"), F.count(F.lit(1)).alias("__n"))
     rows = with_position(df, score, "doc_id").crossJoin(F.broadcast(stats))
     return rows.withColumn("gaussian", (F.col(score) - F.col("__m")) / F.col("__s")).withColumn("uniform", F.col("pos") / F.col("__n")).drop("__m", "__s", "__n", "pos")
 
 
+def percentile_against(scores: DataFrame, stored: DataFrame, score: str) -> DataFrame:
+    """z-score and share of stored scores below, of each score as if it joined the stored set."""
+    stats = stored.agg(F.count(F.lit(1)).alias("__n"), F.sum(score).alias("__t"), F.sum(F.col(score) * F.col(score)).alias("__q"))
+    asked = scores.select(F.col(score).alias("__x")).distinct().withColumn("__k", F.lit(0))  # sorts before equal stored scores
+    line = asked.unionByName(stored.select(F.col(score).alias("__x"), F.lit(1).alias("__k"))).withColumn("__g", F.lit(0))
+    below = with_running(line, "__g", ["__x", "__k"], sums={"__less": F.col("__k")}).where("__k = 0").select("__x", "__less")
+    rows = scores.join(below, F.col(score) == F.col("__x")).crossJoin(F.broadcast(stats))
+    n, x = F.col("__n") + 1, F.col(score)
+    mean = (F.col("__t") + x) / n
+    return rows.select(*scores.columns, ((x - mean) / F.sqrt((F.col("__q") + x * x) / n - mean * mean)).alias("gaussian"), (F.col("__less") / n).alias("uniform"))
+
+
 def fuse(technical: Column, aesthetic: Column) -> Column:
     """Weighted sigmoid of two video scores."""
     # Means, deviations and weights of the two scores.

@@ -79,11 +79,12 @@ _add("instruction", "InstagScorer", ("InstagScore",))
 _add("instruction", "RMScorer", ("RewardModelScore",))
 _add("instruction", "AlpagasusScorer", ("AlpagasusScore",))
 _add("instruction", "TreeinstructScorer", ("TreeinstructScore",))
-_add("text", "VendiScorer", ("N-grams_VendiScore", "BERT_VendiScore", "SimCSE_VendiScore"), dataset_level=True)
+_add("text", "VendiScorer", ("N-grams_VendiScore", "BERT_VendiScore", "SimCSE_VendiScore"), needs_backend=False, dataset_level=True)
 _add("text", "Task2VecScorer", ("Task2VecDiversityScore", "ConfidenceInterval"), dataset_level=True)
 _add("image", "QalignScorer LiqeScorer ArniqaScorer TopiqScorer ClipiqaScorer ManiqaScorer MusiqScorer DbcnnScorer Pqa2piqScorer HyperiqaScorer NimaScorer WadiqamScorer CnniqaScorer NrqmScorer PiScorer BrisqueScorer IlniqeScorer NiqeScorer PiqeScorer")
 _add("image_text", "ClipScorer LongClipScorer ClipT5Scorer FleurScorer VisualDialogScorer")
-_add("generated_image", "FIDScorer KIDScorer ISScorer", dataset_level=True)
+_add("generated_image", "FIDScorer", needs_backend=False, dataset_level=True)
+_add("generated_image", "KIDScorer ISScorer", ("mean", "std"), needs_backend=False, dataset_level=True)
 _add("video", "VideoMotionScorer VideoResolutionScorer VideoAestheticScorer FastVQAScorer FasterVQAScorer DOVERScorer")
 _add("video_text", "EMScorer PACScorer", ("figr_P", "figr_R", "figr_F", "cogr", "full_P", "full_R", "full_F"))
 
@@ -98,25 +99,43 @@ def load_backend(path: str) -> Callable:
     return getattr(importlib.import_module(module), name)
 
 
-def score_with(df: DataFrame, name: str, backend: Callable[[], Callable[[dict[str, list]], list]] | None, inputs: list[str], type_: str = "double") -> DataFrame:
-    """Adds the scorer's column: ``backend()`` once a task, then lists of columns in, a list of scores out.
+def metrics_of(name: str, options: dict | None = None) -> tuple[str, ...]:
+    """Output columns of a scorer; an image metric with a ``type`` carries it in its name."""
+    spec = SCORERS.get(name)
+    kind = (options or {}).get("type")
+    if spec.kind == "image" and spec.metrics == ("Default",) and kind:
+        return (f"{name.removesuffix('Scorer').lower()}{(options or {}).get('separator', '_')}{kind}",)
+    return spec.metrics
+
+
+def score_with(df: DataFrame, name: str, backend: Callable[[], Callable[[dict[str, list]], object]] | None, inputs: list[str], type_: str = "double", options: dict | None = None) -> DataFrame:
+    """Adds a column a metric: ``backend()`` once a task, then lists of columns in, and out a list of scores,
+    or a list for each metric by name.
 
-    A row that the backend returns None for stays null.  Rows are never dropped.
+    A row that the backend returns None for stays null, and so do all rows of a batch for
+    which it returns None altogether.  Rows are never dropped.
     """
-    spec = SCORERS.get(name)
     if backend is None:
         raise BackendMissing(f"{name} needs a backend")
-    out = spec.metrics[0] if spec.metrics != ("Default",) else name
-    schema = df.select("*", F.lit(None).cast(type_).alias(out)).schema
-    arrow = {"double": pa.float64(), "string": pa.string(), "array<double>": pa.list_(pa.float64())}[type_]
+    metrics = metrics_of(name, options)
+    types = {"double": pa.float64(), "string": pa.string(), "array<double>": pa.list_(pa.float64())}[type_]
+    schema = df.drop(*metrics).select("*", *[F.lit(None).cast(type_).alias(m) for m in metrics]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = backend()
         for b in batches:
             scores = call({c: b.column(c).to_pylist() for c in inputs})
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, arrow)], names=[*b.schema.names, out])
+            by = scores if isinstance(scores, dict) else {metrics[0]: scores}
+            new = [pa.array(by.get(m) or [None] * b.num_rows, types) for m in metrics]
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *metrics])
+
+    return df.drop(*metrics).mapInArrow(run, schema)
+
 
-    return df.mapInArrow(run, schema)
+def output_columns(df: DataFrame, model: str, fields: list[str], info: list[str] = ("track_id", "id", "language"), prefix: str | None = None, postfix: str | None = None) -> DataFrame:
+    """Fields of a batch model under ``<prefix or model>_<field>[_postfix]``, with the row's own names kept."""
+    tail = f"_{postfix}" if postfix else ""
+    return df.select(*[c for c in info if c in df.columns], *[F.col(f).alias(f"{prefix or model}_{f}{tail}") for f in fields])
 
 
 def with_retry(call: Callable[[dict], object], attempts: int = 5, wait: Callable[[int], None] = lambda n: None, busy: type[Exception] = ConnectionError) -> Callable[[dict], object]:

@@ -77,3 +77,32 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def reshape_name(df: DataFrame, renames: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(renames)
+
+
+def longest_first(df: DataFrame, text: str) -> DataFrame:
+    """Distinct texts by number of words, most first: digest, words and position."""
+    from plumbline.functions.text import words
+
+    unique = df.where(F.col(text).isNotNull()).select(F.col(text).alias("__t")).distinct()
+    sized = unique.select(F.md5("__t").alias("digest"), F.size(words(F.col("__t"))).cast("long").alias("words"))
+    return with_position(sized, F.desc("words"), "digest")
+
+
+class Rules:
+    """Filters and rewrites by name; each is a function from a column getter to an expression."""
+
+    def __init__(self):
+        self.filters: dict = {}
+        self.rewrites: dict = {}
+
+    def filter(self, name: str, rule) -> None:
+        self.filters[name] = rule
+
+    def rewrite(self, name: str, rule) -> None:
+        self.rewrites[name] = rule
+
+    def apply(self, df: DataFrame, drop: list[str] = (), content: str | None = None) -> DataFrame:
+        """Rows that no filter drops, with ``content`` rewritten."""
+        for name in drop:
+            df = df.where(~F.coalesce(self.filters[name](F.col), F.lit(False)))
+        return df if content is None else df.withColumn("content", self.rewrites[content](F.col))

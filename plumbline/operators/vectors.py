@@ -8,26 +8,49 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import vector as v
 
-#: Centroids (rows times 8 bytes a component) that a nearest search sends to all tasks.
-MOST_BROADCAST_CENTROIDS = 100_000
+#: Bytes of centroids that one pass sends to all tasks.
+CENTROID_BYTES = 64 << 20
 
 
-def nearest_centroid(rows: DataFrame, centroids: DataFrame, metric: str = "l2_norm") -> DataFrame:
+def nearest_centroid(rows: DataFrame, centroids: DataFrame, metric: str = "l2_norm", block_bytes: int = CENTROID_BYTES) -> DataFrame:
     """Closest centroid of each row; ties go to the lower centroid id.
 
     Features are normalised.  ``l2_norm`` takes the least distance, ``dot_product`` and
-    ``cosine`` the largest product (``cosine`` normalises the centroids).  Centroids are
-    few by nature; their number is checked before they are broadcast, beyond it they are
-    joined in blocks through a hash of their id.
+    ``cosine`` the largest product (``cosine`` normalises the centroids).  A batch of rows
+    meets a block of centroids in one matrix product.  Centroids beyond ``block_bytes``
+    take one pass for each block by hash of their id, and rows carry the best so far.
     """
-    c = centroids.select("cid", (v.normalise(F.col("c_embs")) if metric == "cosine" else F.col("c_embs").cast("array<double>")).alias("c"))
-    x = rows.withColumn("__x", v.normalise(F.col("embedding")))
-    score = v.l2(F.col("__x"), F.col("c")) if metric == "l2_norm" else v.dot(F.col("__x"), F.col("c"))
-    many = c.count() > MOST_BROADCAST_CENTROIDS
-    pairs = x.crossJoin(c if many else F.broadcast(c)).withColumn("score", F.round(score, 9))
-    order = F.struct("score" if metric == "l2_norm" else (-F.col("score")).alias("score"), "cid")
-    best = pairs.groupBy("vec_id").agg(F.min(order).alias("m"))
-    return best.select("vec_id", F.col("m.cid").alias("cid"), F.round(F.col("m.score") if metric == "l2_norm" else -F.col("m.score"), 6).alias("score"))
+    c = centroids.select(F.col("cid").cast("long").alias("cid"), (v.normalise(F.col("c_embs")) if metric == "cosine" else F.col("c_embs").cast("array<double>")).alias("c"))
+    size = c.agg(F.coalesce(F.sum(F.size("c") * 8), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, -(-size // block_bytes))
+    best = rows.select("vec_id", v.normalise(F.col("embedding")).alias("x"), F.lit(None).cast("double").alias("key"), F.lit(None).cast("long").alias("cid"))
+    sign = 1.0 if metric == "l2_norm" else -1.0
+    for b in range(blocks):
+        part = c if blocks == 1 else c.where(F.pmod(F.xxhash64("cid"), F.lit(blocks)) == b)
+        held = sorted((r["cid"], r["c"]) for r in part.collect())  # at most about block_bytes
+        if not held:
+            continue
+        shipped = rows.sparkSession.sparkContext.broadcast((np.array([i for i, _ in held]), np.array([x for _, x in held], np.float64)))
+
+        def one_pass(batches, shipped=shipped):
+            import pyarrow as pa
+
+            ids, known = shipped.value
+            for batch in batches:
+                x = np.array(batch.column("x").to_pylist(), np.float64).reshape(-1, known.shape[1])
+                score = x @ known.T
+                if metric == "l2_norm":
+                    score = np.sqrt(np.maximum(0.0, (x * x).sum(1)[:, None] - 2 * score + (known * known).sum(1)[None, :]))
+                key = np.round(sign * score, 9)
+                at = key.argmin(1)  # ids are in order, so the first of equal scores has the lowest
+                new, cid = key[np.arange(len(x)), at], ids[at]
+                old = batch.column("key").to_numpy(zero_copy_only=False).astype(np.float64)
+                other = batch.column("cid").fill_null(0).to_numpy(zero_copy_only=False)
+                stays = ~np.isnan(old) & ((old < new) | ((old == new) & (other < cid)))
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), pa.array(np.where(stays, old, new)), pa.array(np.where(stays, other, cid))], names=["vec_id", "x", "key", "cid"])
+
+        best = best.mapInArrow(one_pass, best.schema)
+    return best.select("vec_id", "cid", F.round(sign * F.col("key"), 6).alias("score"))
 
 
 def pair_distances(rows: DataFrame, metric: str = "cosine") -> DataFrame:
@@ -37,9 +60,94 @@ def pair_distances(rows: DataFrame, metric: str = "cosine") -> DataFrame:
     return a.join(b, F.col("a") < F.col("b")).select("a", "b", v.DISTANCES[metric](F.col("x"), F.col("y")).alias("d"))
 
 
+def cross_distances(left: DataFrame, right: DataFrame, metric: str = "cosine") -> DataFrame:
+    """Distance of every vector of one stated small set to every one of another."""
+    a = left.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"))
+    b = right.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
+    return a.crossJoin(b).select("a", "b", v.DISTANCES[metric](F.col("x"), F.col("y")).alias("d"))
+
+
 def distance_statistics(pairs: DataFrame, keep_zero: bool = False) -> DataFrame:
+    """Number, mean, population deviation and sum; zeros count only for cross-set matrices."""
     rows = pairs if keep_zero else pairs.where("d <> 0")
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.avg("d").alias("mean"), F.stddev_pop("d").alias("std"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.avg("d").alias("mean"), F.stddev_pop("d").alias("std"), F.sum("d").alias("sum"))
+
+
+def class_distance_statistics(rows: DataFrame, group: str) -> DataFrame:
+    """Number, mean and deviation of the cosine distances of all pairs of different vectors in a class.
+
+    Without pairs: with u the unit vectors, the sum of cosines over all pairs follows from
+    |sum u|^2 and the sum of their squares from the squared norm of sum u u^T.  Partitions
+    add both up; the number of components squared travels for each class, never a pair.
+    Equal vectors are at distance zero, which does not count, so each class of them
+    enters with its multiplicity taken off again.
+    """
+    unit = rows.where(F.col("embedding").isNotNull()).select(group, v.normalise(F.col("embedding")).alias("u"), F.xxhash64("embedding").alias("h"))
+    twins = unit.groupBy(group, "h").agg(F.count(F.lit(1)).alias("c")).groupBy(group).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("twins"))
+    schema = unit.select(F.col(group), F.lit(0).cast("long").alias("n"), F.array(F.lit(0.0)).alias("s")).schema
+
+    def local(batches):
+        import pyarrow as pa
+
+        sums: dict = {}
+        for b in batches:
+            labels = b.column(0).to_pylist()
+            x = np.array(b.column(1).to_pylist(), np.float64)
+            for label in set(labels):
+                u = x[[k for k, y in enumerate(labels) if y == label]]
+                new = np.concatenate([u.sum(0), (u.T @ u).ravel()])
+                n, old = sums.get(label, (0, 0.0))
+                sums[label] = (n + len(u), old + new)
+        if sums:
+            out = [(k, n, s.tolist()) for k, (n, s) in sums.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out]).cast(b.schema.field(0).type), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.list_(pa.float64()))], names=[group, "n", "s"])
+
+    parts = unit.select(group, "u").mapInArrow(local, schema)
+    flat = parts.select(group, "n", F.posexplode("s").alias("i", "x")).groupBy(group, "i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+    d = F.floor((F.sqrt(1 + 4 * F.count(F.lit(1))) - 1) / 2 + 0.5)
+    totals = flat.groupBy(group).agg(F.max("n").alias("n"), d.alias("d"), F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
+    squares = lambda a: F.aggregate(a, F.lit(0.0), lambda t, y: t + y["x"] * y["x"])
+    t = totals.withColumns({"one": squares(F.slice("v", F.lit(1), F.col("d").cast("int"))), "two": squares(F.slice("v", F.col("d").cast("int") + 1, F.size("v")))}).join(twins, group)
+    pairs = F.col("n") * (F.col("n") - 1) / 2
+    cosines, cosine_squares = (F.col("one") - F.col("n")) / 2 - F.col("twins"), (F.col("two") - F.col("n")) / 2 - F.col("twins")
+    t = t.select(group, (pairs - F.col("twins")).cast("long").alias("n"), cosines.alias("c"), cosine_squares.alias("q")).where("n > 0")
+    mean = F.col("c") / F.col("n")
+    return t.select(group, "n", (1 - mean).alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean)).alias("std"))
+
+
+def normalised(rows: DataFrame) -> DataFrame:
+    """Each component over the root of its mean square, over all rows."""
+    flat = rows.select("vec_id", F.posexplode("embedding").alias("i", "x"))
+    scale = flat.groupBy("i").agg(F.sqrt(F.avg(F.col("x").cast("double") * F.col("x"))).alias("__q"))
+    return flat.join(F.broadcast(scale), "i").select("vec_id", "i", F.try_divide(F.col("x").cast("double"), F.col("__q")).alias("x"))  # a row a component
+
+
+def diversity(samples: DataFrame, metric: str = "cosine") -> DataFrame:
+    """Mean and deviation of the distances between embedded samples: the diversity and its interval."""
+    return distance_statistics(pair_distances(samples, metric)).select(F.col("mean").alias("Task2VecDiversityScore"), F.col("std").alias("ConfidenceInterval"))
+
+
+def draw_samples(rows: DataFrame, key: str, samples: int, size: int, seed: int = 0, replace: bool = False) -> DataFrame:
+    """``sample`` numbers and rows: each sample the ``size`` rows of least hash of seed, number and key.
+
+    With ``replace`` a sample draws ``size`` places, each the row whose running number is a
+    hash modulo the number of rows, so a row can come up again.
+    """
+    from pyspark.sql import Window
+
+    from plumbline.plans.indexing import with_position
+
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))
+    if replace:
+        total = rows.count()
+        draws = rows.sparkSession.range(samples * size).select((F.col("id") % samples).alias("sample"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(total, 1))).alias("__pos"))
+        return draws.join(with_position(rows, key, name="__pos"), "__pos").drop("__pos")
+    total = max(rows.count(), 1)
+    share = min(1.0, 1.5 * size / total + 8.0 / total)  # enough rows below it but for a vanishing chance, met by the rank below
+    hashed = rows.withColumn("sample", numbers).withColumn("__h", F.xxhash64(F.lit(seed), "sample", key))
+    near = hashed.where(F.pmod("__h", F.lit(1 << 32)) < int(share * (1 << 32))) if share < 1 else hashed
+    rank = F.row_number().over(Window.partitionBy("sample").orderBy(F.pmod("__h", F.lit(1 << 32)), key))
+    return near.withColumn("__r", rank).where(F.col("__r") <= size).drop("__r", "__h")
 
 
 def mean_vector(rows: DataFrame, group: str | None = None) -> DataFrame:
@@ -89,16 +197,77 @@ def frechet(a: DataFrame, b: DataFrame, eps: float = 1e-6) -> float:
     return float(((m1 - m2) ** 2).sum() + np.trace(c1) + np.trace(c2) - 2 * np.sqrt(inner).sum())
 
 
-def kernel_distance(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Unbiased squared mean discrepancy over the whole sets with the cubic kernel (x.y/d + 1)^3."""
-    def sums(x: DataFrame, y: DataFrame, name: str, off_diagonal: bool) -> DataFrame:
-        left = x.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"))
-        right = y.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
-        rows = left.join(right, F.col("a") != F.col("b")) if off_diagonal else left.crossJoin(right)
-        k = F.pow(v.dot(F.col("x"), F.col("y")) / F.size("x") + 1, F.lit(3))
-        return rows.agg((F.sum(k) / F.count(F.lit(1))).alias(name))
+def cubic_discrepancy(x: np.ndarray, y: np.ndarray) -> float:
+    """Unbiased squared mean discrepancy of two sets with the kernel (x.y/d + 1)^3, by matrix products."""
+    d, m, n = x.shape[1], len(x), len(y)
+    k = lambda a, b: (a @ b.T / d + 1) ** 3
+    xx, yy, xy = k(x, x), k(y, y), k(x, y)
+    return float((xx.sum() - np.trace(xx)) / (m * (m - 1)) + (yy.sum() - np.trace(yy)) / (n * (n - 1)) - 2 * xy.mean())
 
-    return sums(a, a, "xx", True).crossJoin(sums(b, b, "yy", True)).crossJoin(sums(a, b, "xy", False)).select((F.col("xx") + F.col("yy") - 2 * F.col("xy")).alias("mmd2"))
+
+#: Components up to which third moments of whole sets are summed (their number cubed).
+MOST_CUBIC = 128
+
+
+def _power_sums(rows: DataFrame) -> tuple[int, float, list[np.ndarray]]:
+    """Rows, sum of the kernel of each row with itself, and sums of x, x x and x x x over all rows."""
+    import pyarrow as pa
+
+    def local(batches):
+        n, own, sums = 0, 0.0, None
+        for b in batches:
+            x = np.array(b.column(0).to_pylist(), np.float64)
+            if len(x):
+                d = x.shape[1]
+                if d > MOST_CUBIC:
+                    raise ValueError(f"{d} components: take kernel_distance_subsets")
+                new = [x.sum(0), x.T @ x, np.einsum("ni,nj,nk->ijk", x, x, x, optimize=True)]
+                sums = new if sums is None else [a + c for a, c in zip(sums, new)]
+                n, own = n + len(x), own + float(((np.einsum("ni,ni->n", x, x) / d + 1) ** 3).sum())
+        if n:
+            flat = np.concatenate([s.ravel() for s in sums])
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([own]), pa.array([flat.tolist()])], names=["n", "own", "s"])
+
+    parts = rows.select(F.col("embedding").cast("array<double>")).mapInArrow(local, "n long, own double, s array<double>")
+    n, own, flat = 0, 0.0, None
+    for r in parts.toLocalIterator():  # a row a partition, of the components cubed
+        s = np.array(r["s"])
+        n, own, flat = n + r["n"], own + r["own"], s if flat is None else flat + s
+    if flat is None:
+        return 0, 0.0, []
+    d = next(k for k in range(1, MOST_CUBIC + 1) if k + k * k + k**3 == len(flat))
+    return n, own, [flat[:d], flat[d : d + d * d].reshape(d, d), flat[d + d * d :].reshape(d, d, d)]
+
+
+def kernel_distance(a: DataFrame, b: DataFrame) -> float:
+    """Unbiased squared mean discrepancy over whole sets with the kernel (x.y/d + 1)^3, without pairs.
+
+    The cube opens into powers of x.y, and the sum of a power over all pairs is the
+    product of two moment tensors.
+    """
+    (m, own_a, p), (n, own_b, q) = _power_sums(a), _power_sums(b)
+    d = len(p[0])
+
+    def total(s: list[np.ndarray], t: list[np.ndarray], pairs: int) -> float:
+        one, two, three = ((x * y).sum() for x, y in zip(s, t))
+        return float(three / d**3 + 3 * two / d**2 + 3 * one / d + pairs)
+
+    return (total(p, p, m * m) - own_a) / (m * (m - 1)) + (total(q, q, n * n) - own_b) / (n * (n - 1)) - 2 * total(p, q, m * n) / (m * n)
+
+
+def kernel_distance_subsets(a: DataFrame, b: DataFrame, subsets: int = 100, size: int = 1000, seed: int = 0) -> DataFrame:
+    """Mean and deviation of the discrepancy over subsets drawn with replacement; a subset is one small task."""
+    left = draw_samples(a.select("vec_id", "embedding"), "vec_id", subsets, size, seed, replace=True).withColumn("side", F.lit(0))
+    right = draw_samples(b.select("vec_id", "embedding"), "vec_id", subsets, size, seed + 1, replace=True).withColumn("side", F.lit(1))
+
+    def one(t):
+        import pyarrow as pa
+
+        x, side = np.array(t.column("embedding").to_pylist(), np.float64), t.column("side").to_numpy()
+        return pa.table({"sample": t.column("sample").slice(0, 1), "mmd2": [cubic_discrepancy(x[side == 0], x[side == 1])]})
+
+    each = left.unionByName(right).groupBy("sample").applyInArrow(one, "sample long, mmd2 double")
+    return each.agg(F.count(F.lit(1)).alias("subsets"), F.avg("mmd2").alias("mean"), F.stddev_pop("mmd2").alias("std"))
 
 
 def inception(rows: DataFrame, probabilities: str, split: str) -> DataFrame:
@@ -110,6 +279,15 @@ def inception(rows: DataFrame, probabilities: str, split: str) -> DataFrame:
     return kl.join(size, split).select(split, F.exp(F.col("kl") / F.col("n")).alias("score"))
 
 
+def inception_splits(rows: DataFrame, probabilities: str, order: str, splits: int) -> DataFrame:
+    """Mean and population deviation of the score over equal splits in an order; the remainder is left out."""
+    from plumbline.operators.selection import equal_splits
+
+    dealt = equal_splits(rows.select("vec_id", order, probabilities) if order != "vec_id" else rows.select("vec_id", probabilities), order, splits)
+    each = inception(dealt, probabilities, "split")
+    return each.agg(F.count(F.lit(1)).alias("splits"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
+
+
 def vendi_of_gram(gram: np.ndarray) -> float:
     """exp of the entropy of the eigenvalues of a matrix of trace one."""
     w = np.linalg.eigvalsh(gram)
@@ -122,3 +300,33 @@ def vendi(rows: DataFrame) -> float:
     unit = rows.select(v.normalise(F.col("embedding")).alias("embedding"))
     n, _, g = second_moments(unit)
     return vendi_of_gram(g / n)
+
+
+def ngram_gram(rows: DataFrame, key: str, tokens, ns: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
+    """``i, j, k``: mean over n of the cosine of n-gram counts of every two texts of a stated set, i <= j, zeros left out.
+
+    Texts meet through the n-grams that they share.
+    """
+    from plumbline.functions.text import ngrams
+
+    def named(n: int):
+        return F.transform(ngrams(tokens, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("g")))
+
+    found = F.flatten(F.array(*[named(n) for n in ns]))
+    counts = rows.select(F.col(key).alias("i"), F.explode(found).alias("x")).groupBy("i", "x.n", "x.g").agg(F.count(F.lit(1)).alias("c"))
+    length = counts.groupBy("i", "n").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("len"))
+    unit = counts.join(length, ["i", "n"]).select("i", "n", "g", (F.col("c") / F.col("len")).alias("w"))
+    other = unit.select(F.col("i").alias("j"), "n", "g", F.col("w").alias("v"))
+    return unit.join(other, ["n", "g"]).where("i <= j").groupBy("i", "j").agg((F.sum(F.col("w") * F.col("v")) / len(ns)).alias("k"))
+
+
+def vendi_ngrams(rows: DataFrame, key: str, tokens, ns: tuple[int, ...] = (1, 2, 3, 4), most: int = 4096) -> float:
+    """Diversity of a stated set of at most ``most`` texts by their n-grams; eigenvalues on the driver."""
+    ids = [r[0] for r in rows.select(key).orderBy(key).limit(most + 1).collect()]
+    if len(ids) > most:
+        raise ValueError(f"more than {most} texts: draw a sample first (draw_samples)")
+    at = {x: n for n, x in enumerate(ids)}
+    gram = np.zeros((len(ids), len(ids)))
+    for r in ngram_gram(rows, key, tokens, ns).toLocalIterator():
+        gram[at[r["i"]], at[r["j"]]] = gram[at[r["j"]], at[r["i"]]] = r["k"]
+    return vendi_of_gram(gram / max(len(ids), 1))

@@ -78,27 +78,47 @@ k AS (SELECT doc_id, character_count, letter_count, lexicon_count, sentence_coun
   CAST(len(list_distinct(list_filter(w, lambda x: {_SYL} >= 3))) AS BIGINT) AS difficult_words FROM c)"""
 
 
+def _statistics(spark, sf_dir) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", lexical.text_statistics(F.col("text")).alias("s"))
+
+
 @query(f"WITH {_COUNTS} SELECT * FROM k")
 def text_counts(spark, sf_dir):
-    cols = lexical.readability(F.col("text"))
-    return read(spark, sf_dir, "documents").select("doc_id", *[c.alias(k) for k, c in cols.items() if not k.startswith(("flesch", "auto"))])
+    return _statistics(spark, sf_dir).select("doc_id", *[F.col(f"s.{k}") for k in lexical.COUNTS])
 
 
 @query(f"""WITH {_COUNTS} SELECT doc_id, round(206.835 - 1.015 * (lexicon_count / nullif(CAST(sentence_count AS DOUBLE), 0)) - 84.6 * (syllable_count / nullif(CAST(lexicon_count AS DOUBLE), 0)), 6) AS flesch_reading_ease,
 round(4.71 * (character_count / nullif(CAST(lexicon_count AS DOUBLE), 0)) + 0.5 * (lexicon_count / CAST(sentence_count AS DOUBLE)) - 21.43, 6) AS automated_readability_index FROM k""")
 def readability(spark, sf_dir):
-    cols = lexical.readability(F.col("text"))
-    return read(spark, sf_dir, "documents").select("doc_id", *[r6(cols[k]).alias(k) for k in ("flesch_reading_ease", "automated_readability_index")])
+    cols = lexical.readability(F.col("s"))
+    return _statistics(spark, sf_dir).select("doc_id", *[r6(cols[k]).alias(k) for k in ("flesch_reading_ease", "automated_readability_index")])
 
 
-@query()
-def lexical_mtld(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", r6(lexical.mtld("text")).alias("mtld"))
+@query(f"""WITH {_COUNTS}, x AS (SELECT doc_id, CAST(lexicon_count AS DOUBLE) AS w, CAST(sentence_count AS DOUBLE) AS s, CAST(syllable_count AS DOUBLE) AS y, CAST(polysyllable_count AS DOUBLE) AS p, CAST(character_count AS DOUBLE) AS c, CAST(letter_count AS DOUBLE) AS l FROM k WHERE lexicon_count > 0),
+g AS (SELECT doc_id, unnest([0.39 * (w / s) + 11.8 * (y / w) - 15.59, 1.043 * sqrt(30 * (p / s)) + 3.1291, 5.88 * (l / w) - 29.6 * (s / w) - 15.8, 4.71 * (c / w) + 0.5 * (w / s) - 21.43, 0.4 * (w / s + 100 * (p / w))]) AS g FROM x),
+b AS (SELECT doc_id, floor(g) AS v FROM g UNION ALL SELECT doc_id, ceil(g) FROM g), n AS (SELECT doc_id, v, count(*) AS n FROM b GROUP BY doc_id, v),
+m AS (SELECT doc_id, v FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, v) AS r FROM n) WHERE r = 1)
+SELECT doc_id, CAST(v AS DOUBLE) AS aggregate_reading_level FROM documents LEFT JOIN m USING (doc_id)""")
+def reading_level(spark, sf_dir):
+    return _statistics(spark, sf_dir).select("doc_id", lexical.readability(F.col("s"))["aggregate_reading_level"].alias("aggregate_reading_level"))
 
 
 _TOKENS = r"list_transform(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''), lambda x: lower(translate(x, '" + text.ASCII_PUNCTUATION.replace("'", "''") + r"', '')))"
 
 
+_FOLD = """list_reduce({w}, lambda a, x: CASE WHEN CAST(len(CASE WHEN list_contains(a.t, x.t[1]) THEN a.t ELSE list_append(a.t, x.t[1]) END) AS DOUBLE) / (a.n + 1) <= 0.72
+  THEN {{'t': CAST([] AS VARCHAR[]), 'n': 0, 'f': a.f + 1}} ELSE {{'t': CASE WHEN list_contains(a.t, x.t[1]) THEN a.t ELSE list_append(a.t, x.t[1]) END, 'n': a.n + 1, 'f': a.f}} END, {{'t': CAST([] AS VARCHAR[]), 'n': 0, 'f': 0}})"""
+
+
+@query(f"""WITH t AS (SELECT doc_id, list_transform({_TOKENS}, lambda x: {{'t': [x], 'n': 0, 'f': 0}}) AS w FROM documents),
+a AS (SELECT doc_id, len(w) AS n, {_FOLD.format(w="w")} AS u, {_FOLD.format(w="list_reverse(w)")} AS v FROM t WHERE len(w) > 50),
+c AS (SELECT doc_id, n, u.f + (1 - CASE WHEN u.n = 0 THEN 1.0 ELSE CAST(len(u.t) AS DOUBLE) / u.n END) / 0.28 AS x, v.f + (1 - CASE WHEN v.n = 0 THEN 1.0 ELSE CAST(len(v.t) AS DOUBLE) / v.n END) / 0.28 AS y FROM a),
+m AS (SELECT doc_id, (CASE WHEN x = 0 THEN -1.0 ELSE n / x END + CASE WHEN y = 0 THEN -1.0 ELSE n / y END) / 2 AS mtld FROM c)
+SELECT doc_id, round(mtld, 6) AS mtld FROM documents LEFT JOIN m USING (doc_id)""")
+def lexical_mtld(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", r6(lexical.mtld(F.col("text"))).alias("mtld"))
+
+
 @query(f"""WITH t AS (SELECT doc_id, {_TOKENS} AS w FROM documents), s AS (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM t WHERE len(w) > 50 AND len(w) < 1000),
 f AS (SELECT doc_id, n, t, count(*) AS f FROM s GROUP BY ALL),
 p AS (SELECT doc_id, sum((1 - list_product(list_transform(range(0, 42), lambda j: greatest(0.0, CAST(n - f - j AS DOUBLE)) / (n - j)))) / 42) AS hdd FROM f GROUP BY doc_id)
@@ -126,9 +146,15 @@ def newline_collapse(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(text.collapse_newlines(F.col("text"))).alias("digest"))
 
 
-@query("SELECT doc_id, md5(text[1:list_max(list_filter(range(0, 513), lambda n: strlen(text[1:n]) <= 512))]) AS digest FROM documents")
+_CUT = 20480
+
+
+@query(f"""WITH RECURSIVE s AS (SELECT doc_id, text, 0 AS lo, length(text) AS hi FROM documents
+UNION ALL SELECT doc_id, text, CASE WHEN strlen(text[1:(lo + hi + 1) // 2]) <= {_CUT} THEN (lo + hi + 1) // 2 ELSE lo END, CASE WHEN strlen(text[1:(lo + hi + 1) // 2]) <= {_CUT} THEN hi ELSE (lo + hi + 1) // 2 - 1 END FROM s WHERE lo < hi)
+SELECT doc_id, md5(text[1:lo]) AS digest, CAST(strlen(text[1:lo]) AS BIGINT) AS n_bytes FROM s WHERE lo = hi UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE text IS NULL""")
 def byte_truncate(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", F.md5(text.truncate_bytes(F.col("text"), 512)).alias("digest"))
+    cut = read(spark, sf_dir, "documents").select("doc_id", text.truncate_bytes(F.col("text"), _CUT).alias("t"))
+    return cut.select("doc_id", F.md5("t").alias("digest"), F.octet_length("t").cast("long").alias("n_bytes"))
 
 
 _TURNS = "SELECT a.conv_id, a.turn, a.text AS instruction, b.text AS output FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant'"
@@ -164,10 +190,10 @@ def drop_flag_summary(spark, sf_dir):
     return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"), c(F.col("dropped")).alias("n_dropped"), c(F.coalesce(F.col("dropped_by") == "short", F.lit(False))).alias("n_short"), c(F.coalesce(F.col("dropped_by") == "language", F.lit(False))).alias("n_language"))
 
 
-@query("SELECT p_partkey, p_size, p_retailprice FROM part WHERE p_size BETWEEN 10 AND 20 AND p_retailprice >= 1000")
+@query("SELECT p_partkey, p_size, p_retailprice FROM part WHERE p_size BETWEEN 10 AND 20 AND p_retailprice >= 300")
 def range_filter(spark, sf_dir):
     p = read(spark, sf_dir, "part")
-    return p.where(selection.in_range(F.col("p_size"), 10, 20) & selection.in_range(F.col("p_retailprice"), 1000)).select("p_partkey", "p_size", "p_retailprice")
+    return p.where(selection.in_range(F.col("p_size"), 10, 20) & selection.in_range(F.col("p_retailprice"), 300)).select("p_partkey", "p_size", "p_retailprice")
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -302,10 +328,8 @@ for _m in ("l2_norm", "dot_product", "cosine"):
 
 @query(f"WITH {_E}, p AS (SELECT a.label, 1 - list_cosine_similarity(a.v, b.v) AS d FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id) SELECT label, count(*) AS n, round(avg(d), 6) AS mean, round(stddev_pop(d), 6) AS std FROM p WHERE d <> 0 GROUP BY label")
 def distance_stats(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings")
-    a, b = e.select("label", F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select("label", F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
-    p = a.join(b, "label").where("a < b").select("label", vector.cosine_distance(F.col("x"), F.col("y")).alias("d"))
-    return p.where("d <> 0").groupBy("label").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("d")).alias("mean"), r6(F.stddev_pop("d")).alias("std"))
+    out = vectors.class_distance_statistics(read(spark, sf_dir, "embeddings"), "label")
+    return out.select("label", "n", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
 def _positive(spark, sf_dir) -> DataFrame:
@@ -358,7 +382,7 @@ def frechet_distance(spark, sf_dir):
 @query(f"""WITH {_E}, k AS (SELECT a.label < 5 AS p, b.label < 5 AS q, a.vec_id AS i, b.vec_id AS j, (list_dot_product(a.v, b.v) / len(a.v) + 1) ** 3 AS k FROM e a, e b)
 SELECT round((SELECT avg(k) FROM k WHERE p AND q AND i <> j) + (SELECT avg(k) FROM k WHERE NOT p AND NOT q AND i <> j) - 2 * (SELECT avg(k) FROM k WHERE p AND NOT q), 6) AS mmd2""")
 def kernel_distance(spark, sf_dir):
-    return vectors.kernel_distance(*_halves(spark, sf_dir)).select(r6("mmd2").alias("mmd2"))
+    return spark.createDataFrame([(round(vectors.kernel_distance(*_halves(spark, sf_dir)), 6),)], "mmd2 double")
 
 
 @query(f"""WITH {_E}, s AS (SELECT vec_id, label, list_transform(v, lambda x: exp(x)) AS x FROM e), p AS (SELECT vec_id, label, unnest(range(0, len(x))) AS i, unnest(x) / list_sum(x) AS p FROM s),
@@ -391,9 +415,9 @@ def greedy_match(spark, sf_dir):
     return matching.greedy_match(pairs, "vec_id").select("vec_id", *[r6(c).alias(c) for c in ("precision", "recall", "f")])
 
 
-@query(f"WITH t AS (SELECT doc_id, {_CLEAN} AS w FROM documents), d AS (SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(w)) AS token FROM t) GROUP BY token) SELECT token, df, round(ln((SELECT count(*) + 1 FROM documents) / CAST(df + 1 AS DOUBLE)), 6) AS idf FROM d")
+@query(f"WITH t AS (SELECT doc_id, {_CLEAN} AS w FROM documents), d AS (SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(w)) AS token FROM t) GROUP BY token) SELECT token, df, round(ln((SELECT count(*) + 1 FROM documents) / CAST(df + 1 AS DOUBLE)), 6) AS idf, round(ln((SELECT count(*) + 1 FROM documents)), 6) AS unseen_idf FROM d")
 def inverse_frequencies(spark, sf_dir):
-    return matching.inverse_frequencies(read(spark, sf_dir, "documents"), "doc_id", text.clean_words(F.col("text"))).select("token", "df", r6("idf").alias("idf"))
+    return matching.inverse_frequencies(read(spark, sf_dir, "documents"), "doc_id", text.clean_words(F.col("text"))).select("token", "df", r6("idf").alias("idf"), r6("unseen_idf").alias("unseen_idf"))
 
 
 @query("SELECT user_id, max(value) AS value FROM events GROUP BY user_id")
@@ -449,10 +473,20 @@ def model_heads(spark, sf_dir):
     )
 
 
-@query(r"SELECT event_id, CAST(coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS INTEGER) AS k, CAST(CASE WHEN json_valid(props) AND json_type(props) = 'ARRAY' THEN json_array_length(props) ELSE 0 END AS INTEGER) AS n, coalesce(json_extract_string(props, '$.missing'), 'none') AS missing FROM events")
+_LISTS = "CASE WHEN o_orderkey % 3 = 0 THEN '[' || repeat('{\"tag\":\"x\"},', CAST(o_orderkey % 5 AS INTEGER)) || '1]' WHEN o_orderkey % 3 = 1 THEN '{\"k\":' || o_orderkey % 4 || ',\"m\":{\"x\":' || (o_orderkey % 2) || '.5}}' ELSE 'no json' END"
+
+
+@query(f"""WITH j AS (SELECT o_orderkey, {_LISTS} AS j FROM orders)
+SELECT o_orderkey, CAST(CASE WHEN json_valid(j) THEN json_array_length(j) ELSE 0 END AS INTEGER) AS n, CASE WHEN json_valid(j) THEN coalesce(json_extract_string(j, '$.k'), 'none') ELSE 'none' END AS k,
+CASE WHEN json_valid(j) THEN coalesce(TRY_CAST(json_extract_string(j, '$.k') AS DOUBLE), 0.0) ELSE 0.0 END AS k_number, CASE WHEN json_valid(j) THEN coalesce(TRY_CAST(json_extract_string(j, '$.m.x') AS DOUBLE), 0.0) ELSE 0.0 END AS m_x FROM j""")
 def json_fields(spark, sf_dir):
-    e = read(spark, sf_dir, "events")
-    return e.select("event_id", text.whole_number(F.get_json_object("props", "$.k")).alias("k"), text.json_list_length(F.col("props")).alias("n"), F.coalesce(F.get_json_object("props", "$.missing"), F.lit("none")).alias("missing"))
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.expr(_LISTS).alias("j"))
+    return o.select("o_orderkey", text.json_list_length(F.col("j")).alias("n"), text.safe_get(F.col("j"), "k", "none").alias("k"), text.dotted(F.col("j"), "k").alias("k_number"), text.dotted(F.col("j"), "m.x").alias("m_x"))
+
+
+@query("SELECT event_id, CAST(coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS INTEGER) AS k FROM events")
+def whole_numbers(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("event_id", text.whole_number(F.get_json_object("props", "$.k")).alias("k"))
 
 
 @query(r"SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path, CAST(strlen(html) AS BIGINT) AS n_bytes, lower(html) LIKE '%<html%' AS is_html FROM pages")
@@ -484,24 +518,31 @@ def head_tail_truncate(spark, sf_dir):
 
 @query("SELECT event_id, user_id, round(value, 6) AS value FROM events")
 def stream_scores(spark, sf_dir):
-    """The stream's scorer over the table's files, drained once."""
+    """The table's files as a stream, scored and drained; replays of an event are dropped."""
     from plumbline.streaming import scores
 
     e = read(spark, sf_dir, "events")
-    return scores.score_stream(e, {"value": r6("value")}).select("event_id", "user_id", "value")
+    plan = lambda rows: scores.score_stream(scores.drop_replays(rows, "event_id", "ts"), {"value": r6("value")}).select("event_id", "user_id", "value")
+    return scores.drain(spark, f"{sf_dir.rstrip('/')}/events.parquet", e.schema, plan, "scores")
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS num, round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max FROM events GROUP BY 1, 2")
 def window_statistics(spark, sf_dir):
+    """Statistics by hour and kind, from a stream of the table's files, drained."""
     from plumbline.streaming import scores
 
-    out = scores.windowed(read(spark, sf_dir, "events"), "ts", "value", ["event_type"])
-    return out.withColumn("mean", r6("mean"))
+    e = read(spark, sf_dir, "events")
+    plan = lambda rows: scores.windowed(rows, "ts", "value", ["event_type"])
+    out = scores.drain(spark, f"{sf_dir.rstrip('/')}/events.parquet", e.schema, plan, "windows", mode="complete")
+    return out.withColumn("window_start", F.col("window_start").cast(e.schema["ts"].dataType)).withColumn("mean", r6("mean"))
 
 
 def queries() -> dict:
+    from plumbline.plans import extras  # noqa: F401  registers the rest
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)

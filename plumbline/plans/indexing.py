@@ -1,25 +1,61 @@
-"""Row positions without a single-partition window."""
+"""Row positions and running sums without a task that holds a whole table or group."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.staging import staged
 
-def with_position(df: DataFrame, *order: str | Column, name: str = "pos", partitions: int | None = None) -> DataFrame:
-    """Adds the 0-based position of each row in the given total order.
+PART, AT = "__part", "__at"
+
+
+def _dealt(df: DataFrame, order: list[str | Column], partitions: int | None) -> DataFrame:
+    """Rows dealt by ranges of an order and sorted inside them, written once with part and place.
 
-    Rows are dealt by ranges of the order and sorted inside them; a row's position is
-    its number in the partition plus the rows of the partitions before.  Only one count
-    a partition reaches the driver.
+    Range bounds are sampled anew by every execution, so parts and places of two
+    executions differ; what is counted and what is numbered must be one written table.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
-    part, local = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
-    counts = {r[0]: r[1] for r in dealt.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(AT, F.monotonically_increasing_id())
+    rows = rows.withColumn(PART, F.shiftright(AT, 33).cast("int")).withColumn(AT, F.col(AT).bitwiseAND((1 << 33) - 1))
+    return staged(rows, "dealt")
+
+
+def with_position(df: DataFrame, *order: str | Column, name: str = "pos", partitions: int | None = None) -> DataFrame:
+    """Adds the 0-based position of each row in the given order.
+
+    A row's position is its place in the part plus the rows of the parts before.  Only
+    one count a part reaches the driver.
+    """
+    dealt = _dealt(df, list(order), partitions)
     base, rows = 0, []
-    for p in sorted(counts):
-        rows.append((p, base))
-        base += counts[p]
-    starts = df.sparkSession.createDataFrame(rows, "__p long, __base long")
-    return dealt.withColumn("__p", part).join(F.broadcast(starts), "__p").withColumn(name, F.col("__base") + local).drop("__at", "__p", "__base")
+    for r in sorted(dealt.groupBy(PART).count().collect()):
+        rows.append((r[0], base))
+        base += r[1]
+    starts = df.sparkSession.createDataFrame(rows, f"{PART} int, __base long")
+    return dealt.join(F.broadcast(starts), PART).withColumn(name, F.col("__base") + F.col(AT)).drop(AT, PART, "__base")
+
+
+def with_running(df: DataFrame, group: str | list[str], order: list[str], *, pos: str | None = None, sums: dict[str, Column] | None = None, partitions: int | None = None) -> DataFrame:
+    """Adds, within each group, the position of a row and sums over the rows before it.
+
+    A group that holds a third of all rows spans many parts: each part numbers and sums
+    its own rows, and what the group's earlier parts add comes from a row a part and group.
+    Null groups count as one group.
+    """
+    keys = [group] if isinstance(group, str) else list(group)
+    values = {**({pos: F.lit(1).cast("long")} if pos else {}), **(sums or {})}
+    raw = {f"__v{i}": c for i, c in enumerate(values.values())}
+    dealt = _dealt(df.withColumns(raw), [*keys, *order], partitions)
+    before = Window.partitionBy(PART, *keys).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.withColumns({f"__s{i}": F.coalesce(F.sum(v).over(before), F.lit(0)) for i, v in enumerate(raw)})
+    totals = dealt.groupBy(PART, *keys).agg(*[F.sum(v).alias(f"__t{i}") for i, v in enumerate(raw)])
+    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(F.col(PART).alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.coalesce(F.sum(f"__t{i}").over(earlier), F.lit(0)).alias(f"__b{i}") for i in range(len(raw))])
+    same = F.col(PART) == F.col("__p")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    out = local.join(base, same)
+    new = [(F.col(f"__s{i}") + F.col(f"__b{i}")).alias(name) for i, name in enumerate(values)]
+    return out.select(*[c for c in df.columns if c not in values], *new)

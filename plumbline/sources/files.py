@@ -54,6 +54,35 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
 
 def with_media(meta: DataFrame, root: str, column: str, glob: str = "*") -> DataFrame:
     """Rows joined with the bytes of the file that a column names, by path below ``root``."""
-    files = meta.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    named = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("__name"), "content")
-    return meta.join(named, F.regexp_extract(F.col(column), r"([^/]+)$", 1) == F.col("__name"), "left").drop("__name")
+    spark = meta.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    top = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toUri().getPath().rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    plain = F.regexp_replace("path", r"^[a-z0-9]+:(//[^/]*)?", "")
+    named = files.select(F.substring(plain, len(top) + 2, 1 << 30).alias("__name"), "content")
+    wanted = F.regexp_replace(F.regexp_replace(F.col(column), r"^[a-z0-9]+:(//[^/]*)?", ""), f"^({_quoted(top)})?/*", "")
+    return meta.join(named, wanted == F.col("__name"), "left").drop("__name")
+
+
+def _quoted(literal: str) -> str:
+    return "\\Q" + literal + "\\E"
+
+
+def with_pictures(rows: DataFrame, encoded: str | None = None, content: str | None = None) -> DataFrame:
+    """Picture bytes from base64 text, or else from a bytes column; what begins like no known picture
+    is null, with ``error``, and is skipped later."""
+    data = F.coalesce(*[c for c in (F.try_to_binary(F.col(encoded), F.lit("base64")) if encoded else None, F.col(content) if content else None) if c is not None])
+    head = F.hex(F.substring(data, 1, 12))
+    known = head.startswith("FFD8FF") | head.startswith("89504E470D0A1A0A") | head.startswith("47494638") | (head.startswith("52494646") & (F.substring(head, 17, 8) == "57454250")) | head.startswith("424D")
+    ok = F.coalesce(known, F.lit(False))
+    return rows.withColumns({"picture": F.when(ok, data), "error": F.when(~ok, F.lit("no picture"))})
+
+
+def read_hub_folder(spark: SparkSession, root: str, split: str = "train", config: str | None = None) -> DataFrame:
+    """A downloaded hub dataset: the Parquet or JSON files of a split, below a configuration's folder if there is one."""
+    top = f"{root.rstrip('/')}/{config}" if config else root.rstrip("/")
+    for glob, read in ((f"*{split}*.parquet", "parquet"), (f"*{split}*.json*", "json")):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(top).select("path").limit(1)
+        if not files.isEmpty():
+            return getattr(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob), read)(top)
+    raise FileNotFoundError(f"no {split} files below {top}")

@@ -30,8 +30,10 @@ def decode(body: bytes, charset: str | None) -> tuple[str, str]:
 
 
 def records(data: bytes):
-    """(WARC headers, body) of each record."""
-    stream = io.BytesIO(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+    """(WARC headers, body) of each record; compressed archives are opened member by member, never as a whole."""
+    stream = io.BytesIO(data)
+    if data[:2] == b"\x1f\x8b":
+        stream = io.BufferedReader(gzip.GzipFile(fileobj=stream))
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
@@ -50,8 +52,8 @@ def parse(data: bytes):
             lines = head.decode("latin-1").split("\r\n")
             status = int(lines[0].split(" ")[1]) if len(lines[0].split(" ")) > 1 and lines[0].split(" ")[1].isdigit() else None
             http = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-            kind_of = http.get("content-type", "")
-            charset = kind_of.partition("charset=")[2].strip() or None
+            kind_of = headers.get("warc-identified-payload-type") or http.get("content-type", "")
+            charset = http.get("content-type", "").partition("charset=")[2].strip(" ;\"'") or None
         html, used = decode(page, charset)
         yield headers.get("warc-target-uri"), headers.get("warc-type"), status, kind_of, headers.get("warc-date"), html, used
 
@@ -92,8 +94,14 @@ def read_warc(spark, path: str):
     def run(batches):
         for b in batches:
             for content in b.column("content"):
-                rows = list(parse(content.as_py()))
-                cols = list(zip(*rows)) if rows else [[] for _ in names]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=names)
+                rows, held = [], 0
+                for row in parse(content.as_py()):
+                    rows.append(row)
+                    held += len(row[5])
+                    if held > 16 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+                        rows, held = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, SCHEMA)

@@ -49,3 +49,37 @@ def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str) -> D
 def process_files(inputs: DataFrame, outputs: DataFrame, key: str, transform: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Only inputs that have no output yet."""
     return transform(inputs.join(outputs.select(key).distinct(), key, "left_anti"))
+
+
+def guarded(df: DataFrame, columns: dict[str, Column], where: Column, message: str) -> DataFrame:
+    """Columns computed where a condition holds; other rows stay, with the message in ``error``."""
+    out = df.withColumns({k: F.when(where, c) for k, c in columns.items()})
+    return out.withColumn("error", F.when(~F.coalesce(where, F.lit(False)), F.lit(message)))
+
+
+def drain(spark, folder: str, schema, plan: Callable[[DataFrame], DataFrame], name: str, mode: str = "append", per_batch: int = 1) -> DataFrame:
+    """Reads the Parquet files of a folder as a stream, ``per_batch`` files a batch, applies a plan until nothing
+    is left, and returns what was written to the shared folder."""
+    import uuid
+
+    from plumbline.staging import shared_root
+
+    at = f"{shared_root(spark)}/plumbline/stream-{name}-{uuid.uuid4().hex}"
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).option("recursiveFileLookup", True).parquet(folder)
+    out = plan(rows)
+    if mode == "append":
+        query = out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").outputMode(mode).trigger(availableNow=True).start()
+    else:
+        query = out.writeStream.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{at}/out")).option("checkpointLocation", f"{at}/state").outputMode(mode).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{at}/out")
+
+
+class Throughput:
+    """Rows a batch and a second of a running query, from its progress reports."""
+
+    def __init__(self, query):
+        self.query = query
+
+    def rows(self) -> list[dict]:
+        return [{"batch": p["batchId"], "rows": p["numInputRows"], "rows_per_second": p.get("processedRowsPerSecond")} for p in self.query.recentProgress]

@@ -126,7 +126,8 @@ def test_heads(spark):
     one = table(spark, [(2.0, 0.0, "x"), (2.0, 4.0, ""), (2.0, 4.0, "x")], "c double, a double, o string")
     assert [r[0] for r in one.select(heads.following_difficulty(F.col("c"), F.col("a"), F.col("o"))).collect()] == [0.0, None, 0.5]
     n = table(spark, [(10,)], "n int")
-    assert n.select(heads.frame_indices(F.col("n"), 2, 2, 3)).first()[0] == [2, 5, 7, 0]
+    assert n.select(heads.frame_indices(F.col("n"), 2, 2, 3)).first()[0] == [1, 4, 3, 6]  # steps of (10 - 2 * 3 + 1) / 2
+    assert n.select(heads.frame_indices(F.col("n"), 2, 4, 3)).first()[0] == [0, 3, 6, 9, 0, 3, 6, 9]  # shorter than a clip
 
 
 def test_matching(spark):
