@@ -30,16 +30,19 @@ PIECES = "doc_id long, piece int, start long, length long, shard int, rank_in_sh
 
 # ---------------------------------------------------------------- the search
 
-def fillings(counts: list[int], gap: int) -> Iterator[tuple[int, ...]]:
+def fillings(counts: list[int], gap: int, patience: int | None = None) -> Iterator[tuple[int, ...] | None]:
     """All undominated fillings of ``gap`` from the lengths at hand, least waste first.
 
     Lazily: for each waste in turn the multisets of exactly that sum, larger items first,
     led by the sums that smaller lengths can reach (sets of sums are bits of a number).
     A filling is dominated, and left out, if another item fits besides, or could take the
-    place of one or several of its items that sum to no more.
+    place of one or several of its items that sum to no more.  A part in which an item at
+    hand equals the sum of several stays dominated however it goes on, and is not pursued.
+    With ``patience``, None comes after every so many parts, so that a caller can count effort.
     """
     sizes = [s for s in range(1, gap + 1) if counts[s]]
     free = sum(1 << s for s in sizes)
+    looked = 0
     reach = [1]
     for s in sizes:
         sums, copies, k = reach[-1], min(counts[s], gap // s), 1
@@ -49,21 +52,41 @@ def fillings(counts: list[int], gap: int) -> Iterator[tuple[int, ...]]:
             copies, k = copies - k, 2 * k
         reach.append(sums & ((2 << gap) - 1))
 
-    def exact(j: int, target: int) -> Iterator[tuple[int, ...]]:
+    def exact(j: int, target: int, chosen: tuple[int, ...], sums: int, several: int) -> Iterator[tuple[int, ...] | None]:
+        nonlocal looked
         if not target:
-            yield ()
+            yield chosen
             return
         while j >= 0 and reach[j + 1] >> target & 1:
             s = sizes[j]
-            for c in range(min(counts[s], target // s), 0, -1):
+            parts = [(chosen, sums, several)]
+            for _ in range(min(counts[s], target // s)):
+                had, all_, two = parts[-1]
+                two, all_, had = two | (all_ & ~1) << s, all_ | all_ << s, (*had, s)
+                if _replaceable(had, counts, two & free):
+                    break
+                parts.append((had, all_, two))
+            for c in range(len(parts) - 1, 0, -1):
                 if reach[j] >> (target - c * s) & 1:
-                    for rest in exact(j - 1, target - c * s):
-                        yield (s,) * c + rest
+                    looked += 1
+                    if patience and looked % patience == 0:
+                        yield None
+                    yield from exact(j - 1, target - c * s, *parts[c])
             j -= 1
 
     for waste in range(gap + 1):
         if reach[-1] >> (gap - waste) & 1:
-            yield from (f for f in exact(len(sizes) - 1, gap - waste) if not _dominated(f, counts, free, waste))
+            for f in exact(len(sizes) - 1, gap - waste, (), 1, 0):
+                if f is None or not _dominated(f, counts, free, waste):
+                    yield f
+
+
+def _replaceable(filling: tuple[int, ...], counts: list[int], could: int) -> bool:
+    """Whether one of the lengths in the bits of ``could`` is at hand besides the filling."""
+    for x in set(filling):
+        if counts[x] <= filling.count(x):
+            could &= ~(1 << x)
+    return could != 0
 
 
 def _dominated(filling: tuple[int, ...], counts: list[int], free: int, waste: int) -> bool:
@@ -76,11 +99,17 @@ def _dominated(filling: tuple[int, ...], counts: list[int], free: int, waste: in
     could = several
     for k in range(1, waste + 1):
         could |= several << k | (one | 1) << k
-    could &= free
-    for x in set(filling):
-        if counts[x] <= filling.count(x):
-            could &= ~(1 << x)
-    return could != 0
+    return _replaceable(filling, counts, could & free)
+
+
+def greedy(counts: list[int], gap: int) -> tuple[int, ...]:
+    """The largest item that fits, again and again."""
+    out: list[int] = []
+    for x in range(gap, 0, -1):
+        n = min(counts[x], gap // x) if x <= gap else 0
+        out += [x] * n
+        gap -= x * n
+    return tuple(out)
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -94,6 +123,10 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return int(max(-(-volume[-1] // capacity), (big + mid + np.maximum(0, -(-(small - free) // capacity))).max(initial=0)))
 
 
+#: Parts of fillings that count as one node of the search.
+PATIENCE = 100
+
+
 def bin_completion(counts, capacity: int, *, nodes: int | None = 4000) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths, how many sequences) that hold all items.
 
@@ -101,49 +134,65 @@ def bin_completion(counts, capacity: int, *, nodes: int | None = 4000) -> list[t
     as often as the counts allow and then less often.  The first descent takes the best
     fit each time and is the first incumbent; better packings replace it.  A branch ends
     when its waste, or the bound of what is left, leaves no way to beat the incumbent.
-    The search ends at the lower bound, when all branches are done, or once an incumbent
-    exists after ``nodes`` nodes (None: never): a limit on effort, as the problem is
-    NP-hard, and never on items: the incumbent always packs them all.
+
+    The problem is NP-hard, so effort is limited and items never are: the search ends at
+    the lower bound, when all branches are done, or, once there is an incumbent, after
+    ``nodes`` nodes; a level that looks at ``PATIENCE`` parts without an undominated
+    filling tries the greedy one first.  With ``nodes=None`` the result is optimal.
     """
     left = np.array(counts, np.int64)
     total = int((np.arange(len(left)) * left).sum())
     target, best, best_bins = lower_bound(left, capacity), [], None
-    path: list[tuple[tuple[int, ...], int]] = []
+    path: list[tuple[tuple[int, ...], int, bool]] = []
     bins = waste = visited = 0
 
     def order(pattern: tuple[int, ...]) -> tuple:
         return capacity - sum(pattern), tuple(-x for x in pattern)
 
-    def options() -> Iterator[tuple[tuple[int, ...], int]]:
+    def options() -> Iterator[tuple[tuple[int, ...], int, bool] | None]:
         """Sequences for the largest item; those of one largest item come in order, each set of them once."""
         have = left.tolist()
         big = max(x for x, n in enumerate(have) if n)
-        last = order(path[-1][0]) if path and path[-1][0][0] == big else None
+        last = order(path[-1][0]) if path and path[-1][2] and path[-1][0][0] == big else None
         have[big] -= 1
-        for f in fillings(have, capacity - big):
+
+        def often(pattern: tuple[int, ...], ordered: bool):
+            for m in range(min(int(left[x]) // pattern.count(x) for x in set(pattern)), 0, -1):
+                yield pattern, m, ordered
+
+        silent = True
+        for f in fillings(have, capacity - big, None if nodes is None else PATIENCE):
+            if f is None:
+                if silent:
+                    silent = False
+                    yield from often((big, *greedy(have, capacity - big)), False)
+                yield None
+                continue
             pattern = (big, *f)
             if last is None or order(pattern) > last:
-                for m in range(min(int(left[x]) // pattern.count(x) for x in set(pattern)), 0, -1):
-                    yield pattern, m
+                silent = False
+                yield from often(pattern, True)
 
     stack = [options()] if total else []
     while stack and not (best_bins is not None and (best_bins <= target or (nodes is not None and visited >= nodes))):
-        chosen = next(stack[-1], None)
-        if chosen is None:
+        chosen = next(stack[-1], False)
+        if chosen is False:
             stack.pop()
             if path:
-                pattern, m = path.pop()
+                pattern, m, _ = path.pop()
                 bins, waste = bins - m, waste - m * (capacity - sum(pattern))
                 np.add.at(left, list(pattern), m)
             continue
-        pattern, m = chosen
         visited += 1
+        if chosen is None:
+            continue
+        pattern, m, _ = chosen
         np.subtract.at(left, list(pattern), m)
         path.append(chosen)
         bins, waste = bins + m, waste + m * (capacity - sum(pattern))
         hopeless = best_bins is not None and (waste > (best_bins - 1) * capacity - total or bins + lower_bound(left, capacity) >= best_bins)
         if not hopeless and not left.any():
-            best, best_bins = list(path), bins
+            best, best_bins = [(p, n) for p, n, _ in path], bins
         stack.append(iter(()) if hopeless or not left.any() else options())
     return best
 
