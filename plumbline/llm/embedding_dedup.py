@@ -89,10 +89,10 @@ def _roots(mask: np.ndarray) -> np.ndarray:
         lab = new
 
 
-def verify(rep, n, side, pivots, vectors, pivot: int, pair: bool, m: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+def verify(n, side, pivots, vectors, pivot: int, pair: bool, m: int, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Links (weighted by class size) of each row, and the row of its root, for one pair of blocks."""
-    marks = np.zeros((len(rep), m), np.float32)
-    marks[np.repeat(np.arange(len(rep)), [len(p) for p in pivots]), np.concatenate(pivots)] = 1
+    marks = np.zeros((len(n), m), np.float32)
+    marks[np.repeat(np.arange(len(n)), [len(p) for p in pivots]), np.concatenate(pivots)] = 1
     ok = (marks[:, :pivot] @ marks[:, :pivot].T == 0) & (vectors @ vectors.T >= least)
     np.fill_diagonal(ok, False)
     if pair:
@@ -113,13 +113,13 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     rows = rows.mapInArrow(units, "vec_id long, label string, unit binary")
     rows = ws.stage(rows.withColumns({"h1": F.xxhash64("unit"), "h2": F.xxhash64(F.lit(1), "unit")}), "units")
     usable = rows.where("unit is not null and label is not null and vec_id is not null")
-    classes = ws.stage(usable.groupBy("label", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("rep"), F.first("unit").alias("unit")), "classes")
+    classes = ws.stage(usable.groupBy("label", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("rep"), F.first("unit").alias("unit")).withColumn("node", F.xxhash64("label", "h1", "h2")), "classes")
     total = classes.count()
     m = int(min(most_pivots, max(64, 1 << round(np.log2(max(total, 1)) / 2))))
     grain = 1 << 20
     share = min(grain, -(-2 * m * grain // max(total, 1)))
-    sample = classes.where(F.pmod(F.xxhash64("rep"), F.lit(grain)) < share).select("rep", "label", "unit").collect()  # about 2 m rows
-    sample.sort(key=lambda r: (hash((r["rep"] * 0x9E3779B97F4A7C15) & (2**64 - 1)), r["rep"]))
+    sample = classes.where(F.pmod(F.xxhash64("node"), F.lit(grain)) < share).select("node", "unit").collect()  # about 2 m rows
+    sample.sort(key=lambda r: ((r["node"] * 0x9E3779B97F4A7C15) & (2**64 - 1), r["node"]))
     by_size: dict[int, list[np.ndarray]] = {}
     for r in sample:
         x = np.frombuffer(bytes(r["unit"]), "<f8")
@@ -172,30 +172,32 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
                 sizes[at] = d
                 for i, row in zip(at, joins):
                     out[i] = np.nonzero(row)[0].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("label"), b.column("n"), pa.array(sizes), pa.array(out, pa.list_(pa.int32())), b.column("unit")], names=["rep", "label", "n", "size", "pivots", "unit"])
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("label"), b.column("n"), pa.array(sizes), pa.array(out, pa.list_(pa.int32())), b.column("unit")], names=["node", "label", "n", "size", "pivots", "unit"])
 
-    index = ws.stage(classes.select("rep", "label", "n", "unit").mapInArrow(describe, "rep long, label string, n long, size int, pivots array<int>, unit binary"), "index")
+    index = ws.stage(classes.select("node", "label", "n", "unit").mapInArrow(describe, "node long, label string, n long, size int, pivots array<int>, unit binary"), "index")
     postings = index.withColumn("pivot", F.explode("pivots"))
     key = ["label", "size", "pivot"]
     lists = index.select("label", "size", F.explode("pivots").alias("pivot")).groupBy(*key).agg(F.count(F.lit(1)).alias("entries")).where("entries > 1")
     lists = lists.select(*key, F.ceil(F.col("entries") / BLOCK).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("rep", "pivot"), F.col("blocks")).cast("int")
+    mine = F.pmod(F.xxhash64("node", "pivot"), F.col("blocks")).cast("int")
     spread = postings.join(lists, key).withColumn("side", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).select(*key, "i", "j", "side", "rep", "n", "pivots", "unit")
+    spread = spread.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).select(*key, "i", "j", "side", "node", "n", "pivots", "unit")
 
     def group(t: pa.Table) -> pa.Table:
         pivots = t.column("pivots").to_pylist()
         units = np.array([np.frombuffer(x, "<f8") for x in t.column("unit").to_pylist()])
-        rep, n, side = (t.column(c).to_numpy() for c in ("rep", "n", "side"))
-        links, root = verify(rep, n, side, pivots, units, t.column("pivot")[0].as_py(), t.column("i")[0].as_py() != t.column("j")[0].as_py(), m, least)
+        node, n, side = (t.column(c).to_numpy() for c in ("node", "n", "side"))
+        links, root = verify(n, side, pivots, units, t.column("pivot")[0].as_py(), t.column("i")[0].as_py() != t.column("j")[0].as_py(), m, least)
         hit = links > 0
-        return pa.table({"rep": rep[hit], "links": links[hit], "peer": rep[root[hit]]})
-
-    found = ws.stage(spread.groupBy(*key, "i", "j").applyInArrow(group, "rep long, links long, peer long"), "links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    cc = connected_components(ws, found.select(F.col("rep").alias("a"), F.col("peer").alias("b")))
-    out = classes.select("label", "h1", "h2", "n", "rep").join(links, "rep", "left").join(cc.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    out = out.select("label", "h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        return pa.table({"node": node[hit], "links": links[hit], "peer": node[root[hit]]})
+
+    found = ws.stage(spread.groupBy(*key, "i", "j").applyInArrow(group, "node long, links long, peer long"), "links")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    cc = connected_components(ws, found.select(F.col("node").alias("a"), F.col("peer").alias("b")))
+    out = classes.select("label", "h1", "h2", "n", "rep", "node").join(links, "node", "left").join(cc, "node", "left")
+    out = ws.stage(out.select("label", "h1", "h2", "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component")), "named")
+    least = ws.stage(out.groupBy("component").agg(F.min("rep").alias("component_id")), "least")  # so that the join can split a hot component
+    out = out.join(least.hint("merge"), "component").select("label", "h1", "h2", "n_links", "component_id")
     return (
         rows.withColumn("ok", F.col("unit").isNotNull() & F.col("vec_id").isNotNull())
         .withColumn("label", F.when(F.col("ok"), F.col("label")))
