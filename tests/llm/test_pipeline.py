@@ -48,6 +48,54 @@ def test_long_single_lines_are_runs(spark):
     assert got == {0: texts[0], 1: f"d\ne\n{short}\nf", 3: short, 4: "g\n "}
 
 
+def small_tables(spark, path, texts, toxic=()):
+    spark.createDataFrame([(i, t, "en", f"s{i % 2}", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(len(texts))], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, "benchmark " + " ".join(f"b{i}" for i in range(40)))], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+
+
+def test_run_on_planted_cases(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    words = [a + b for a in "ka to mi ne su ro".split() for b in "len dar pos tik wum".split()]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(240)]
+    toxic = set(range(0, 240, 4))
+    for i in toxic:
+        w = texts[i].split()
+        for at in rng.integers(0, 60, 5):
+            w[at] = rng.choice(["scumbagge", "vilewretch", "trashpile"])
+        texts[i] = " ".join(w)
+    clean = texts[1]
+    passage = "benchmark " + " ".join(f"b{i}" for i in range(20))
+    lines = "shared line one of many\nshared line two of many\n"
+    texts += [clean, clean.replace(clean.split()[30], "other", 1), passage, lines + texts[2], lines + texts[3] + " end", None, "", clean]
+    small_tables(spark, f"{tmp_path}", texts, toxic)
+    out = corpus_pipeline.run(spark, f"{tmp_path}").collect()
+    left = {r.doc_id for r in out}
+    assert len(left & toxic) <= 0.1 * len(toxic)
+    assert 240 not in left and 241 not in left and 247 not in left and 242 not in left  # copies, near copy, benchmark passage
+    assert {1, 245, 246} <= left and len(left - toxic) >= 0.95 * 182
+    used = {}
+    for r in out:
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in v) <= 2048 and sorted(v)[0][0] == 0 for v in used.values())
+
+
+CLASHING = ["toxicity", "__toxicity", "runs", "n_lines", "__runs", "__id", "text_hash", "id", "score", "spans", "items", "n_words"]
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_every_stage_at_the_edges(spark, tmp_path, k):
+    texts = [None, "", " ", "w", "long " * 30_000, "same line\nof text", "same line\nof text", "tie", "tie"]
+    small_tables(spark, f"{tmp_path}", texts)
+    _, stage = corpus_pipeline.STAGES[k]
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumns({c: F.lit(c) for c in CLASHING})
+    docs = docs.unionByName(docs.where("doc_id = 7")).unionByName(docs.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long")))
+    out = stage(spark, docs, f"{tmp_path}")
+    assert out.columns == docs.columns and {0, 1, 2, 3, 4, 5, 7} <= {r.doc_id for r in out.collect()}
+    assert {tuple(r[c] for c in CLASHING) for r in out.collect()} == {tuple(CLASHING)}
+    assert stage(spark, docs.limit(0), f"{tmp_path}").count() == 0
+
+
 @pytest.mark.parametrize("name", ["op1_token_binary", "op9_benchmark_decontamination"])
 def test_queries_are_registered(name):
     import __spark_entry__
