@@ -103,8 +103,11 @@ def percentile_against(scores: DataFrame, stored: DataFrame, score: str) -> Data
     return rows.select(*scores.columns, ((x - mean) / F.sqrt((F.col("__q") + x * x) / n - mean * mean)).alias("gaussian"), (F.col("__less") / n).alias("uniform"))
 
 
+# Mean, deviation and weight of the technical and of the aesthetic score.
+FUSED = {"technical": (0.1107, 0.07355, 0.6104), "aesthetic": (-0.08285, 0.03774, 0.3896)}
+
+
 def fuse(technical: Column, aesthetic: Column) -> Column:
     """Weighted sigmoid of two video scores."""
-    # Means, deviations and weights of the two scores.
-    x = (technical - 0.1107) / 0.07355 * 0.6104 + (aesthetic + 0.08285) / 0.03774 * 0.3896
-    return v.sigmoid(x)
+    scaled = [(c - mean) / deviation * weight for c, (mean, deviation, weight) in zip((technical, aesthetic), FUSED.values())]
+    return v.sigmoid(scaled[0] + scaled[1])

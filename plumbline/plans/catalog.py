@@ -451,12 +451,12 @@ def consecutive_change(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", r6(F.col("value") - F.lag("value").over(w)).alias("change"))
 
 
-_LOGITS = "list_transform([x1, x2, x3, x4, x5, x6], lambda x: exp(x))"
+_FUSED = " + ".join(f"(v[{i}] - ({mean})) / {deviation} * {weight}" for i, (mean, deviation, weight) in enumerate(matching.FUSED.values(), 1))
 
 
 @query(f"""WITH {_E}, l AS (SELECT vec_id, list_transform(v[1:6], lambda x: exp(x)) AS x, v FROM e), p AS (SELECT vec_id, list_transform(x, lambda q: q / list_sum(x)) AS p, v FROM l)
 SELECT vec_id, round(list_dot_product(p, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]), 6) AS rating, round(p[2] + 2 * p[3], 6) AS textbook, round(1 / (1 + exp(-(v[1] - 0.1) / 0.5)), 6) AS sigmoid,
-round(least(greatest(v[2], 0.0), 1.0), 6) AS clipped, list_position(p, list_max(p)) AS label, round(1 / (1 + exp(-((v[1] - 0.1107) / 0.07355 * 0.6104 + (v[2] + 0.08285) / 0.03774 * 0.3896))), 6) AS fused FROM p""")
+round(least(greatest(v[2], 0.0), 1.0), 6) AS clipped, list_position(p, list_max(p)) AS label, round(1 / (1 + exp(-({_FUSED}))), 6) AS fused FROM p""")
 def model_heads(spark, sf_dir):
     v = F.col("embedding").cast("array<double>")
     six = F.slice(v, 1, 6)

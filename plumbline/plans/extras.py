@@ -40,6 +40,7 @@ def two_class_heads(spark, sf_dir):
     )
 
 
+_SCALE = heads.VIDEO_SCALES["FasterVQA"]
 _TEN = "list_transform(list_transform(v[{a}:{b}], lambda x: exp(x)), lambda x: x / list_sum(list_transform(v[{a}:{b}], lambda y: exp(y))))"
 
 
@@ -57,7 +58,7 @@ def rating_heads(spark, sf_dir):
 
 
 @query(f"""WITH {_E}, x AS (SELECT vec_id, v[1:32] AS a, v[33:64] AS b FROM e) SELECT vec_id, round(100 * list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b))), 6) AS clip,
-round(list_dot_product(a, b), 6) AS long_clip, round(exp(-list_avg(a)), 6) AS likelihood, round(1 / (1 + exp(-((a[1] - 0.14759505) / 0.03613452))), 6) AS quality FROM x""")
+round(list_dot_product(a, b), 6) AS long_clip, round(exp(-list_avg(a)), 6) AS likelihood, round(1 / (1 + exp(-((a[1] - {_SCALE[0]}) / {_SCALE[1]}))), 6) AS quality FROM x""")
 def picture_heads(spark, sf_dir):
     v = F.col("embedding").cast("array<double>")
     x = read(spark, sf_dir, "embeddings").select("vec_id", F.slice(v, 1, 32).alias("a"), F.slice(v, 33, 32).alias("b"))
