@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import gc
-import tempfile
 import uuid
 
 import numpy as np
@@ -13,22 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests, a laptop) a local temporary folder takes its place.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
-        root = getattr(spark, "_plumbline_root", None)
-        if root is None:
-            root = "file://" + tempfile.mkdtemp(prefix="plumbline-")
-            spark._plumbline_root = root
-    return root.rstrip("/")
+from plumbline.staging import shared_root
 
 
 class Workspace:
@@ -55,7 +39,12 @@ class Workspace:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def release(self) -> None:
-        """Let executors delete shuffle files of plans that nobody holds any more."""
+        """Let executors delete shuffle files of plans that nobody holds any more.
+
+        Spark deletes them when the driver's garbage collector finds the plans; it has no
+        other call for it.  Left alone, the files of every step stay until a driver with
+        a large heap happens to collect, and disks hold several times the input.
+        """
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 

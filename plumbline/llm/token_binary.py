@@ -8,6 +8,7 @@ document id.  One row is one block of whole documents::
     start              ids of the shard that stand before the block
     bits               width of an id: the least that holds the vocabulary
     n_ids              ids in the block
+    first_doc, last_doc  least and largest document id (nulls aside)
     doc_ids, offsets   the documents, and n + 1 places in the block
     payload            ids of ``bits`` bits, groups of 64 ids as ``bits`` 64-bit words
 
@@ -34,7 +35,7 @@ from plumbline.llm.common import Workspace, table
 #: Ids after which a block ends with its document.
 BLOCK_IDS = 1 << 16
 
-FILE_SCHEMA = "shard int, block int, start long, bits int, n_ids int, doc_ids array<long>, offsets array<int>, payload binary"
+FILE_SCHEMA = "shard int, block int, start long, bits int, n_ids int, first_doc long, last_doc long, doc_ids array<long>, offsets array<int>, payload binary"
 READ_SCHEMA = "doc_id long, shard int, start_in_shard long, n_tokens long, ids binary"
 
 
@@ -78,7 +79,7 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
     bits = width(max(fast_tokenizer.vocabulary_size(spec.value), end_id + 1))
     shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     end = int(end_id).to_bytes(4, "little")
-    schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("bits", pa.int32()), ("n_ids", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int32())), ("payload", pa.binary())])
+    schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("bits", pa.int32()), ("n_ids", pa.int32()), ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int32())), ("payload", pa.binary())])
 
     def blocks(batches):
         from pyspark import TaskContext
@@ -90,7 +91,8 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
         def close():
             nonlocal block, start, held, names, offsets
             ids = np.frombuffer(b"".join(held), "<u4")
-            row = [[shard], [block], [start], [bits], [len(ids)], [names], [offsets], [pack(ids, bits)]]
+            known = [x for x in names if x is not None]
+            row = [[shard], [block], [start], [bits], [len(ids)], [min(known, default=None)], [max(known, default=None)], [names], [offsets], [pack(ids, bits)]]
             block, start = block + 1, start + len(ids)
             held, names, offsets = [], [], [0]
             return pa.record_batch([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
@@ -138,8 +140,13 @@ def shard_starts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_of(spark: SparkSession, path: str, doc_id: int) -> np.ndarray:
-    """Random access: the ids of one document; only the block that holds it is unpacked."""
-    rows = spark.read.schema(FILE_SCHEMA).parquet(path).where(F.array_contains("doc_ids", doc_id)).limit(1).collect()
+    """Random access: the ids of one document; only the block that holds it is unpacked.
+
+    Shards and blocks are in id order, so the range test, which Parquet's statistics
+    answer, leaves one block or two to look into.
+    """
+    near = spark.read.schema(FILE_SCHEMA).parquet(path).where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id))
+    rows = near.where(F.array_contains("doc_ids", doc_id)).limit(1).collect()
     if not rows:
         return np.zeros(0, "<u4")
     k = rows[0]["doc_ids"].index(doc_id)
