@@ -20,7 +20,11 @@ from plumbline.llm.common import Workspace, free_name, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold, by a model fitted on the labelled ones."""
+    """Documents that score below the threshold, by a model fitted on the labelled ones.
+
+    Null and empty texts score like texts without any toxic string and stay; without
+    labels nothing is learned and all stay; rows that repeat a text stand or fall together.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     name = free_name(docs, "toxicity")
     return toxicity.score(docs, model, out=name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
@@ -29,7 +33,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of two or more lines, and of single lines of 50 words or more, are deleted from the texts.
 
-    A document goes when nothing but white space is left of it.
+    A document goes when nothing but white space is left of it.  Null, empty and blank
+    texts stay; rows that repeat id and text keep the same lines; the first copy by id and
+    line stays, null ids first.
     """
     aside = {c: free_name(docs, f"kept_{c}") for c in docs.columns if c in ("n_lines", "runs")}
     out = line_dedup.dedup_lines(docs.withColumnsRenamed(aside), long_words=line_dedup.LONG_WORDS)
@@ -41,7 +47,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document, by id and text hash, of each group linked at a similarity of 0.8 on five words."""
+    """The first document, by id and text hash, of each group linked at a similarity of 0.8 on five words.
+
+    Texts without words link with nothing and stay; null ids come last in a group; rows
+    that repeat both id and text stand or fall together.
+    """
     found = ngram_join.near_documents(docs, n=5, share=80)
     gone = found.where("not is_first").select(F.col("doc_id").alias("id"), "text_hash").distinct()
     rows = docs.alias("l").join(gone.hint("merge").alias("r"), (F.xxhash64("l.text") == F.col("r.text_hash")) & F.col("l.doc_id").eqNullSafe(F.col("r.id")), "left_anti")
@@ -49,13 +59,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than one word in twenty lies in a benchmark passage."""
+    """Documents of which less than one word in twenty lies in a benchmark passage.
+
+    Null and empty texts have no words and stay; an empty benchmark lets all stay.
+    """
     found = decontamination.find(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns, keep_prefix="__kept_")
     return found.where(~decontamination.contaminated()).select(*[F.col(f"__kept_{c}").alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 ids with their sequence and place."""
+    """Pieces of at most 2048 ids with their sequence and place.
+
+    A null or empty text is one piece of the end id; every row is packed, repeated ones
+    too; other columns end here.
+    """
     return packing.pack(docs, payload={"ids": F.col("ids"), "ids_crc32": F.crc32("ids")})
 
 
@@ -73,7 +90,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = ws.stage(stage(spark, docs, sf_dir), name)
+        if before:  # the next stage is written, so nothing reads the one before it again
+            ws.drop(before)
+        before = name
     return docs
