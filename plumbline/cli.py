@@ -4,6 +4,9 @@ The configuration is JSON (YAML where a parser is installed)::
 
     {"data": {"path": "in.jsonl", "key": "id"}, "output": "scores",
      "scorers": {"NgramScorer": {"keys": ["text"], "ngrams": 5}}}
+
+``data`` may name a ``manifest`` (one file a line) instead of a path; ``"resume": true``
+skips rows that the output has scores of.
 """
 
 from __future__ import annotations
@@ -15,19 +18,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from plumbline import record
+from plumbline import record, sinks
 from plumbline.operators.models import SCORERS, list_scorers
 from plumbline.operators.scorers import Scorer, evaluate
-from plumbline.sources.files import read_rows
+from plumbline.sources.files import load_dataset
 
 
 @dataclass
 class Config:
-    path: str
+    path: str | None
     output: str
     scorers: dict[str, dict]
     key: str | None = None
     keys: list[str] = field(default_factory=lambda: ["text"])
+    manifest: str | None = None
+    resume: bool = False
 
     @classmethod
     def load(cls, path: str) -> "Config":
@@ -42,18 +47,23 @@ class Config:
         unknown = [n for n in raw["scorers"] if n not in SCORERS]
         if unknown:
             raise KeyError(f"no scorer named {', '.join(unknown)}")
-        return cls(raw["data"]["path"], raw["output"], raw["scorers"], raw["data"].get("key"), raw["data"].get("keys", ["text"]))
+        data = raw["data"]
+        return cls(data.get("path"), raw["output"], raw["scorers"], data.get("key"), data.get("keys", ["text"]), data.get("manifest"), bool(raw.get("resume", False)))
 
 
 def run(spark: SparkSession, config: Config) -> None:
-    df = read_rows(spark, config.path)
+    df = load_dataset(spark, path=config.path, manifest_path=config.manifest)
     key = config.key or "__row"
     if config.key is None:
         df = df.withColumn(key, F.xxhash64(F.to_json(F.struct("*"))))
+    resumed = config.resume and sinks.is_published(spark, f"{config.output}/items")
+    if resumed:  # rows whose scores are there already are skipped
+        done = spark.read.json(f"{config.output}/items").select(F.col("item").cast("string").alias("__done"))
+        df = df.join(done.distinct(), F.col(key).cast("string") == F.col("__done"), "left_anti")
     scorers = [Scorer(n, o.get("keys", config.keys), {k: v for k, v in o.items() if k != "keys"}) for n, o in config.scorers.items()]
     items, whole = evaluate(df, key, scorers)
     if items is not None:
-        record.write(items, whole, config.output)
+        record.write(items, whole, config.output, add=resumed)
     elif whole is not None:
         whole.write.mode("overwrite").json(f"{config.output}/meta")
 

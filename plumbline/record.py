@@ -22,8 +22,11 @@ def item_json(scores: DataFrame) -> DataFrame:
     return per.groupBy("item").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("scorer", "m")), by_name))).alias("json"))
 
 
-def write(scores: DataFrame, meta: DataFrame | None, path: str) -> None:
-    """``items`` and ``meta`` as JSON lines under ``path``; the committer publishes all or nothing."""
-    item_json(scores).write.mode("overwrite").json(f"{path}/items")
+def write(scores: DataFrame, meta: DataFrame | None, path: str, add: bool = False) -> None:
+    """``items`` and ``meta`` as JSON lines under ``path``; the committer publishes all or nothing.
+
+    ``add`` keeps the items that are there and adds the new ones.
+    """
+    item_json(scores).write.mode("append" if add else "overwrite").json(f"{path}/items")
     if meta is not None:
         meta.write.mode("overwrite").json(f"{path}/meta")

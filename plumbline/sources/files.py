@@ -86,3 +86,41 @@ def read_hub_folder(spark: SparkSession, root: str, split: str = "train", config
         if not files.isEmpty():
             return getattr(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob), read)(top)
     raise FileNotFoundError(f"no {split} files below {top}")
+
+
+def load_dataset(spark: SparkSession, *, path: str | None = None, manifest_path: str | None = None, hub: str | None = None, split: str = "train", config: str | None = None) -> DataFrame:
+    """A downloaded hub dataset, the files of a list, an object store's path, or a local file or folder; without any it raises."""
+    if hub:
+        return read_hub_folder(spark, hub, split, config)
+    if manifest_path:
+        return read_manifest(spark, manifest_path)
+    if not path:
+        raise ValueError("no dataset: give a path, a list of files or a hub folder")
+    path = path.replace("s3://", "s3a://", 1) if path.startswith("s3://") else path
+    return read_rows(spark, path) if path.rsplit("/", 1)[-1].count(".") else read_folder(spark, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the files of a list; files that do not exist are skipped, with none left it raises."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    found = []
+    for name in manifest(spark, path):
+        at = jvm.org.apache.hadoop.fs.Path(name)
+        if at.getFileSystem(conf).exists(at):
+            found.append(name)
+    by: dict[str, list[str]] = {}
+    for name in found:
+        by.setdefault("parquet" if name.endswith(".parquet") else "json", []).append(name)
+    if not found:
+        raise FileNotFoundError(f"none of the files in {path} exists")
+    return union_all([getattr(spark.read, kind)(*names) if kind == "parquet" else spark.read.json(names) for kind, names in by.items()])
+
+
+def read_media(spark: SparkSession, meta: str, root: str, column: str, *, key: str | None = None, caption: str | None = None) -> DataFrame:
+    """``id, path, content`` and ``caption`` of the pictures or videos that a table lists; the id defaults to the path.
+
+    Missing files stay, with null content; a table of another format than CSV, TSV, JSON
+    or Parquet raises.
+    """
+    rows = with_media(read_rows(spark, meta), root, column)
+    return rows.select(F.col(key or column).alias("id"), F.col(column).alias("path"), "content", *([F.col(caption).alias("caption")] if caption else []))

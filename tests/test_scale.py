@@ -248,3 +248,28 @@ def test_percentiles_and_weighted_match(spark):
     layout = spark.createDataFrame([("f", 1, 0, 2), ("f", 2, 2, 0), ("f", 3, 2, 3)], "file string, k int, off long, len long")
     flat = spark.createDataFrame([("f", i, i * 10) for i in range(5)], "file string, i long, value int")
     assert {r.k: r["values"] for r in attributes.read_ragged(layout, flat, "file").collect()} == {1: [0, 10], 2: [], 3: [20, 30, 40]}
+
+
+def test_datasets_by_kind_and_resumed_runs(spark, tmp_path):
+    from plumbline import cli
+
+    (tmp_path / "a.jsonl").write_text('{"id": 1, "text": "a b c d e f"}\n{"id": 2, "text": "g h i j k"}\n')
+    (tmp_path / "b.jsonl").write_text('{"id": 3, "text": "x"}\n')
+    (tmp_path / "list.txt").write_text(f"{tmp_path}/a.jsonl\n{tmp_path}/missing.jsonl\n{tmp_path}/b.jsonl\n")
+    assert files.load_dataset(spark, manifest_path=str(tmp_path / "list.txt")).count() == 3
+    assert files.load_dataset(spark, path=str(tmp_path / "a.jsonl")).count() == 2
+    with pytest.raises(ValueError):
+        files.load_dataset(spark)
+    (tmp_path / "none.txt").write_text("nowhere.jsonl\n")
+    with pytest.raises(FileNotFoundError):
+        files.read_manifest(spark, str(tmp_path / "none.txt"))
+    cfg = {"data": {"path": str(tmp_path / "a.jsonl"), "key": "id"}, "output": str(tmp_path / "out"), "resume": True, "scorers": {"NgramScorer": {"ngrams": 1}}}
+    for data in ({"path": str(tmp_path / "a.jsonl"), "key": "id"}, {"manifest": str(tmp_path / "list.txt"), "key": "id"}, {"manifest": str(tmp_path / "list.txt"), "key": "id"}):
+        (tmp_path / "c.json").write_text(json.dumps(cfg | {"data": data}))
+        cli.run(spark, cli.Config.load(str(tmp_path / "c.json")))
+    assert sorted(r.item for r in spark.read.json(str(tmp_path / "out/items")).collect()) == [1, 2, 3]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "1.jpg").write_bytes(b"x")
+    (tmp_path / "meta.csv").write_text("name,text\n1.jpg,hello\n2.jpg,gone\n")
+    got = {r.id: (r.content, r.caption) for r in files.read_media(spark, str(tmp_path / "meta.csv"), str(tmp_path / "m"), "name", caption="text").collect()}
+    assert bytes(got["1.jpg"][0]) == b"x" and got["2.jpg"] == (None, "gone")
