@@ -123,8 +123,8 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return int(max(-(-volume[-1] // capacity), (big + mid + np.maximum(0, -(-(small - free) // capacity))).max(initial=0)))
 
 
-#: Parts of fillings that count as one node of the search.
-PATIENCE = 100
+#: Parts of fillings that count as one node of the search, and levels that keep what they enumerate at hand.
+PATIENCE, LEVELS = 100, 32
 
 
 def bin_completion(counts, capacity: int, *, nodes: int | None = 4000) -> list[tuple[tuple[int, ...], int]]:
@@ -173,9 +173,20 @@ def bin_completion(counts, capacity: int, *, nodes: int | None = 4000) -> list[t
                 silent = False
                 yield from often(pattern, True)
 
-    stack = [options()] if total else []
+    # levels of the descent: their options, and how many were taken; those far up are made anew when the search returns
+    stack: list[list] = [[options(), 0]] if total else []
+
+    def advance():
+        level = stack[-1]
+        if level[0] is None:
+            level[0] = options()
+            for _ in range(level[1]):
+                next(level[0], None)
+        level[1] += 1
+        return next(level[0], False)
+
     while stack and not (best_bins is not None and (best_bins <= target or (nodes is not None and visited >= nodes))):
-        chosen = next(stack[-1], False)
+        chosen = advance()
         if chosen is False:
             stack.pop()
             if path:
@@ -193,7 +204,9 @@ def bin_completion(counts, capacity: int, *, nodes: int | None = 4000) -> list[t
         hopeless = best_bins is not None and (waste > (best_bins - 1) * capacity - total or bins + lower_bound(left, capacity) >= best_bins)
         if not hopeless and not left.any():
             best, best_bins = [(p, n) for p, n, _ in path], bins
-        stack.append(iter(()) if hopeless or not left.any() else options())
+        stack.append([iter(()) if hopeless or not left.any() else options(), 0])
+        if len(stack) > LEVELS:
+            stack[-1 - LEVELS][0] = None
     return best
 
 

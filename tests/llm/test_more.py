@@ -133,7 +133,8 @@ def exhaustive(sizes, capacity):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_bin_completion_equals_exhaustive_search(seed):
+def test_bin_completion_equals_exhaustive_search(seed, monkeypatch):
+    monkeypatch.setattr(packing, "LEVELS", 1 + 31 * (seed % 2))  # levels made anew on the way back
     rng = random.Random(seed)
     for _ in range(150):
         capacity = rng.choice([7, 20, 50])
