@@ -6,8 +6,8 @@ documents that it keeps, with the columns of ``docs``; the last returns packed p
 
 Defined results at the edges: null and empty texts pass every filter and are packed as a
 lone end id; a document that loses all its lines to earlier copies goes; rows that share
-an id stand or fall together in the near-duplicate stage; an empty table stays empty;
-extra columns are carried to the last stage.
+both id and text stand or fall together in the near-duplicate stage; an empty table stays
+empty; extra columns, whatever their names, are carried to the last stage.
 """
 
 from __future__ import annotations
