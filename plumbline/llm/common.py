@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 from plumbline.staging import shared_root
 
 
+#: Bounds of an Arrow batch while a table is written.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
 class Workspace:
     """Intermediate tables of one operator run, as Parquet in the shared folder.
 
@@ -29,9 +34,23 @@ class Workspace:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        with self._small_batches():
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @contextmanager
+    def _small_batches(self):
+        """Rows of whole texts or sets go to Python in small batches: a batch is held twice, by the JVM and by the worker."""
+        conf, before = self.spark.conf, {}
+        for key, value in BATCHES.items():
+            before[key] = conf.get(key, None)
+            conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                conf.unset(key) if value is None else conf.set(key, value)
+
     def drop(self, name: str = "") -> None:
         """Delete a table that no later step reads (all of them without a name)."""
         jvm = self.spark.sparkContext._jvm
