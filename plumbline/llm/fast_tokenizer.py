@@ -15,7 +15,7 @@ import numpy as np
 import regex
 
 #: Chunks that a worker keeps; the store starts anew when full, so memory is bounded.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 
 #: Composed characters for which lower-casing one by one equals lower-casing the word.
 _PLAIN = regex.compile(r"[\x21-\x7e¡-¬®-įı-ɏ‐-‧‰-⁞₠-₿]*")
