@@ -37,8 +37,10 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "pos", partit
     return dealt.join(F.broadcast(starts), PART).withColumn(name, F.col("__base") + F.col(AT)).drop(AT, PART, "__base")
 
 
-def with_running(df: DataFrame, group: str | list[str], order: list[str], *, pos: str | None = None, sums: dict[str, Column] | None = None, partitions: int | None = None) -> DataFrame:
-    """Adds, within each group, the position of a row and sums over the rows before it.
+def with_running(
+    df: DataFrame, group: str | list[str], order: list[str], *, pos: str | None = None, sums: dict[str, Column] | None = None, size: str | None = None, partitions: int | None = None
+) -> DataFrame:
+    """Adds, within each group, the position of a row, sums over the rows before it, and with ``size`` the group's number of rows.
 
     A group that holds a third of all rows spans many parts: each part numbers and sums
     its own rows, and what the group's earlier parts add comes from a row a part and group.
@@ -50,12 +52,13 @@ def with_running(df: DataFrame, group: str | list[str], order: list[str], *, pos
     dealt = _dealt(df.withColumns(raw), [*keys, *order], partitions)
     before = Window.partitionBy(PART, *keys).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
     local = dealt.withColumns({f"__s{i}": F.coalesce(F.sum(v).over(before), F.lit(0)) for i, v in enumerate(raw)})
-    totals = dealt.groupBy(PART, *keys).agg(*[F.sum(v).alias(f"__t{i}") for i, v in enumerate(raw)])
+    totals = dealt.groupBy(PART, *keys).agg(F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__t{i}") for i, v in enumerate(raw)])
     earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select(F.col(PART).alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.coalesce(F.sum(f"__t{i}").over(earlier), F.lit(0)).alias(f"__b{i}") for i in range(len(raw))])
+    base = totals.select(F.col(PART).alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.sum("__n").over(Window.partitionBy(*keys)).alias("__size"), *[F.coalesce(F.sum(f"__t{i}").over(earlier), F.lit(0)).alias(f"__b{i}") for i in range(len(raw))])
     same = F.col(PART) == F.col("__p")
     for i, k in enumerate(keys):
         same &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
     out = local.join(base, same)
     new = [(F.col(f"__s{i}") + F.col(f"__b{i}")).alias(name) for i, name in enumerate(values)]
-    return out.select(*[c for c in df.columns if c not in values], *new)
+    return out.select(*[c for c in df.columns if c not in values], *new, *([F.col("__size").alias(size)] if size else []))
