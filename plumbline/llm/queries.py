@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import decontamination, embedding_dedup, language_id, line_dedup, merkle, ngram_join, packing, secret_scan, token_binary, toxicity, window_dedup
+from plumbline.llm import conversation_repair, decontamination, embedding_dedup, language_id, line_dedup, merkle, ngram_join, packing, secret_scan, token_binary, toxicity, window_dedup
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         embedding_dedup.op8_embedding_dedup,
         decontamination.op9_benchmark_decontamination,
         window_dedup.op10_window_dedup,
+        conversation_repair.op12_conversation_repair,
         merkle.op13_merkle_manifest,
     )
     return {f.__name__: f for f in found}
