@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import conversation_repair, decontamination, embedding_dedup, language_id, line_dedup, merkle, ngram_join, packing, secret_scan, token_binary, toxicity, window_dedup
+from plumbline.llm import conversation_repair, decontamination, embedding_dedup, language_id, line_dedup, merkle, ngram_join, packing, pii, secret_scan, token_binary, toxicity, window_dedup
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         embedding_dedup.op8_embedding_dedup,
         decontamination.op9_benchmark_decontamination,
         window_dedup.op10_window_dedup,
+        pii.op11_pii_bootstrap,
         conversation_repair.op12_conversation_repair,
         merkle.op13_merkle_manifest,
     )
@@ -30,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_ngram_jaccard": ngram_join.ORACLE_SQL,
         "op8_embedding_dedup": embedding_dedup.ORACLE_SQL,
         "op9_benchmark_decontamination": decontamination.ORACLE_SQL,
+        "op11_pii_bootstrap": pii.ORACLE_SQL,
         "op13_merkle_manifest": merkle.ORACLE_SQL,
     }
