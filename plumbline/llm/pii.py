@@ -161,7 +161,9 @@ def occurrences(found: DataFrame, ws: Workspace) -> DataFrame:
     base = F.col("family").isin(*KINDS)
     in_order = Window.partitionBy("row").orderBy("start", "end", "family")
     earlier = F.max(F.when(base, F.col("end"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    later = F.min(F.when(base, F.col("start"))).over(in_order.rowsBetween(1, Window.unboundedFollowing))
+    # the same frame in reverse, as one that grows to the left is computed anew for every row
+    reverse = Window.partitionBy("row").orderBy(F.col("start").desc(), F.col("end").desc(), F.col("family").desc())
+    later = F.min(F.when(base, F.col("start"))).over(reverse.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumns({"__e": earlier, "__l": later})
     clear = base | (F.coalesce(F.col("__e") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("__l") >= F.col("end"), F.lit(True)))
     kind = F.when(base, F.col("family"))
