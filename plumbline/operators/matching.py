@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import vector as v
-from plumbline.plans.indexing import with_position, with_running
+from plumbline.plans.indexing import AT, PART, dealt_by_ranges, with_position, with_running
 
 
 def greedy_match(pairs: DataFrame, key: str, hyp: str = "hyp", ref: str = "ref", hyp_weight: str | None = None, ref_weight: str | None = None) -> DataFrame:
@@ -84,6 +85,87 @@ def kendall(df: DataFrame, group: str, key: str, a: str, b: str) -> DataFrame:
     return pairs.groupBy(group).agg(F.try_divide(F.sum(x * y), F.sqrt(F.sum(F.abs(x)) * F.sum(F.abs(y)))).alias("kendall"))
 
 
+def _inversions(values: np.ndarray, weights: np.ndarray) -> float:
+    """Sum of the products of weights of places i < j with values[i] > values[j]; the values are 0 to n - 1.
+
+    Two values differ first in one bit: level by level, every one counts the zeros that
+    follow it among those with the same higher bits.
+    """
+    total = 0.0
+    for bit in range(int(len(values)).bit_length() - 1, -1, -1):
+        prefix = values >> (bit + 1)
+        at = np.argsort(prefix, kind="stable")
+        one, w, group = (values[at] >> bit & 1).astype(bool), weights[at].astype(np.float64), prefix[at]
+        before = np.concatenate([[0.0], np.cumsum(np.where(one, w, 0.0))])
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        base = np.repeat(before[starts], np.diff(np.concatenate([starts, [len(group)]])))
+        total += float((w * (before[:-1] - base))[~one].sum())
+    return total
+
+
+def _inverted_within(keys: list[str], order: list[str], value: list[str]):
+    """Weighted inversions of each group of a table: rows in an order, and the order of their values."""
+
+    def count(t):
+        import pyarrow as pa
+
+        cols = [t.column(c).to_numpy() for c in [*order, *value]]
+        first = np.lexsort(cols[: len(order)][::-1])
+        ranks = np.empty(len(first), np.int64)
+        ranks[np.lexsort(cols[len(order) :][::-1])] = np.arange(len(first))
+        found = _inversions(ranks[first], t.column("n").to_numpy()[first])
+        return pa.table({"group": t.column(keys[0]).slice(0, 1), "d": pa.array([found], pa.float64())})
+
+    return count
+
+
+def _inverted_across(t):
+    """From the number of rows by part and block: pairs of an earlier part and a later block."""
+    import pyarrow as pa
+
+    part, block = (np.unique(t.column(c).to_numpy(), return_inverse=True)[1] for c in ("part", "block"))
+    grid = np.zeros((part.max() + 1, block.max() + 1))
+    np.add.at(grid, (part, block), t.column("n").to_numpy().astype(np.float64))
+    later = np.zeros_like(grid)
+    later[:, :-1] = grid[:, ::-1].cumsum(1)[:, ::-1][:, 1:]  # in later blocks of the same part
+    earlier = np.zeros_like(grid)
+    earlier[1:] = later.cumsum(0)[:-1]
+    return pa.table({"group": t.column("__g").slice(0, 1), "d": pa.array([float((grid * earlier).sum())], pa.float64())})
+
+
+def kendall_large(df: DataFrame, group: str, a: str, b: str, partitions: int | None = None) -> DataFrame:
+    """tau-b of each group, of any size: ties from counts, discordant pairs as inversions, no pairs of rows.
+
+    Different pairs of values, with their number, are dealt by ranges of (a, b) into parts and
+    by ranges of (b, a) into blocks.  A pair of rows is discordant if the two orders differ on it: it
+    lies in one part (counted there), in one block and two parts (counted in the block), or in two of both
+    (counted from the numbers of rows by part and block, a row each).  Null values are left out; null
+    groups are one group; a group whose values are all tied has no coefficient.
+    """
+    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(group).alias("__g"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+    # -0.0 and 0.0 are one value
+    rows = rows.select("__g", *[(F.col(c) + F.lit(0.0)).alias(c) for c in ("a", "b")]).groupBy("__g", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    parts = dealt_by_ranges(rows, ["__g", "a", "b"], partitions).withColumnRenamed(PART, "part").withColumnRenamed(AT, "i")
+    blocks = dealt_by_ranges(parts, ["__g", "b", "a"], partitions).withColumnRenamed(PART, "block").withColumnRenamed(AT, "k")
+    kind = df.schema[group].dataType.simpleString()
+    schema = f"group {kind}, d double"
+    inside = blocks.groupBy("__g", "part").applyInArrow(_inverted_within(["__g"], ["i"], ["block", "k"]), schema)
+    between = blocks.groupBy("__g", "block").applyInArrow(_inverted_within(["__g"], ["part", "k"], ["k"]), schema)
+    numbers = blocks.groupBy("__g", "part", "block").agg(F.sum("n").alias("n"))
+    across = numbers.groupBy("__g").applyInArrow(_inverted_across, schema)
+    discordant = inside.unionByName(between).unionByName(across).groupBy(F.col("group").alias("__h")).agg(F.sum("d").alias("d"))
+    pairs = lambda c: F.col(c).cast("double") * (F.col(c) - 1) / 2
+    tied = lambda c: rows_of.groupBy("__g", c).agg(F.sum("n").alias("t")).groupBy(F.col("__g").alias("__h")).agg(F.sum(pairs("t")).alias(f"t_{c}"))
+    rows_of = blocks.select("__g", "a", "b", "n")
+    totals = rows_of.groupBy("__g").agg(F.sum("n").alias("t"), F.sum(pairs("n")).alias("both"))
+    out = totals
+    for side in (tied("a"), tied("b"), discordant):
+        out = out.join(side, F.col("__g").eqNullSafe(F.col("__h"))).drop("__h")
+    untied_a, untied_b = pairs("t") - F.col("t_a"), pairs("t") - F.col("t_b")
+    agreeing = pairs("t") - F.col("t_a") - F.col("t_b") + F.col("both") - 2 * F.col("d")
+    return out.select(F.col("__g").alias(group), F.try_divide(agreeing, F.sqrt(untied_a) * F.sqrt(untied_b)).alias("kendall"))
+
+
 def rescale(df: DataFrame, score: str) -> DataFrame:
     """z-score with the population deviation, and rank over count; moments and ranks come from joins, not from one task."""
     stats = df.agg(F.avg(score).alias("__m"), F.stddev_pop(score).alias("__s"), F.count(F.lit(1)).alias("__n"))

@@ -132,6 +132,49 @@ def score_with(df: DataFrame, name: str, backend: Callable[[], Callable[[dict[st
     return df.drop(*metrics).mapInArrow(run, schema)
 
 
+def length_batches(lengths: list[int], budget: int) -> list[tuple[int, int]]:
+    """Runs of rows, longest first, that stay within ``budget`` tokens when padded to their longest; one row at least."""
+    out, start = [], 0
+    for i in range(1, len(lengths) + 1):
+        if i == len(lengths) or (i + 1 - start) * max(lengths[start], 1) > budget:
+            out.append((start, i))
+            start = i
+    return out
+
+
+def score_by_length(df: DataFrame, name: str, backend, inputs: list[str], length: str, budget: int, type_: str = "double", options: dict | None = None) -> DataFrame:
+    """``score_with`` in batches of similar length: rows are sorted inside partitions, longest first, and called in runs of ``budget`` padded tokens.
+
+    A null length counts as nothing.  Scores stay with their rows.
+    """
+    if backend is None:
+        raise BackendMissing(f"{name} needs a backend")
+
+    def load():
+        call = backend()
+
+        def batched(columns: dict[str, list]):
+            lengths = [n or 0 for n in columns[length]]
+            parts = [call({c: columns[c][a:b] for c in inputs}) for a, b in length_batches(lengths, budget)]
+            names = metrics_of(name, options)
+            fill = lambda p, m, a, b: (p if not isinstance(p, dict) and m == names[0] else p.get(m) if isinstance(p, dict) else None) or [None] * (b - a)
+            return {m: [x for p, (a, b) in zip(parts, length_batches(lengths, budget), strict=True) for x in fill(p, m, a, b)] for m in names}
+
+        return batched
+
+    return score_with(df.sortWithinPartitions(F.col(length).desc_nulls_last()), name, load, list(dict.fromkeys([*inputs, length])), type_, options)
+
+
+def padding(df: DataFrame, length: str, order: list[str], size: int, by_length: bool) -> DataFrame:
+    """Tokens, and tokens padded to the longest of their batch, of batches of ``size`` rows in an order, or by length first."""
+    from plumbline.plans.indexing import with_position
+
+    keys = [length, *order] if by_length else order
+    placed = with_position(df.select(*dict.fromkeys(keys), F.col(length).alias("__l")), *keys, name="__pos")
+    each = placed.groupBy(F.floor(F.col("__pos") / size).alias("batch")).agg(F.sum("__l").alias("tokens"), (F.max("__l") * F.count(F.lit(1))).alias("padded"))
+    return each.agg(F.count(F.lit(1)).alias("batches"), F.sum("tokens").alias("tokens"), F.sum("padded").alias("padded"))
+
+
 def output_columns(df: DataFrame, model: str, fields: list[str], info: list[str] = ("track_id", "id", "language"), prefix: str | None = None, postfix: str | None = None) -> DataFrame:
     """Fields of a batch model under ``<prefix or model>_<field>[_postfix]``, with the row's own names kept."""
     tail = f"_{postfix}" if postfix else ""

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import numbers, text
-from plumbline.operators import lexical, models, vectors
+from plumbline.operators import lexical, models, spectra, vectors
 from plumbline.record import long_scores
+from plumbline.staging import staged
 
 
 @dataclass
@@ -80,12 +81,20 @@ def _meta(df: DataFrame, scorer: str, values: dict[str, float]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "scorer string, metric string, score double")
 
 
+#: Texts up to which the eigenvalues of all similarities are computed.
+EXACT_TEXTS = 1000
+
+
 def _vendi(df: DataFrame, column: str, options: dict) -> DataFrame:
     """By the column's type: n-grams of texts, or embeddings."""
     if df.schema[column].dataType.typeName() == "string":
-        keyed = df.select(F.monotonically_increasing_id().alias("__row"), column)
+        keyed = staged(df.select(F.monotonically_increasing_id().alias("__row"), column), "vendi")
         tokens = text.words(F.col(column))
-        return _meta(df, "VendiScorer", {"N-grams_VendiScore": round(vectors.vendi_ngrams(keyed, "__row", tokens), 2)})
+        # exact eigenvalues of a small set; a large one takes the quadrature, with its error
+        if keyed.limit(EXACT_TEXTS + 1).count() <= EXACT_TEXTS:
+            return _meta(df, "VendiScorer", {"N-grams_VendiScore": round(vectors.vendi_ngrams(keyed, "__row", tokens), 2)})
+        value, error = spectra.vendi_of_texts(keyed, tokens, "__row")
+        return _meta(df, "VendiScorer", {"N-grams_VendiScore": round(value, 2), "N-grams_VendiScoreError": round(error, 4)})
     name = options.get("metric", "BERT_VendiScore")
     return _meta(df, "VendiScorer", {name: round(vectors.vendi(df.select(F.col(column).alias("embedding"))), 2)})
 

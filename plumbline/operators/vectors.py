@@ -12,15 +12,21 @@ from plumbline.functions import vector as v
 CENTROID_BYTES = 64 << 20
 
 
+def whole(rows: DataFrame, column: str = "embedding") -> DataFrame:
+    """Rows whose vector is there and has no null component; the measures of sets leave out all others."""
+    return rows.where(F.col(column).isNotNull() & ~F.exists(column, lambda x: x.isNull()))
+
+
 def nearest_centroid(rows: DataFrame, centroids: DataFrame, metric: str = "l2_norm", block_bytes: int = CENTROID_BYTES) -> DataFrame:
     """Closest centroid of each row; ties go to the lower centroid id.
 
     Features are normalised.  ``l2_norm`` takes the least distance, ``dot_product`` and
     ``cosine`` the largest product (``cosine`` normalises the centroids).  A batch of rows
     meets a block of centroids in one matrix product.  Centroids beyond ``block_bytes``
-    take one pass for each block by hash of their id, and rows carry the best so far.
+    take one pass for each block by hash of their id, and rows carry the best so far.  A row
+    without a vector, or with a null component, stays with a null centroid.
     """
-    c = centroids.select(F.col("cid").cast("long").alias("cid"), (v.normalise(F.col("c_embs")) if metric == "cosine" else F.col("c_embs").cast("array<double>")).alias("c"))
+    c = whole(centroids, "c_embs").select(F.col("cid").cast("long").alias("cid"), (v.normalise(F.col("c_embs")) if metric == "cosine" else F.col("c_embs").cast("array<double>")).alias("c"))
     size = c.agg(F.coalesce(F.sum(F.size("c") * 8), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // block_bytes))
     best = rows.select("vec_id", v.normalise(F.col("embedding")).alias("x"), F.lit(None).cast("double").alias("key"), F.lit(None).cast("long").alias("cid"))
@@ -37,7 +43,9 @@ def nearest_centroid(rows: DataFrame, centroids: DataFrame, metric: str = "l2_no
 
             ids, known = shipped.value
             for batch in batches:
-                x = np.array(batch.column("x").to_pylist(), np.float64).reshape(-1, known.shape[1])
+                given = batch.column("x").to_pylist()
+                there = np.array([x is not None and None not in x for x in given], bool)
+                x = np.array([g if ok else [0.0] * known.shape[1] for g, ok in zip(given, there, strict=True)], np.float64).reshape(-1, known.shape[1])
                 score = x @ known.T
                 if metric == "l2_norm":
                     score = np.sqrt(np.maximum(0.0, (x * x).sum(1)[:, None] - 2 * score + (known * known).sum(1)[None, :]))
@@ -47,7 +55,8 @@ def nearest_centroid(rows: DataFrame, centroids: DataFrame, metric: str = "l2_no
                 old = batch.column("key").to_numpy(zero_copy_only=False).astype(np.float64)
                 other = batch.column("cid").fill_null(0).to_numpy(zero_copy_only=False)
                 stays = ~np.isnan(old) & ((old < new) | ((old == new) & (other < cid)))
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), pa.array(np.where(stays, old, new)), pa.array(np.where(stays, other, cid))], names=["vec_id", "x", "key", "cid"])
+                best_key, best_cid = pa.array(np.where(stays, old, new), mask=~there), pa.array(np.where(stays, other, cid), mask=~there)
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), best_key, best_cid], names=["vec_id", "x", "key", "cid"])
 
         best = best.mapInArrow(one_pass, best.schema)
     return best.select("vec_id", "cid", F.round(sign * F.col("key"), 6).alias("score"))
@@ -82,7 +91,7 @@ def class_distance_statistics(rows: DataFrame, group: str) -> DataFrame:
     Equal vectors are at distance zero, which does not count, so each class of them
     enters with its multiplicity taken off again.
     """
-    unit = rows.where(F.col("embedding").isNotNull()).select(group, v.normalise(F.col("embedding")).alias("u"), F.xxhash64("embedding").alias("h"))
+    unit = whole(rows).select(group, v.normalise(F.col("embedding")).alias("u"), F.xxhash64("embedding").alias("h"))
     twins = unit.groupBy(group, "h").agg(F.count(F.lit(1)).alias("c")).groupBy(group).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("twins"))
     schema = unit.select(F.col(group), F.lit(0).cast("long").alias("n"), F.array(F.lit(0.0)).alias("s")).schema
 
@@ -155,8 +164,37 @@ def mean_vector(rows: DataFrame, group: str | None = None) -> DataFrame:
     return rows.select(*keys, F.posexplode("embedding").alias("i", "x")).groupBy(*keys, "i").agg(F.avg(F.col("x").cast("double")).alias("mu"))
 
 
+#: Side of the squares in which sums of outer products travel.
+SQUARE = 256
+
+
+def _added(batches):
+    """Sums the arrays of each key of a partition; a key is one square or one sketch, so a task holds few of them."""
+    import pyarrow as pa
+
+    sums: dict[tuple, np.ndarray] = {}
+    for b in batches:
+        for i, j, x in zip(b.column("i").to_pylist(), b.column("j").to_pylist(), b.column("x"), strict=True):
+            new = np.frombuffer(x.as_buffer(), np.float64)
+            sums[i, j] = sums[i, j] + new if (i, j) in sums else new.copy()
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.int32()), pa.array([k[1] for k in sums], pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["i", "j", "x"])
+
+
+_KEYED = "i int, j int, x binary"
+
+
+def _add_up(parts: DataFrame) -> dict[tuple[int, int], np.ndarray]:
+    """Arrays ``(i, j, x)`` of all tasks summed by key in parallel; a row a key reaches the driver."""
+    return {(r["i"], r["j"]): np.frombuffer(r["x"], np.float64) for r in parts.repartition("i", "j").mapInArrow(_added, _KEYED).toLocalIterator()}
+
+
 def second_moments(rows: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
-    """Rows, sum and sum of outer products; partitions add up locally, d*d numbers reach the driver."""
+    """Rows, sum and sum of outer products.
+
+    Partitions add up locally and send the upper squares of their sum, which are added by
+    place in parallel: no task holds more than its own d*d numbers, and d*d reach the driver.
+    """
     import pyarrow as pa
 
     def local(batches):
@@ -168,15 +206,24 @@ def second_moments(rows: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
                 g = x.T @ x if g is None else g + x.T @ x
                 n += len(x)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([s.tolist()]), pa.array([g.ravel().tolist()])], names=["n", "s", "g"])
-
-    parts = rows.select(F.col("embedding").cast("array<double>")).mapInArrow(local, "n long, s array<double>, g array<double>")
-    flat = parts.select("n", F.posexplode(F.concat("s", "g")).alias("i", "x"))
-    totals = flat.groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
-    n = int(parts.agg(F.sum("n")).first()[0] or 0)
-    d = int((np.sqrt(1 + 4 * len(totals)) - 1) / 2 + 0.5)
-    values = np.array([r["x"] for r in totals])
-    return n, values[:d], values[d:].reshape(d, d)
+            d = len(s)
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int32()), pa.array([np.concatenate([[float(n)], s]).tobytes()], pa.binary())], names=["i", "j", "x"])
+            for i in range(0, d, SQUARE):
+                for j in range(i, d, SQUARE):
+                    square = np.ascontiguousarray(g[i : i + SQUARE, j : j + SQUARE]).tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([j], pa.int32()), pa.array([square], pa.binary())], names=["i", "j", "x"])
+
+    sums = _add_up(whole(rows).select(F.col("embedding").cast("array<double>")).mapInArrow(local, _KEYED))
+    if not sums:
+        return 0, np.zeros(0), np.zeros((0, 0))
+    head = sums.pop((-1, 0))
+    d = len(head) - 1
+    g = np.zeros((d, d))
+    for (i, j), x in sums.items():
+        square = x.reshape(min(SQUARE, d - i), min(SQUARE, d - j))
+        g[i : i + SQUARE, j : j + SQUARE] = square
+        g[j : j + SQUARE, i : i + SQUARE] = square.T
+    return int(head[0]), head[1:], g
 
 
 def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +267,7 @@ def _power_sums(rows: DataFrame) -> tuple[int, float, list[np.ndarray]]:
             if len(x):
                 d = x.shape[1]
                 if d > MOST_CUBIC:
-                    raise ValueError(f"{d} components: take kernel_distance_subsets")
+                    raise ValueError(f"{d} components: take kernel_distance_sketch or kernel_distance_subsets")
                 new = [x.sum(0), x.T @ x, np.einsum("ni,nj,nk->ijk", x, x, x, optimize=True)]
                 sums = new if sums is None else [a + c for a, c in zip(sums, new)]
                 n, own = n + len(x), own + float(((np.einsum("ni,ni->n", x, x) / d + 1) ** 3).sum())
@@ -228,7 +275,7 @@ def _power_sums(rows: DataFrame) -> tuple[int, float, list[np.ndarray]]:
             flat = np.concatenate([s.ravel() for s in sums])
             yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([own]), pa.array([flat.tolist()])], names=["n", "own", "s"])
 
-    parts = rows.select(F.col("embedding").cast("array<double>")).mapInArrow(local, "n long, own double, s array<double>")
+    parts = whole(rows).select(F.col("embedding").cast("array<double>")).mapInArrow(local, "n long, own double, s array<double>")
     n, own, flat = 0, 0.0, None
     for r in parts.toLocalIterator():  # a row a partition, of the components cubed
         s = np.array(r["s"])
@@ -255,6 +302,63 @@ def kernel_distance(a: DataFrame, b: DataFrame) -> float:
     return (total(p, p, m * m) - own_a) / (m * (m - 1)) + (total(q, q, n * n) - own_b) / (n * (n - 1)) - 2 * total(p, q, m * n) / (m * n)
 
 
+def _tensor_sketch(x: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Spectrum of the sketched third tensor power of each row, summed over the rows.
+
+    Three count sketches with hashes of their own; the product of their spectra is the
+    spectrum of the sketch of the tensor product.
+    """
+    rng = np.random.default_rng(seed)
+    out = None
+    for _ in range(3):
+        place, sign = rng.integers(0, width, x.shape[1]), rng.choice([-1.0, 1.0], x.shape[1])
+        counts = np.zeros((width, len(x)))
+        np.add.at(counts, place, (x * sign).T)
+        f = np.fft.rfft(counts, axis=0)
+        out = f if out is None else out * f
+    return out.sum(1)
+
+
+def _sketch_sums(rows: DataFrame, width: int, repeats: int, seed: int) -> tuple[int, float, list[np.ndarray]]:
+    """Rows, sum of the kernel of each row with itself, and the sketches of the summed features."""
+    import pyarrow as pa
+
+    def local(batches):
+        n, own, sums = 0, 0.0, None
+        for b in batches:
+            for part in range(0, b.num_rows, 256):
+                x = np.array(b.column(0).slice(part, 256).to_pylist(), np.float64)
+                y = np.concatenate([x / np.sqrt(x.shape[1]), np.ones((len(x), 1))], 1)
+                new = [_tensor_sketch(y, width, seed * 1000 + r) for r in range(repeats)]
+                sums = new if sums is None else [a + c for a, c in zip(sums, new, strict=True)]
+                n, own = n + len(x), own + float((np.einsum("ni,ni->n", y, y) ** 3).sum())
+        if n:
+            keys = [-1, *range(repeats)]
+            values = [np.array([float(n), own]), *[s.view(np.float64) for s in sums]]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([0] * len(keys), pa.int32()), pa.array([x.tobytes() for x in values], pa.binary())], names=["i", "j", "x"])
+
+    sums = _add_up(whole(rows).select(F.col("embedding").cast("array<double>")).mapInArrow(local, _KEYED))
+    if not sums:
+        return 0, 0.0, []
+    n, own = sums[-1, 0]
+    return int(n), float(own), [np.fft.irfft(np.ascontiguousarray(sums[r, 0]).view(np.complex128), width) for r in range(repeats)]
+
+
+def kernel_distance_sketch(a: DataFrame, b: DataFrame, width: int = 8192, repeats: int = 8, seed: int = 0) -> tuple[float, float]:
+    """Squared mean discrepancy of whole sets with the kernel (x.y/d + 1)^3, for any number of components: estimate and its standard error.
+
+    The kernel is the product of third tensor powers of (x/sqrt(d), 1), which a tensor
+    sketch of ``width`` numbers keeps in expectation; sketches are linear, so one pass sums them.  What
+    a row has with itself is summed exactly and taken off.  ``repeats`` independent sketches
+    give the error, which shrinks with the root of ``width * repeats`` and does not grow with rows.
+    """
+    (m, own_a, p), (n, own_b, q) = _sketch_sums(a, width, repeats, seed), _sketch_sums(b, width, repeats, seed)
+    if m < 2 or n < 2:
+        raise ValueError("two vectors a set at least")
+    found = [(x @ x - own_a) / (m * (m - 1)) + (y @ y - own_b) / (n * (n - 1)) - 2 * (x @ y) / (m * n) for x, y in zip(p, q, strict=True)]
+    return float(np.mean(found)), float(np.std(found, ddof=1) / np.sqrt(repeats)) if repeats > 1 else float("nan")
+
+
 def kernel_distance_subsets(a: DataFrame, b: DataFrame, subsets: int = 100, size: int = 1000, seed: int = 0) -> DataFrame:
     """Mean and deviation of the discrepancy over subsets drawn with replacement; a subset is one small task."""
     left = draw_samples(a.select("vec_id", "embedding"), "vec_id", subsets, size, seed, replace=True).withColumn("side", F.lit(0))

@@ -518,27 +518,29 @@ def head_tail_truncate(spark, sf_dir):
 
 @query("SELECT event_id, user_id, round(value, 6) AS value FROM events")
 def stream_scores(spark, sf_dir):
-    """The table's files as a stream, scored and drained; replays of an event are dropped."""
+    """The table's files as a stream, in any order, scored and drained; replays of an event are dropped."""
     from plumbline.streaming import scores
 
     e = read(spark, sf_dir, "events")
-    plan = lambda rows: scores.score_stream(scores.drop_replays(rows, "event_id", "ts"), {"value": r6("value")}).select("event_id", "user_id", "value")
+    late = scores.covering_delay(e, "ts")
+    plan = lambda rows: scores.score_stream(scores.drop_replays(rows, "event_id", "ts", late), {"value": r6("value")}).select("event_id", "user_id", "value")
     return scores.drain(spark, f"{sf_dir.rstrip('/')}/events.parquet", e.schema, plan, "scores")
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS num, round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max FROM events GROUP BY 1, 2")
 def window_statistics(spark, sf_dir):
-    """Statistics by hour and kind, from a stream of the table's files, drained."""
+    """Statistics by hour and kind, from a stream of the table's files; each batch says what it changed."""
     from plumbline.streaming import scores
 
     e = read(spark, sf_dir, "events")
-    plan = lambda rows: scores.windowed(rows, "ts", "value", ["event_type"])
-    out = scores.drain(spark, f"{sf_dir.rstrip('/')}/events.parquet", e.schema, plan, "windows", mode="complete")
+    late = scores.covering_delay(e, "ts")
+    plan = lambda rows: scores.windowed(rows, "ts", "value", ["event_type"], late=late)
+    out = scores.drain(spark, f"{sf_dir.rstrip('/')}/events.parquet", e.schema, plan, "windows", mode="update", keys=["window_start", "event_type"])
     return out.withColumn("window_start", F.col("window_start").cast(e.schema["ts"].dataType)).withColumn("mean", r6("mean"))
 
 
 def queries() -> dict:
-    from plumbline.plans import extras  # noqa: F401  registers the rest
+    from plumbline.plans import extras, measures  # noqa: F401  registers the rest
 
     return dict(_QUERIES)
 

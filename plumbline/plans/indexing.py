@@ -10,7 +10,7 @@ from plumbline.staging import staged
 PART, AT = "__part", "__at"
 
 
-def _dealt(df: DataFrame, order: list[str | Column], partitions: int | None) -> DataFrame:
+def dealt_by_ranges(df: DataFrame, order: list[str | Column], partitions: int | None) -> DataFrame:
     """Rows dealt by ranges of an order and sorted inside them, written once with part and place.
 
     Range bounds are sampled anew by every execution, so parts and places of two
@@ -28,7 +28,7 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "pos", partit
     A row's position is its place in the part plus the rows of the parts before.  Only
     one count a part reaches the driver.
     """
-    dealt = _dealt(df, list(order), partitions)
+    dealt = dealt_by_ranges(df, list(order), partitions)
     base, rows = 0, []
     for r in sorted(dealt.groupBy(PART).count().collect()):
         rows.append((r[0], base))
@@ -49,7 +49,7 @@ def with_running(
     keys = [group] if isinstance(group, str) else list(group)
     values = {**({pos: F.lit(1).cast("long")} if pos else {}), **(sums or {})}
     raw = {f"__v{i}": c for i, c in enumerate(values.values())}
-    dealt = _dealt(df.withColumns(raw), [*keys, *order], partitions)
+    dealt = dealt_by_ranges(df.withColumns(raw), [*keys, *order], partitions)
     before = Window.partitionBy(PART, *keys).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
     local = dealt.withColumns({f"__s{i}": F.coalesce(F.sum(v).over(before), F.lit(0)) for i, v in enumerate(raw)})
     totals = dealt.groupBy(PART, *keys).agg(F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__t{i}") for i, v in enumerate(raw)])
