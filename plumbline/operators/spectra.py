@@ -22,7 +22,7 @@ from plumbline.plans.indexing import with_position
 from plumbline.staging import staged
 
 #: Texts and n-grams of a block.
-ROWS, COLUMNS = 1024, 1 << 16
+ROWS, COLUMNS = 1024, 1 << 14
 #: Entries of a block that one product touches at a time.
 _ENTRIES = 1 << 16
 
@@ -74,9 +74,12 @@ def _multiply(blocks: DataFrame, vectors: DataFrame, key: str, other: str, most:
                 a, b = (np.frombuffer(row[c].as_buffer(), np.int32) for c in (frm, to))
                 w, x = np.frombuffer(row["w"].as_buffer(), np.float64), np.frombuffer(row["x"].as_buffer(), np.float64).reshape(-1, m)
                 out = np.zeros((most, m))
+                order = np.argsort(b, kind="stable")
                 for s in range(0, len(w), _ENTRIES):
-                    part = slice(s, s + _ENTRIES)
-                    np.add.at(out, b[part], w[part, None] * x[a[part]])
+                    part = order[s : s + _ENTRIES]
+                    into = b[part]
+                    starts = np.flatnonzero(np.concatenate([[True], into[1:] != into[:-1]]))
+                    out[into[starts]] += np.add.reduceat(w[part, None] * x[a[part]], starts, axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array([row[other].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["i", "j", "x"])
 
     parts = blocks.join(vectors, key).select("ri", "ci", "w", "x", other).mapInArrow(product, _KEYED)
@@ -109,7 +112,7 @@ def _f(x: np.ndarray) -> np.ndarray:
     return np.where(x > 1e-14, -x * np.log(np.maximum(x, 1e-300)), 0.0)
 
 
-def entropy(blocks: DataFrame, diagonal: DataFrame, n: int, trace: float, steps: int = 6, vectors: int = 16, top: int = 8, rounds: int = 2, seed: int = 0) -> tuple[float, float]:
+def entropy(blocks: DataFrame, diagonal: DataFrame, n: int, trace: float, steps: int = 8, vectors: int = 32, top: int = 16, rounds: int = 3, seed: int = 0) -> tuple[float, float]:
     """Entropy of the eigenvalues of Z Z' / n, and the standard error of the estimate.
 
     The ``top`` leading eigenvectors are found by iterating a subspace and count exactly;

@@ -139,24 +139,26 @@ def stamps_and_codes(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", shown.alias("shown"), seconds.alias("seconds"), F.base64(F.encode("props", "UTF-8")).alias("coded"), F.sha2("props", 256).alias("digest"))
 
 
-@query(r"""WITH p AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 's3://bucket-' || page_id % 4 || '/a/' || page_id || '.jsonl.gz' WHEN 1 THEN 's3a://bucket' ELSE '/local/' || page_id END AS p FROM pages)
-SELECT page_id, regexp_matches(p, '^s3a?://') AS object, regexp_replace(p, '^s3a?://', 's3a://') AS s3a, regexp_extract(p, '^s3a?://([^/]+)(?:/(.*))?$', 1) AS bucket, regexp_extract(p, '^s3a?://([^/]+)(?:/(.*))?$', 2) AS key,
+@query(r"""WITH p AS (SELECT page_id, unnest([url, regexp_replace(url, '^https?://', 's3://'), regexp_replace(url, '^https?://', 's3a://') || '.jsonl.gz', regexp_replace(url, '^https?:/', '')]) AS p FROM pages)
+SELECT page_id, p AS path, regexp_matches(p, '^s3a?://') AS object, regexp_replace(p, '^s3a?://', 's3a://') AS s3a, regexp_extract(p, '^s3a?://([^/]+)(?:/(.*))?$', 1) AS bucket, regexp_extract(p, '^s3a?://([^/]+)(?:/(.*))?$', 2) AS key,
 regexp_extract(p, '([^/]+?)(\.jsonl)?(\.gz)?$', 1) || '_output.json' AS output FROM p""")
 def object_paths(spark, sf_dir):
-    k = F.col("page_id").cast("string")
-    path = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("s3://bucket-"), (F.col("page_id") % 4).cast("string"), F.lit("/a/"), k, F.lit(".jsonl.gz"))).when(F.col("page_id") % 3 == 1, F.lit("s3a://bucket")).otherwise(F.concat(F.lit("/local/"), k))
-    p = read(spark, sf_dir, "pages").select("page_id", path.alias("p"))
+    """Addresses of all pages as they are, as objects of either scheme, and as local paths."""
+    url = F.col("url")
+    forms = [url, F.regexp_replace(url, "^https?://", "s3://"), F.concat(F.regexp_replace(url, "^https?://", "s3a://"), F.lit(".jsonl.gz")), F.regexp_replace(url, "^https?:/", "")]
+    p = read(spark, sf_dir, "pages").select("page_id", F.explode(F.array(*forms)).alias("p"))
     bucket, key = text.bucket_and_key(F.col("p"))
-    return p.select("page_id", text.is_object_path(F.col("p")).alias("object"), text.object_path(F.col("p")).alias("s3a"), bucket.alias("bucket"), key.alias("key"), sinks.output_name(F.col("p")).alias("output"))
+    return p.select("page_id", F.col("p").alias("path"), text.is_object_path(F.col("p")).alias("object"), text.object_path(F.col("p")).alias("s3a"), bucket.alias("bucket"), key.alias("key"), sinks.output_name(F.col("p")).alias("output"))
 
 
-@query("""WITH p AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'request' ELSE 'response' END AS kind, CASE WHEN page_id % 3 = 0 THEN 'text/HTML; charset=utf-8' ELSE 'application/json' END AS c, 200 + 100 * (page_id % 5) AS s FROM pages)
+@query("""WITH p AS (SELECT page_id, CASE WHEN html ILIKE '%<form%' THEN 'request' ELSE 'response' END AS kind, CASE WHEN html ILIKE '%<html%' THEN 'text/HTML; charset=utf-8' ELSE 'text/plain' END AS c, CASE WHEN html ILIKE '%404%' THEN 404 ELSE 200 END AS s FROM pages)
 SELECT page_id, kind = 'response' AND lower(c) LIKE '%html%' AND s < 400 AS kept FROM p""")
 def web_predicates(spark, sf_dir):
+    """The three conditions on what the pages hold."""
     from plumbline.sources.warc import keep_pages
 
-    k = F.col("page_id")
-    kept = keep_pages(F.when(k % 4 == 0, "request").otherwise("response"), F.when(k % 3 == 0, "text/HTML; charset=utf-8").otherwise("application/json"), 200 + 100 * (k % 5))
+    low = F.lower("html")
+    kept = keep_pages(F.when(low.contains("<form"), "request").otherwise("response"), F.when(low.contains("<html"), "text/HTML; charset=utf-8").otherwise("text/plain"), F.when(low.contains("404"), 404).otherwise(200))
     return read(spark, sf_dir, "pages").select("page_id", kept.alias("kept"))
 
 
@@ -293,12 +295,12 @@ def nested_scores(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", F.aggregate("d.video", F.lit(0.0), lambda a, x: a + x).alias("total"), F.col("d.meta.tax").alias("tax"), nested.leaf_length(F.col("s"), kind).alias("size"), nested.leaf_item(F.col("s"), kind, 1)["video"].alias("second"))
 
 
-@query(r"""WITH r AS (SELECT source, doc_id, list_transform(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''), lambda x: length(x)) AS w FROM documents WHERE n_chars < 2000) SELECT source, doc_id, CAST(len(w) AS BIGINT) AS len, md5(array_to_string(w, ',')) AS digest FROM r""")
+@query(r"""WITH r AS (SELECT source, doc_id, list_transform(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''), lambda x: length(x)) AS w FROM documents) SELECT source, doc_id, CAST(len(w) AS BIGINT) AS len, md5(array_to_string(w, ',')) AS digest FROM r""")
 def ragged_round_trip(spark, sf_dir):
     """Arrays laid flat by source, and back by their offsets."""
     from plumbline.plans.indexing import with_running
 
-    rows = read(spark, sf_dir, "documents").where("n_chars < 2000").select("source", "doc_id", F.transform(text.words(F.col("text")), lambda x: F.length(x)).alias("w"))
+    rows = read(spark, sf_dir, "documents").select("source", "doc_id", F.transform(text.words(F.col("text")), lambda x: F.length(x)).alias("w"))
     layout = attributes.flat_layout(rows, "source", "doc_id", F.col("w"))
     flat = layout.select("source", "off", F.posexplode("w").alias("k", "value")).select("source", (F.col("off") + F.col("k")).alias("i"), "value")
     back = attributes.read_ragged(layout.select("source", "doc_id", "off", "len"), flat, "source")
