@@ -8,7 +8,8 @@ own length; for each such length all grams of that length are looked up.
 
 The benchmark's fingerprints reach the tasks by broadcast, in blocks of items of a
 checked size; a benchmark beyond one block takes one pass for each block, and the
-results of the passes are merged.  Documents are never shuffled in either case.
+results of the passes are merged.  Documents are never shuffled in either case.  A worker
+process builds the index of a pass once: arrays of hashes and places over the words of the block.
 
 Edge cases: null or empty text has no words and no hits; null items or items without
 words have no windows; equal windows of several items count for each of them; a null
@@ -35,50 +36,85 @@ FOUND = "doc_id long, n_words long, spans array<array<int>>, items array<string>
 
 
 class Index:
-    """Windows of benchmark items and their fingerprints."""
+    """Windows of benchmark items and their fingerprints, as sorted arrays over the words of all items.
+
+    A window is its hash and its first word, twelve bytes; its text stays where it is and is compared when a hash is met.
+    """
 
     def __init__(self, items: list[tuple[str | None, str]], window: int, k: int):
         self.window, self.k = window, min(k, window)
-        self.owners: dict[bytes, set] = defaultdict(set)
-        self.short: set[int] = set()
-        long_prints, short_prints = [np.zeros(0, np.uint64)], defaultdict(lambda: [np.zeros(0, np.uint64)])
-        for name, text in items:
-            w = Words(*utf8(pa.array([text], pa.string())), ALPHANUMERIC)
-            n = len(w.start)
-            size = min(n, window)
-            for i in range(n - size + 1) if n else ():
-                self.owners[w.shown(i, i + size)].add(name)
-            if n >= window:
-                h, ok = w.grams(self.k)
-                long_prints.append(h[winnow(h, ok, w.text, window - self.k + 1)])
-            elif n:
-                self.short.add(n)
-                short_prints[n].append(w.grams(n)[0])
-        self.prints = HashSet(np.concatenate(long_prints))
-        self.short_prints = {n: HashSet(np.concatenate(v)) for n, v in short_prints.items()}
+        self.names = [name for name, _ in items]
+        parts: dict[str, list[np.ndarray]] = {c: [np.zeros(0, t)] for c, t in (("data", np.uint8), ("start", np.int64), ("end", np.int64), ("text", np.int32), ("prints", np.uint64))}
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+        at_byte = at_word = at_item = 0
+        batch = pa.RecordBatch.from_arrays([pa.array([text for _, text in items], pa.string())], names=["text"])
+        for part in slices(batch, "text"):  # what hashing takes beside its results is in proportion to a slice
+            w = Words(*utf8(part.column("text")), ALPHANUMERIC)
+            sizes = np.diff(w.first)
+            h, ok = w.grams(self.k)
+            kept = {"data": w.data, "start": w.start + at_byte, "end": w.end + at_byte, "text": (w.text + at_item).astype(np.int32), "prints": h[winnow(h, ok, w.text, window - self.k + 1)]}
+            for c, x in kept.items():
+                parts[c].append(x)
+            for n in np.unique(np.minimum(sizes[sizes > 0], window)).tolist():
+                h, ok = w.grams(n)
+                # an item as long as a window has all of them, a shorter one is one itself
+                at = np.nonzero(ok)[0] if n == window else w.first[:-1][sizes == n]
+                found[n].append((h[at], (at + at_word).astype(np.int32)))
+            at_byte, at_word, at_item = at_byte + len(w.data), at_word + len(w.start), at_item + len(sizes)
+        self.data, self.start, self.end, self.text = (np.concatenate(parts[c]) for c in ("data", "start", "end", "text"))
+        self.prints = HashSet(np.concatenate(parts["prints"]))
+        self.starts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n, pairs in found.items():
+            h, at = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            order = np.argsort(h, kind="stable")
+            self.starts[n] = h[order], at[order]
+        self.sets = {n: HashSet(h) for n, (h, _) in self.starts.items()}
+        self._met: dict[tuple[int, int], list[tuple[bytes, set]]] = {}
+
+    def shown(self, i: int, j: int) -> bytes:
+        return b" ".join([self.data[a:b].tobytes() for a, b in zip(self.start[i:j], self.end[i:j], strict=True)])
 
     def candidates(self, words: Words):
-        """(first word, number of words) of every window that may be an item's."""
-        spread = self.window - self.k
-        h, ok = words.grams(self.k)
-        at = winnow(h, ok, words.text, spread + 1)
-        hits = at[self.prints(h[at])]
-        if len(hits):
-            starts = np.unique((hits[:, None] - np.arange(spread + 1)[None, :]).ravel())
-            starts = starts[(starts >= 0) & (starts + self.window <= len(words.start))]
-            starts = starts[words.text[starts] == words.text[starts + self.window - 1]]
-            yield from ((int(i), self.window) for i in starts)
-        for n, prints in self.short_prints.items():
+        """(first word, number of words, hash) of every window whose hash is that of an item's."""
+        for n, known in self.sets.items():
             h, ok = words.grams(n)
-            yield from ((int(i), n) for i in prints(h) if ok[i])
+            if n == self.window:
+                spread = self.window - self.k
+                g, whole = words.grams(self.k)
+                at = winnow(g, whole, words.text, spread + 1)
+                hits = at[self.prints(g[at])]
+                if not len(hits):
+                    continue
+                starts = np.unique((hits[:, None] - np.arange(spread + 1)[None, :]).ravel())
+                starts = starts[(starts >= 0) & (starts < len(h))]
+            else:
+                starts = np.arange(len(h))
+            starts = starts[ok[starts]]
+            starts = starts[known(h[starts])]
+            yield from ((int(i), n, x) for i, x in zip(starts, h[starts], strict=True))
+
+    def owners(self, words: Words, i: int, n: int, x: np.uint64) -> set:
+        """Items with the very words of a window."""
+        hashes, starts = self.starts[n]
+        low = int(np.searchsorted(hashes, x))
+        met = self._met.get((n, low))
+        if met is None:  # texts of one hash, nearly always one, and who has them
+            texts: dict[bytes, set] = defaultdict(set)
+            for s in starts[low : int(np.searchsorted(hashes, x, side="right"))].tolist():
+                texts[self.shown(s, s + n)].add(self.names[self.text[s]])
+            if len(self._met) > 100_000:
+                self._met.clear()
+            met = self._met[n, low] = list(texts.items())
+        shown = words.shown(i, i + n)
+        return next((names for t, names in met if t == shown), set())
 
     def search(self, words: Words, texts: int) -> list[tuple[list[list[int]], list[str]]]:
         """Of each text: hit runs of words (end exclusive), and the items found."""
         hit = np.zeros(len(words.start) + 1, bool)
         items: list[set] = [set() for _ in range(texts)]
         any_hit = set()
-        for i, n in self.candidates(words):
-            owners = self.owners.get(words.shown(i, i + n))
+        for i, n, x in self.candidates(words):
+            owners = self.owners(words, i, n, x)
             if owners:
                 hit[i : i + n] = True
                 t = int(words.text[i])
@@ -95,6 +131,17 @@ class Index:
         return out
 
 
+_built: dict[str, Index] = {}
+
+
+def index_of(key: str, shipped, window: int, k: int) -> Index:
+    """The index of a pass, built once in each worker process, whatever the number of its tasks; an earlier one goes."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = Index(shipped.value, window, k)
+    return _built[key]
+
+
 def merge(spans: list[list[int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -118,15 +165,14 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, k: int = 5,
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         shipped = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in part.collect()])  # about BLOCK_BYTES
-        index: list[Index] = []
+        key = f"{ws.path}-{b}"
 
-        def one_pass(batches, shipped=shipped, index=index):
-            if not index:
-                index.append(Index(shipped.value, window, k))
+        def one_pass(batches, shipped=shipped, key=key):
+            index = index_of(key, shipped, window, k)
             for batch in batches:
                 for part in slices(batch, "__text"):
                     words = Words(*utf8(part.column("__text")), ALPHANUMERIC)
-                    found = index[0].search(words, len(part))
+                    found = index.search(words, len(part))
                     old = zip(part.column("spans").to_pylist(), part.column("items").to_pylist())
                     both = [(merge((s0 or []) + s), sorted({*(i0 or []), *i})) for (s0, i0), (s, i) in zip(old, found)]
                     new = {"n_words": pa.array(np.diff(words.first), pa.int64()), "spans": pa.array([s for s, _ in both], pa.list_(pa.list_(pa.int32()))), "items": pa.array([i for _, i in both], pa.list_(pa.string()))}
