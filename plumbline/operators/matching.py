@@ -54,6 +54,44 @@ def inverse_frequencies(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     return seen.crossJoin(F.broadcast(total)).select("token", "df", F.ln((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"), F.ln(F.col("n") + 1.0).alias("unseen_idf"))
 
 
+def token_features(df: DataFrame, keys: list[str], tokens: str, features: DataFrame, missing: dict[str, Column] | None = None) -> DataFrame:
+    """Adds, for each column of ``features`` but ``token``, an array with its value for every token, in order.
+
+    Features are joined to the distinct tokens of a row, so a row meets each of its words once.  ``missing`` says
+    what tokens without a row in ``features`` have; null otherwise.  ``keys`` name a row.
+    """
+    names = [c for c in features.columns if c != "token"]
+    found = df.select(*keys, F.explode(F.array_distinct(tokens)).alias("token")).join(features, "token", "left")
+    entry = F.struct(*[F.coalesce(F.col(c), missing[c]).alias(c) if missing and c in missing else F.col(c) for c in names])
+    known = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("token", entry.alias("f")))).alias("__f"))  # the words of one text
+    left, right = df.alias("l"), known.alias("r")
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    rows = left.join(right, same, "left").select("l.*", "r.__f")
+    return rows.select(*df.columns, *[_feature(tokens, n) for n in names])
+
+
+def _feature(tokens: str, name: str) -> Column:
+    return F.transform(tokens, lambda t: F.col("__f")[t][name]).alias(f"{tokens}_{name}")
+
+
+def weighted_scores(pairs: DataFrame, keys: list[str], candidate: str, reference: str, vectors: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """Precision, recall and F of token arrays, each token weighted by its inverse frequency in a corpus.
+
+    ``vectors(token, vec)`` are unit vectors; ``frequencies`` is what ``inverse_frequencies`` returns, and tokens that the
+    corpus lacks take its weight for unseen ones.
+    """
+    unseen = frequencies.agg(F.first("unseen_idf").alias("unseen")).first()["unseen"]
+    features = vectors.join(frequencies.select("token", "idf"), "token", "full")
+    rows = pairs.select(*keys, candidate, reference)
+    for side in (candidate, reference):
+        rows = token_features(rows, keys, side, features, {"idf": F.lit(unseen)})
+    rows = rows.withColumn("__key", F.struct(*keys))
+    scored = greedy_match(rows, "__key", f"{candidate}_vec", f"{reference}_vec", f"{candidate}_idf", f"{reference}_idf")
+    return scored.select("__key.*", "precision", "recall", "f")
+
+
 def average_ranks(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """Rank of a value in its group; ties share their mean rank.
 

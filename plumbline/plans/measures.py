@@ -180,3 +180,42 @@ def sql_score_statistics(spark, sf_dir):
         FROM moments(TABLE({docs}) PARTITION BY (grp, share)) GROUP BY grp""",
         docs=docs,
     )
+
+
+_TOKENS = "list_filter(string_split_regex(translate(coalesce(text, ''), '{u}', '{l}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')".format(u=_UPPER, l=_LOWER)
+
+
+@query(f"""WITH c AS (SELECT conv_id, turn, role, {_TOKENS} AS w FROM conversations),
+d AS (SELECT {_TOKENS} AS w FROM documents),
+n AS (SELECT count(*) AS n FROM d),
+idf AS MATERIALIZED (SELECT token, ln((n + 1) / (count(*) + 1)) AS idf FROM (SELECT unnest(list_distinct(w)) AS token FROM d), n GROUP BY token, n),
+a AS (SELECT conv_id, turn, unnest(range(1, len(w) + 1)) AS i, w FROM c WHERE role = 'assistant'),
+r AS (SELECT conv_id, turn AS ref, unnest(range(1, len(w) + 1)) AS j, w FROM c WHERE role = 'user'),
+tok AS MATERIALIZED (SELECT DISTINCT token FROM (SELECT unnest(w) AS token FROM c)),
+vec AS MATERIALIZED (SELECT token, coalesce(idf, ln(n + 1.0)) AS idf, list_transform(range(1, 5), lambda i: CAST(strpos('0123456789abcdef', substring(md5(token), CAST(i AS INTEGER), 1)) AS DOUBLE) - 8.5) AS x FROM tok LEFT JOIN idf USING (token), n),
+unit AS MATERIALIZED (SELECT token, idf, list_transform(x, lambda v: v / sqrt(list_dot_product(x, x))) AS x FROM vec),
+ca AS MATERIALIZED (SELECT conv_id, turn, i, token, idf, x FROM (SELECT conv_id, turn, i, w[i] AS token FROM a) JOIN unit USING (token)),
+cr AS MATERIALIZED (SELECT conv_id, ref, j, token, idf, x FROM (SELECT conv_id, ref, j, w[j] AS token FROM r) JOIN unit USING (token)),
+s AS MATERIALIZED (SELECT ca.conv_id, turn, ref, i, j, ca.idf AS wi, cr.idf AS wj, list_dot_product(ca.x, cr.x) AS v FROM ca JOIN cr ON ca.conv_id = cr.conv_id),
+p AS (SELECT conv_id, turn, ref, sum(m * wi) / nullif(sum(wi), 0) AS p FROM (SELECT conv_id, turn, ref, i, wi, max(v) AS m FROM s GROUP BY ALL) GROUP BY ALL),
+q AS (SELECT conv_id, turn, ref, sum(m * wj) / nullif(sum(wj), 0) AS q FROM (SELECT conv_id, turn, ref, j, wj, max(v) AS m FROM s GROUP BY ALL) GROUP BY ALL)
+SELECT conv_id, turn, round(max(2 * p * q / nullif(p + q, 0)), 5) AS f FROM p JOIN q USING (conv_id, turn, ref) GROUP BY conv_id, turn""")
+def weighted_match_references(spark, sf_dir):
+    """Every answer against all questions of its conversation, tokens weighted by their inverse frequency in the documents; the best counts."""
+    from plumbline.functions import vector
+
+    def words(c: str):
+        return F.filter(F.split(F.translate(F.coalesce(c, F.lit("")), _UPPER, _LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", words("text").alias("w"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", words("text").alias("w"))
+    idf = matching.inverse_frequencies(docs, "doc_id", F.col("w"))
+    md5 = F.md5("token")
+    vec = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.conv(md5.substr(i, F.lit(1)), 16, 10).cast("double") - 7.5)
+    tokens = turns.select(F.explode("w").alias("token")).distinct().select("token", vector.normalise(vec).alias("vec"))
+    answers = turns.where("role = 'assistant'").select("conv_id", "turn", F.col("w").alias("hyp"))
+    questions = turns.where("role = 'user'").groupBy("conv_id").agg(F.collect_list(F.struct("turn", "w")).alias("refs"))
+    pairs = answers.join(questions, "conv_id").select("conv_id", "turn", "hyp", F.inline("refs").alias("ref_turn", "ref")).where("size(hyp) > 0 AND size(ref) > 0")
+    scored = matching.weighted_scores(pairs, ["conv_id", "turn", "ref_turn"], "hyp", "ref", tokens, idf)
+    best = matching.best_reference(scored.select(F.struct("conv_id", "turn").alias("k"), "f"), "k", "f")
+    return best.select("k.conv_id", "k.turn", F.round("f", 5).alias("f"))

@@ -115,6 +115,22 @@ def test_kendall_of_large_groups_equals_pairs(spark):
     assert all(got[g] is None if want[g] is None else got[g] == pytest.approx(want[g]) for g in want)
 
 
+def test_match_with_frequencies_of_a_corpus(spark):
+    """Weights are those of the corpus, unseen tokens take theirs, and repeated tokens count each time."""
+    corpus = spark.createDataFrame([(1, ["a", "b"]), (2, ["a", "c"]), (3, ["a"])], "id long, w array<string>")
+    idf = matching.inverse_frequencies(corpus, "id", F.col("w"))
+    x = {"a": [1.0, 0.0], "b": [0.0, 1.0], "new": [0.6, 0.8]}
+    vec = spark.createDataFrame(list(x.items()), "token string, vec array<double>")
+    pairs = spark.createDataFrame([(1, ["a", "b", "b"], ["new", "a"]), (None, ["b"], ["b"])], "k long, h array<string>, r array<string>")
+    got = {g.k: g for g in matching.weighted_scores(pairs, ["k"], "h", "r", vec, idf).collect()}
+    w = {"a": math.log(4 / 4), "b": math.log(4 / 2), "new": math.log(4.0)}
+    dot = lambda s, t: sum(p * q for p, q in zip(x[s], x[t]))
+    side = lambda s, t: sum(w[u] * max(dot(u, v) for v in t) for u in s) / sum(w[u] for u in s)
+    assert got[1].precision == pytest.approx(side(["a", "b", "b"], ["new", "a"]))
+    assert got[1].recall == pytest.approx(side(["new", "a"], ["a", "b", "b"]))
+    assert got[None].f == pytest.approx(1)
+
+
 # ------------------------------------------------------------------ vectors
 
 
