@@ -5,8 +5,8 @@ documents that it keeps, with the columns of ``docs``; the last returns packed p
 ``run`` applies them to ``documents``, each result written as Parquet and read again.
 
 Defined results at the edges: null and empty texts pass every filter and are packed as a
-lone end id; a document that loses all its lines to earlier copies goes; rows that share
-both id and text stand or fall together in the near-duplicate stage; an empty table stays
+lone end id; a document that loses all its lines to earlier copies goes; of rows that share
+both id and text the near-duplicate stage keeps one; an empty table stays
 empty; extra columns, whatever their names, are carried to the last stage.
 """
 
@@ -49,13 +49,23 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document, by id and text hash, of each group linked at a similarity of 0.8 on five words.
 
-    Texts without words link with nothing and stay; null ids come last in a group; rows
-    that repeat both id and text stand or fall together.
+    Texts without words link with nothing and stay; null ids come last in a group; of rows
+    that repeat both id and text one stays.
     """
-    found = ngram_join.near_documents(docs, n=5, share=80)
+    ws = Workspace(spark, "near")
+    found = ngram_join.near_documents(docs, n=5, share=80).select("doc_id", "text_hash", "is_first", (F.col("n_shingles") > 0).alias("worded"))
+    found = ws.stage(found, "found")
     gone = found.where("not is_first").select(F.col("doc_id").alias("id"), "text_hash").distinct()
-    rows = docs.alias("l").join(gone.hint("merge").alias("r"), (F.xxhash64("l.text") == F.col("r.text_hash")) & F.col("l.doc_id").eqNullSafe(F.col("r.id")), "left_anti")
-    return rows.select(*docs.columns)
+    same = (F.xxhash64("l.text") == F.col("r.text_hash")) & F.col("l.doc_id").eqNullSafe(F.col("r.id"))
+    rows = docs.alias("l").join(gone.hint("merge").alias("r"), same, "left_anti").select(*docs.columns)
+    kept = found.where("is_first AND worded").groupBy(F.col("doc_id").alias("id"), "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    repeated = ws.stage(kept.where("n > 1").select("id", "text_hash"), "repeated")
+    if repeated.isEmpty():  # as in every table whose ids are a key
+        return rows
+    aside = free_name(docs, "text_hash")
+    once = rows.alias("l").join(repeated.alias("r"), same, "left_semi").select(*docs.columns).withColumn(aside, F.xxhash64("text"))
+    once = once.dropDuplicates(["doc_id", aside]).drop(aside)
+    return rows.alias("l").join(repeated.hint("merge").alias("r"), same, "left_anti").select(*docs.columns).unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
