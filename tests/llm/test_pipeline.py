@@ -32,6 +32,16 @@ def test_near_duplicate_stage(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == [3, 9, 10, 11]
 
 
+def test_one_of_repeated_rows_stays(spark):
+    """Of rows with one id and text, one stays; rows without words, and repeats that are not the first of their group, are as before."""
+    words = [f"w{x}" for x in np.random.default_rng(1).integers(0, 10_000, 60)]
+    rows = [(5, " ".join(words), "a"), (5, " ".join(words), "b"), (5, " ".join(words), "a"), (8, " ".join([*words[:-1], "x"]), "a"), (8, " ".join([*words[:-1], "x"]), "a")]
+    rows += [(None, "a text with a null id that is there twice", "a")] * 2 + [(9, "", "a"), (9, "", "a"), (9, "own words here", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_hash string")
+    got = sorted((r.doc_id or 0, (r.text or "")[:8]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect())
+    assert got == [(0, "a text w"), (5, " ".join(words)[:8]), (9, ""), (9, ""), (9, "own word")]
+
+
 def test_repeated_lines_stage(spark):
     rows = [(1, "a b\nc d\ne", 7), (2, "a b\nc d\nown line", 16), (3, "a b\nc d", 7), (4, "", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
