@@ -22,6 +22,22 @@ def expected_rating(logits: Column, low: int = 1) -> Column:
     return vector.total(F.transform(p, lambda x, i: x * (i + low)))
 
 
+def rated_when_given(logits: Column, *inputs: Column, low: int = 1) -> Column:
+    """``expected_rating``, missing where any input is null or empty."""
+    there = F.lit(True)
+    for c in inputs:
+        there &= F.coalesce(F.length(c), F.lit(0)) > 0
+    return F.when(there, expected_rating(logits, low))
+
+
+def service_request(text: Column, language: Column, languages: list[str], limit: int = 20480) -> Column:
+    """What a scoring service is asked about a text: at most ``limit`` bytes of it; nothing for blank texts and languages that it lacks."""
+    from plumbline.functions.text import truncate_bytes
+
+    wanted = text.rlike(r"[^\x20\x09-\x0D]") & language.isin(*languages)
+    return F.when(F.coalesce(wanted, F.lit(False)), truncate_bytes(text, limit))
+
+
 def textbook(probabilities: Column, low: float = 0.0, mid: float = 1.0, high: float = 2.0) -> Column:
     """Score of class probabilities in the order low, mid, high."""
     return vector.dot(probabilities, F.array(F.lit(low), F.lit(mid), F.lit(high)))

@@ -219,3 +219,26 @@ def weighted_match_references(spark, sf_dir):
     scored = matching.weighted_scores(pairs, ["conv_id", "turn", "ref_turn"], "hyp", "ref", tokens, idf)
     best = matching.best_reference(scored.select(F.struct("conv_id", "turn").alias("k"), "f"), "k", "f")
     return best.select("k.conv_id", "k.turn", F.round("f", 5).alias("f"))
+
+
+@query("""WITH s AS (SELECT user_id % 16 AS part, event_id, coalesce(value >= 5, false) AS ok FROM events),
+h AS (SELECT part, min(event_id) FILTER (WHERE NOT ok) AS head, max(event_id) AS last FROM s GROUP BY part)
+SELECT s.part, coalesce(head, last + 1) AS commit, head, count(*) FILTER (WHERE ok AND event_id > head) AS waiting FROM s JOIN h USING (part) GROUP BY s.part, head, last""")
+def queue_commits(spark, sf_dir):
+    """Events as messages of sixteen partitions, some not acknowledged: what each partition may commit, from a drained stream."""
+    from plumbline.streaming import queue, scores
+
+    e = read(spark, sf_dir, "events")
+    plan = lambda rows: queue.message_states(rows.select((F.col("user_id") % 16).alias("part"), "event_id", "value"), ["part", "event_id"], F.col("value") >= 5)
+    states = scores.drain(spark, f"{sf_dir.rstrip('/')}/events.parquet", e.schema, plan, "queue", mode="update", keys=["part", "event_id"])
+    return queue.commit_points(states, "part", "event_id")
+
+
+@query("""SELECT doc_id, coalesce(regexp_matches(text, '[^\\x20\\x09-\\x0D]') AND lang IN ('en', 'de', 'fr'), false) AS asked,
+CASE WHEN coalesce(regexp_matches(text, '[^\\x20\\x09-\\x0D]') AND lang IN ('en', 'de', 'fr'), false) THEN strlen(text) <= 20480 END AS whole FROM documents""")
+def service_requests(spark, sf_dir):
+    """Which documents a service that knows three languages is asked about, and whether it gets all of their text."""
+    from plumbline.operators import heads
+
+    d = read(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("n"), heads.service_request(F.col("text"), F.col("lang"), ["en", "de", "fr"]).alias("r"))
+    return d.select("doc_id", F.col("r").isNotNull().alias("asked"), F.when(F.col("r").isNotNull(), F.octet_length("r") == F.col("n")).alias("whole"))

@@ -46,3 +46,31 @@ def write_queue(df: DataFrame, servers: str, topic: str) -> None:
 def follow_up(batch: DataFrame, servers: str, topic: str, key: str, *columns: str) -> None:
     """For ``foreachBatch``: a message about each row that a batch has written."""
     write_queue(messages(batch, F.col(key), *(columns or (key,))), servers, topic)
+
+
+def message_states(events: DataFrame, keys: list[str], done: Column) -> DataFrame:
+    """``keys, acknowledged``: whether any of a message's rows (sent, sent again, acknowledged) says so.
+
+    On a stream this is the running state of every message, for ``drain`` in update mode; repeated and late
+    rows change nothing, as the largest of two values does not depend on their order.
+    """
+    return events.groupBy(*keys).agg(F.max(F.coalesce(done, F.lit(False))).alias("acknowledged"))
+
+
+def commit_points(states: DataFrame, partition: str, offset: str) -> DataFrame:
+    """What each partition may commit: the offset below which every message that was seen is acknowledged.
+
+    Also how many acknowledged messages wait behind it, and the first that holds them up.  Two
+    aggregates with partial sums, so a partition of any size is never on one task.
+    """
+    head = states.groupBy(partition).agg(F.min(F.when(~F.col("acknowledged"), F.col(offset))).alias("head"), F.max(offset).alias("last"))
+    behind = F.col("acknowledged") & (F.col(offset) > F.col("head"))
+    named = head.withColumnRenamed(partition, "__p")
+    joined = states.join(F.broadcast(named), F.col(partition).eqNullSafe(F.col("__p")))  # a row a partition of the queue
+    waiting = joined.groupBy(partition).agg(F.first("head").alias("head"), F.first("last").alias("last"), F.count(F.when(behind, 1)).alias("waiting"))
+    return waiting.select(partition, F.coalesce(F.col("head"), F.col("last") + 1).alias("commit"), "head", "waiting")
+
+
+def stalled(points: DataFrame, capacity: int) -> DataFrame:
+    """Heads to send again: more than three times the capacity waits behind them."""
+    return points.where(F.col("head").isNotNull() & (F.col("waiting") > 3 * capacity))

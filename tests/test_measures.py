@@ -327,6 +327,39 @@ def test_windows_over_several_batches(spark, tmp_path):
     assert key(got) == key(want)
 
 
+def test_commits_are_contiguous(spark, tmp_path):
+    """Messages sent, sent again and acknowledged over several batches, late ones too, equal what one batch says."""
+    from plumbline.streaming import queue
+
+    rng = random.Random(8)
+    rows = [(p, o, "sent") for p in (0, 1, 2) for o in range(60)]
+    acked = [(p, o) for p, o, _ in rows if p == 2 or (o % 10 and (p, o) != (1, 3))]
+    rows += [(p, o, "done") for p, o in acked] + rng.sample(rows, 20)
+    rng.shuffle(rows)
+    schema = "part int, off long, what string"
+    for k in range(4):
+        spark.createDataFrame(rows[k::4], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/q")
+    plan = lambda e: queue.message_states(e, ["part", "off"], F.col("what") == "done")
+    states = scores.drain(spark, f"{tmp_path}/q", schema, plan, "q", mode="update", per_batch=1, keys=["part", "off"])
+    points = queue.commit_points(states, "part", "off")
+    got = {r.part: (r.commit, r.waiting) for r in points.collect()}
+    done = set(acked)
+    for p in (0, 1, 2):
+        first = next((o for o in range(60) if (p, o) not in done), 60)
+        assert got[p] == (first, sum((p, o) in done for o in range(first, 60)))
+    assert {r.part for r in queue.stalled(points, 15).collect()} == {0, 1} and queue.stalled(points, 100).count() == 0
+
+
+def test_requests_and_ratings(spark):
+    from plumbline.operators import heads
+
+    df = spark.createDataFrame([(1, "a" * 30, "en"), (2, " \n", "en"), (3, None, "en"), (4, "x", "zz"), (5, "x", None), (6, "éé", "en")], "id int, t string, l string")
+    got = {r.id: r.r for r in df.select("id", heads.service_request(F.col("t"), F.col("l"), ["en"], 3).alias("r")).collect()}
+    assert got == {1: "aaa", 2: None, 3: None, 4: None, 5: None, 6: "é"}
+    rated = df.select("id", heads.rated_when_given(F.array(F.lit(0.0), F.lit(0.0)), F.col("t"), F.col("l")).alias("r")).collect()
+    assert {r.id: r.r for r in rated} == {1: 1.5, 2: 1.5, 3: None, 4: 1.5, 5: None, 6: 1.5}
+
+
 def test_table_functions(spark):
     sql.register(spark)
     docs = spark.createDataFrame([(1, "a b c d e"), (1, "f"), (2, ""), (3, None), (None, "x  y")], "doc_id long, text string")
