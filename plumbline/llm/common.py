@@ -92,6 +92,20 @@ def remainder_of_crc(doc_id: str | Column, modulus: int = 3) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % modulus
 
 
+#: DuckDB has no crc32: two common table expressions (of a recursive list) with the remainders of all byte values, from eight shifts.
+CRC_TABLES = """
+steps(b, k, c) AS (
+  SELECT CAST(range AS UBIGINT), 0, CAST(range AS UBIGINT) FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END FROM steps WHERE k < 8),
+crcs AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8)"""
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an ASCII string, with ``t`` of ``crcs`` in reach."""
+    bytes_ = f"list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS UBIGINT)))"
+    return f"xor(list_reduce({bytes_}, lambda a, x: xor(a >> 8, t[1 + CAST(xor(a, x) & 255 AS INTEGER)])), CAST(4294967295 AS UBIGINT))"
+
+
 def connected_components(ws: Workspace, edges: DataFrame, name: str = "cc") -> DataFrame:
     """Smallest reachable id of every node that has an edge.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Workspace, table
+from plumbline.llm.common import CRC_TABLES, Workspace, crc32_sql, table
 from plumbline.plans.indexing import with_running
 
 #: Turns of a conversation that are walked as one piece.
@@ -336,3 +336,63 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = given.select("conv_id").distinct().withColumn("key", key).join(found, "key", "left")
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def _oracle() -> str:
+    """Costs backward by one recursion over places, edits forward by another, for all conversations at once."""
+    far = 1_000_000
+
+    def consumed(state: str, keeps: dict[str, str], made: str) -> str:
+        """Least cost of the edits that take a turn: ``keeps`` has the state after each initial that may stay."""
+        kept = "".join(f" WHEN '{f}' THEN t + b.{q}" for f, q in keeps.items())
+        return f"least(3 + b.{state}, CASE WHEN gone THEN {far} ELSE least(CASE f{kept} ELSE {far} END, 2 + t + b.{made}) END)"
+
+    begin, after_s = consumed("v0", {"s": "v1", "u": "v2"}, "v2"), consumed("v1", {"u": "v2"}, "v2")
+    after_u, after_a = consumed("v2", {"a": "v3"}, "v3"), consumed("v3", {"u": "v2"}, "v2")
+    made = "CASE WHEN q = 2 THEN 3 ELSE 2 END"
+    role = "CASE WHEN q = 2 THEN 'assistant' ELSE 'user' END"
+    keep = "CASE WHEN f = 's' AND q = 0 THEN 1 WHEN f = 'u' AND q <> 2 THEN 2 WHEN f = 'a' AND q = 2 THEN 3 END"
+    number = crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE{CRC_TABLES},
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, CAST({number} % 20 AS INTEGER) AS kind FROM conversations, crcs),
+damaged AS (
+  SELECT coalesce('=' || conv_id, '-') AS key, turn, role AS role0, text AS text0, copy, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM given WHERE kind <> 0)),
+placed AS MATERIALIZED (SELECT key, turn, role, text, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role0, sha256(text0), copy) - 1 AS i FROM damaged),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^{_SPACE}]') THEN 'blank' WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN right(rtrim(text, {space}), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+turns AS MATERIALIZED (SELECT key, i, turn, role, text, left(role, 1) AS f, fault, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS t FROM faults),
+back(key, i, v0, v1, v2, v3) AS (
+  SELECT key, count(*), {END[0]}, {END[1]}, {END[2]}, {END[3]} FROM turns GROUP BY key
+  UNION ALL
+  SELECT key, i, least(c0, 2 + c2, 4 + c3), least(c1, 2 + c2, 4 + c3), least(c2, 2 + c3), least(c3, 2 + c2)
+  FROM (SELECT b.key, s.i, {begin} AS c0, {after_s} AS c1, {after_u} AS c2, {after_a} AS c3 FROM back b JOIN turns s ON s.key = b.key AND s.i = b.i - 1)),
+costs AS MATERIALIZED (SELECT key, i, [v0, v1, v2, v3] AS v FROM back),
+walk(key, i, q, audit, made) AS (
+  SELECT key, CAST(0 AS BIGINT), 0, '', CAST([] AS VARCHAR[]) FROM costs WHERE i = 0
+  UNION ALL
+  SELECT key, CASE WHEN e = 'I' THEN i ELSE i + 1 END, CASE e WHEN 'D' THEN q WHEN 'K' THEN k ELSE m END, audit || e,
+    CASE e WHEN 'D' THEN made WHEN 'I' THEN list_append(made, {role} || ':') WHEN 'K' THEN list_append(made, role || ':' || text) ELSE list_append(made, {role} || ':' || text) END
+  FROM (
+    SELECT w.key, w.i, w.q, w.audit, w.made, s.role, s.text, {keep} AS k, {made} AS m,
+      CASE WHEN s.i IS NOT NULL AND 3 + n.v[q + 1] = c.v[q + 1] THEN 'D' WHEN 2 + c.v[{made} + 1] = c.v[q + 1] THEN 'I'
+        WHEN NOT s.gone AND coalesce(s.t + n.v[{keep} + 1] = c.v[q + 1], false) THEN 'K' ELSE 'R' END AS e
+    FROM walk w JOIN costs c ON c.key = w.key AND c.i = w.i LEFT JOIN costs n ON n.key = w.key AND n.i = w.i + 1 LEFT JOIN turns s ON s.key = w.key AND s.i = w.i
+    WHERE s.i IS NOT NULL OR c.v[q + 1] > 0)),
+ended AS (SELECT w.key, audit, made FROM walk w JOIN costs c ON c.key = w.key AND c.i = w.i WHERE c.v[q + 1] = 0 AND w.i = (SELECT max(i) FROM costs x WHERE x.key = w.key)),
+counts AS (
+  SELECT key, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+    count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE i > 0 AND b4 || f NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(f) OVER (PARTITION BY key ORDER BY i) AS b4 FROM turns) GROUP BY key)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(c.v[1], 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '-') AS key FROM conversations) o LEFT JOIN counts USING (key) LEFT JOIN ended USING (key) LEFT JOIN costs c ON c.key = o.key AND c.i = 0
+"""
+
+
+ORACLE_SQL = _oracle()

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Workspace, table
+from plumbline.llm.common import CRC_TABLES, Workspace, crc32_sql, table
 from plumbline.plans.indexing import with_running
 
 ARITY = 16
@@ -214,19 +214,10 @@ def _oracle(depth: int = 6) -> str:
         return f"sha256({' || '.join(field(text if c == 'text' else c) for c in FIELDS)})"
 
     low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    # DuckDB has no crc32: the remainders of all byte values come from eight shifts
     steps = [
-        """
-WITH RECURSIVE steps(b, k, c) AS (
-  SELECT CAST(range AS UBIGINT), 0, CAST(range AS UBIGINT) FROM range(256)
-  UNION ALL SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END FROM steps WHERE k < 8)""",
-        """
-crcs AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8)""",
-        """
-ids AS (
-  SELECT doc_id, xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
-    lambda a, x: xor(a >> 8, t[1 + CAST(xor(a, x) & 255 AS INTEGER)])), CAST(4294967295 AS UBIGINT)) AS crc
-  FROM (SELECT DISTINCT doc_id FROM documents), crcs)""",
+        "\nWITH RECURSIVE" + CRC_TABLES,
+        f"""
+ids AS (SELECT doc_id, {crc32_sql("CAST(doc_id AS VARCHAR)")} AS crc FROM (SELECT DISTINCT doc_id FROM documents), crcs)""",
         f"""
 leaves AS MATERIALIZED (
   SELECT doc_id, coalesce('=' || source, '-') AS g, {row("text")} AS leaf, CASE WHEN crc % 5 = 0 THEN {row(low)} ELSE {row("text")} END AS altered

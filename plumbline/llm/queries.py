@@ -32,5 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_embedding_dedup": embedding_dedup.ORACLE_SQL,
         "op9_benchmark_decontamination": decontamination.ORACLE_SQL,
         "op11_pii_bootstrap": pii.ORACLE_SQL,
+        "op12_conversation_repair": conversation_repair.ORACLE_SQL,
         "op13_merkle_manifest": merkle.ORACLE_SQL,
     }
