@@ -56,9 +56,10 @@ def with_running(
     earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(F.col(PART).alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         F.sum("__n").over(Window.partitionBy(*keys)).alias("__size"), *[F.coalesce(F.sum(f"__t{i}").over(earlier), F.lit(0)).alias(f"__b{i}") for i in range(len(raw))])
-    same = F.col(PART) == F.col("__p")
+    # the two sides go by name: a column of the caller may be called as one of these
+    same = F.col(f"l.{PART}") == F.col("r.__p")
     for i, k in enumerate(keys):
-        same &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    out = local.join(base, same)
-    new = [(F.col(f"__s{i}") + F.col(f"__b{i}")).alias(name) for i, name in enumerate(values)]
-    return out.select(*[c for c in df.columns if c not in values], *new, *([F.col("__size").alias(size)] if size else []))
+        same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.__k{i}"))
+    out = local.alias("l").join(base.alias("r"), same)
+    new = [(F.col(f"l.__s{i}") + F.col(f"r.__b{i}")).alias(name) for i, name in enumerate(values)]
+    return out.select(*[F.col(f"l.{c}") for c in df.columns if c not in values], *new, *([F.col("r.__size").alias(size)] if size else []))

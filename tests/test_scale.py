@@ -39,6 +39,19 @@ def test_running_sums_of_a_group_that_holds_most_rows(spark):
     assert with_running(rows.limit(0), "g", ["id"], pos="pos").count() == 0
 
 
+def test_running_sums_beside_columns_with_the_same_names(spark):
+    from plumbline.operators import accounting
+
+    rows = spark.range(100).select((F.col("id") % 3).alias("g"), "id", F.lit(7).alias("__size"), F.lit(8).alias("__b0"), F.lit(9).alias("__p"))
+    got = with_running(rows, "g", ["id"], pos="pos", size="n").where("id = 99").first()
+    assert (got["pos"], got["n"], got["__size"], got["__b0"], got["__p"]) == (33, 34, 7, 8, 9)
+    texts = spark.createDataFrame([("a", i, "x " * (i + 1)) for i in range(12)] + [("b", 1, None), (None, 1, "x y")], "s string, id long, t string")
+    got = {r.s: r for r in accounting.token_estimate(texts, "s", "t", "id", 5, F.col("id") % 2 == 0).collect()}
+    # of the rows 0, 2, 4, 6, 8, 10 that survive, the first and the sixth are counted: 1 + 11 words, 2 + 22 bytes of 156
+    assert (got["a"].lines, got["a"].tokens, got["a"].bytes, got["a"].estimate) == (12, 12, 24, 39)
+    assert (got["b"].lines, got["b"].tokens, got["b"].remained, got["b"].estimate) == (1, None, 0.0, None) and got[None].lines == 1
+
+
 def vectors_of(spark, x, labels):
     return spark.createDataFrame([(i, v.tolist(), int(l)) for i, (v, l) in enumerate(zip(x, labels))], "vec_id long, embedding array<double>, label int").repartition(3)
 
