@@ -76,6 +76,24 @@ def cross_distances(left: DataFrame, right: DataFrame, metric: str = "cosine") -
     return a.crossJoin(b).select("a", "b", v.DISTANCES[metric](F.col("x"), F.col("y")).alias("d"))
 
 
+def cross_distance_statistics(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Number, mean, population deviation and sum of the cosine distances of every vector of one set to every one of another.
+
+    Without pairs: with u and w the unit vectors, the sum of their cosines is (sum u).(sum w),
+    and the sum of the squared cosines the product of sum u u^T and sum w w^T, place by place.
+    Pairs with a vector that is null, zero or holds a null count in the number alone.
+    """
+    pairs = left.count() * right.count()
+    unit = lambda rows: whole(rows).where(v.norm(F.col("embedding")) != 0).select(v.normalise(F.col("embedding")).alias("embedding"))
+    (n, s, g), (m, t, h) = second_moments(unit(left)), second_moments(unit(right))
+    found = None, None, None
+    if n and m:
+        cosines, squares = float(s @ t), float((g * h).sum())
+        mean = cosines / n / m
+        found = 1 - mean, float(np.sqrt(np.maximum(0.0, squares / n / m - mean * mean))), n * m - cosines
+    return left.sparkSession.createDataFrame([(pairs, *found)], "n long, mean double, std double, sum double")
+
+
 def distance_statistics(pairs: DataFrame, keep_zero: bool = False) -> DataFrame:
     """Number, mean, population deviation and sum; zeros count only for cross-set matrices."""
     rows = pairs if keep_zero else pairs.where("d <> 0")

@@ -215,8 +215,7 @@ def weights_in_order(spark, sf_dir):
 @query(f"WITH {_E}, a AS (SELECT * FROM e WHERE label < 2), b AS (SELECT * FROM e WHERE label BETWEEN 2 AND 3), d AS (SELECT 1 - list_cosine_similarity(a.v, b.v) AS d FROM a, b) SELECT count(*) AS n, round(avg(d), 6) AS mean, round(stddev_pop(d), 6) AS std, round(sum(d), 3) AS sum FROM d")
 def cross_set_distances(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
-    d = vectors.cross_distances(e.where("label < 2"), e.where("label BETWEEN 2 AND 3"), "normalized_cosine")
-    return vectors.distance_statistics(d, keep_zero=True).select("n", r6("mean").alias("mean"), r6("std").alias("std"), F.round("sum", 3).alias("sum"))
+    return vectors.cross_distance_statistics(e.where("label < 2"), e.where("label BETWEEN 2 AND 3")).select("n", r6("mean").alias("mean"), r6("std").alias("std"), F.round("sum", 3).alias("sum"))
 
 
 @query(f"WITH {_E}, f AS (SELECT vec_id, unnest(range(0, len(v))) AS i, unnest(v) AS x FROM e), q AS (SELECT i, sqrt(avg(x * x)) AS q FROM f GROUP BY i) SELECT CAST(i AS INTEGER) AS i, round(sum(x / q), 5) AS total, round(sum((x / q) ** 2), 5) AS squares FROM f JOIN q USING (i) GROUP BY i")

@@ -69,6 +69,13 @@ def test_closed_forms_equal_all_pairs(spark):
         assert got[label].n == len(d) and (got[label]["mean"], got[label]["std"]) == (pytest.approx(d.mean()), pytest.approx(d.std()))
     a, b = rows.where("vec_id < 40"), rows.where("vec_id >= 40")
     assert vectors.kernel_distance(a, b) == pytest.approx(vectors.cubic_discrepancy(x[:40], x[40:]))
+    odd = spark.createDataFrame([(100, None, 0), (101, [0.0] * 5, 0), (102, [1.0, None, 0.0, 0.0, 0.0], 0)], rows.schema)
+    d = 1 - (x[:40] / np.linalg.norm(x[:40], axis=1, keepdims=True)) @ (x[40:] / np.linalg.norm(x[40:], axis=1, keepdims=True)).T
+    for left, right, n in ((a, b, 2000), (a.union(odd), b, 2150), (odd, b, 150), (a, b.limit(0), 0)):
+        got = vectors.cross_distance_statistics(left, right).first()
+        want = vectors.distance_statistics(vectors.cross_distances(left, right, "normalized_cosine"), keep_zero=True).first()
+        assert got.n == want.n == n and tuple(got[1:]) == (pytest.approx(tuple(want[1:]), abs=1e-9) if want["mean"] is not None else (None, None, None))
+    assert vectors.cross_distance_statistics(a, b).first()["std"] == pytest.approx(d.std())
     r = vectors.kernel_distance_subsets(a, b, 5, 30).first()
     assert r.subsets == 5 and abs(r["mean"] - vectors.kernel_distance(a, b)) < 4 * r["std"] + 1
     q = vectors.normalised(rows).groupBy("i").agg(F.avg(F.col("x") * F.col("x")).alias("q")).collect()
