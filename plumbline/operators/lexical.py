@@ -1,7 +1,9 @@
-"""Lexical diversity: MTLD by an ordered fold, HD-D by counts; readability from one pass over the tokens."""
+"""Lexical diversity: MTLD by an ordered fold, HD-D by counts of a text's words; readability from one pass over the tokens."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -50,34 +52,36 @@ def mtld(text: Column, more_than: int = 50) -> Column:
     return _both_ways(once(tokens, lambda w: F.when(F.size(w) > more_than, w)))
 
 
-def hdd(df: DataFrame, key: str = "doc_id", text: str = "text", draws: int = 42) -> DataFrame:
-    """Mean over word types of the chance to be drawn among ``draws`` words; null outside 51 to 999 words."""
-    sized = df.select(key, once(_lexical_tokens(F.col(text)), lambda w: F.struct(F.size(w).alias("n"), w.alias("w"))).alias("s")).select(key, "s.n", "s.w")
-    fits = sized.where((F.col("n") > 50) & (F.col("n") < 1000))
-    counts = fits.select(key, "n", F.explode("w").alias("t")).groupBy(key, "n", "t").agg(F.count(F.lit(1)).alias("f"))
-    scores = counts.groupBy(key).agg(F.sum((1 - _missed(F.col("n"), F.col("f"), draws)) / draws).alias("hdd"))
-    return df.select(key).join(scores, key, "left")
+def _drawn(counts: np.ndarray, n: int, draws: int) -> float:
+    """Sum over types, by their numbers of words, of the chance to be among ``draws`` of ``n`` words."""
+    sizes, times = np.unique(counts, return_counts=True)
+    j = np.arange(draws)
+    missed = (np.maximum(0.0, n - sizes[:, None] - j) / (n - j)).prod(1)
+    return float(((1 - missed) / draws * times).sum())
 
 
-def _missed(n: Column, f: Column, draws: int) -> Column:
-    """Chance that none of ``draws`` words drawn from ``n`` is of a type with ``f`` words."""
-    return F.aggregate(F.sequence(F.lit(0), F.lit(draws - 1)), F.lit(1.0), lambda a, j: a * F.greatest(F.lit(0.0), (n - f - j).cast("double")) / (n - j))
+def hdd_of(text: Column, draws: int = 42) -> Column:
+    """HD-D of a column: mean over word types of the chance to be drawn among ``draws`` words; null outside 51 to 999 words.
 
+    Words are cut and folded by column functions and counted in batches, a text at a time, so
+    that no row a word is made.  Marks go after white space is one blank each, as a word of marks alone counts.
+    """
 
-def hdd_of(text: Column, draws: int = 42) -> Column:
-    """HD-D of a column, for scorers of one column: types are counted as runs of the sorted words."""
+    @F.pandas_udf(DoubleType())
+    def score(lines: pd.Series) -> pd.Series:
+        def one(line):
+            n = 0 if not line else line.count(" ") + 1
+            return _drawn(np.array(list(Counter(line.split(" ")).values())), n, draws) if 50 < n < 1000 else None
 
-    def of(w: Column) -> Column:
-        start = F.struct(F.lit(None).cast("string").alias("t"), F.lit(0).alias("f"), F.lit(0.0).alias("sum"))
-        share = lambda f: F.when(f > 0, (1 - _missed(F.size(w), f, draws)) / draws).otherwise(0.0)
+        return pd.Series([one(line) for line in lines], dtype="float64").replace(np.nan, None)
 
-        def step(s: Column, x: Column) -> Column:
-            same = s["t"].eqNullSafe(x)
-            return F.struct(x.alias("t"), F.when(same, s["f"] + 1).otherwise(1).alias("f"), F.when(same, s["sum"]).otherwise(s["sum"] + share(s["f"])).alias("sum"))
+    blanks = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), r"\s+", " ")
+    return score(F.lower(strip_ascii_punctuation(blanks)))
 
-        return F.aggregate(F.array_sort(w), start, step, lambda s: s["sum"] + share(s["f"]))
 
-    return once(_lexical_tokens(text), lambda w: F.when((F.size(w) > 50) & (F.size(w) < 1000), of(w)))
+def hdd(df: DataFrame, key: str = "doc_id", text: str = "text", draws: int = 42) -> DataFrame:
+    """``key`` and ``hdd_of`` of every row."""
+    return df.select(key, hdd_of(F.col(text), draws).alias("hdd"))
 
 
 def text_statistics(text: Column) -> Column:

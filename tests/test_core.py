@@ -45,6 +45,12 @@ def test_mtld_and_hdd(spark):
     hdd = {r[0]: r[1] for r in lexical.hdd(docs(spark)).collect()}
     assert hdd[8] is not None and hdd[3] is None
     assert hdd[5] == pytest.approx(60 * (1 - math.comb(60 - 42, 1) / math.comb(60, 1)) / 42)
+    # marks alone are one type, white space of any kind cuts, and no row a word is dealt
+    odd = table(spark, [(1, " \tA, a\n\n" + "-- !\x0b" * 30 + "b. "), (2, "x " * 49 + "."), (3, None), (4, "- " * 51), (4, "y " * 1000), (None, "z\n" * 51)], "doc_id long, text string")
+    miss = lambda n, f: math.comb(n - f, 42) / math.comb(n, 42)
+    got = lexical.hdd(odd)
+    assert [(r[0], r[1] and round(r[1], 9)) for r in got.collect()] == [(1, round((3 - miss(63, 2) - miss(63, 60) - miss(63, 1)) / 42, 9)), (2, None), (3, None), (4, round(1 / 42, 9)), (4, None), (None, round(1 / 42, 9))]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_byte_truncation_keeps_whole_characters(spark):
