@@ -6,8 +6,9 @@ plain counts), three discounts an order come from the counts of counts, and what
 context's discounts free is given to the next lower order.  Unknown words share what the
 unigrams leave to an even distribution.
 
-No table is ever on one task or the driver: a dozen numbers (discounts and totals) reach it.
-Distinct n-grams are scored level by level, so a join key has at most as many rows as there are
+Words go by their 64-bit hashes: of ten million different words, two share one with a chance of some 3 in a
+million, and would then count as one word.  No table is ever on one task or the driver: a dozen numbers (discounts and
+totals) reach it.  Distinct n-grams are scored level by level, so a join key has at most as many rows as there are
 different words, however often an n-gram occurs; the last join, from texts to their scored
 trigrams, is left to adaptive execution, which splits the side of the texts.
 """
@@ -33,15 +34,21 @@ def sentence_words(text: Column) -> Column:
     return F.transform(F.split(low, "\n"), lambda line: F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
 
 
-def _trigrams(df: DataFrame, keys: list[str], sentences: str) -> DataFrame:
-    """``keys, u, v, w`` of every word and sentence end; ``u`` is null after the beginning of a sentence."""
+def _words(df: DataFrame, keys: list[str], sentences: str) -> DataFrame:
+    """``keys, t``: a sentence a row, with its beginning and its end."""
+    lines = df.select(*keys, F.explode(sentences).alias("__line"))
+    return lines.select(*keys, F.concat(F.array(F.lit(BEGIN)), "__line", F.array(F.lit(END))).alias("t"))
 
-    def grams(words: Column) -> Column:
-        line = F.concat(F.array(F.lit(BEGIN)), words, F.array(F.lit(END)))
-        return F.transform(F.sequence(F.lit(1), F.size(words) + 1), lambda i: F.struct(F.get(line, i - 2).alias("u"), F.get(line, i - 1).alias("v"), F.get(line, i).alias("w")))
 
-    lines = df.select(*keys, F.explode(sentences).alias("__line"))
-    return lines.select(*keys, F.inline(grams(F.col("__line"))))
+def _trigrams(df: DataFrame, keys: list[str], sentences: str) -> DataFrame:
+    """``keys, u, v, w`` of every word and sentence end, by the words' hashes; ``u`` is null after the beginning of a sentence.
+
+    The three words are one array and its shifts, so a sentence costs what it is long.
+    """
+    t = F.col("t")
+    shifts = F.arrays_zip(F.concat(F.array(F.lit(None).cast("string")), t).alias("u"), t.alias("v"), F.slice(t, F.lit(2), F.size(t)).alias("w"))
+    grams = _words(df, keys, sentences).select(*keys, F.inline(shifts).alias("u", "v", "w")).where("w IS NOT NULL")
+    return grams.select(*keys, F.when(F.col("u").isNotNull(), F.xxhash64("u")).alias("u"), F.xxhash64("v").alias("v"), F.xxhash64("w").alias("w"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -55,7 +62,9 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
 
 
 def _discount(d: tuple[float, float, float]) -> Column:
-    return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+    """Null without a count."""
+    c = F.col("c")
+    return F.when(c == 1, d[0]).when(c == 2, d[1]).when(c > 2, d[2])
 
 
 def _contexts(counts: DataFrame, by: list[str], d: tuple[float, float, float]) -> DataFrame:
@@ -65,41 +74,85 @@ def _contexts(counts: DataFrame, by: list[str], d: tuple[float, float, float]) -
 
 @dataclass
 class LanguageModel:
-    """``unigrams(w, p)``, ``bigrams(v, w, p)``, ``trigrams(u, v, w, p)``, ``free1(v, free)``, ``free2(u, v, free)`` and the probability of an unknown word."""
+    """Counts by the words' hashes, ``counts3(u, v, w, c)``, ``counts2(v, w, c)`` and ``counts1(w, c)``, their discounts, and ``names(h, word)``.
+
+    ``unigrams(w, p)``, ``bigrams(v, w, p)``, ``free1(v, free)`` and ``free2(u, v, free)`` give the words themselves.
+    """
 
-    unigrams: DataFrame
-    bigrams: DataFrame
-    trigrams: DataFrame
-    free1: DataFrame
-    free2: DataFrame
+    counts3: DataFrame
+    counts2: DataFrame
+    counts1: DataFrame
+    names: DataFrame
+    discounts: tuple[tuple[float, float, float], ...]
+    total: int
     unknown: float
 
-    TABLES = ("unigrams", "bigrams", "trigrams", "free1", "free2")
+    TABLES = ("counts3", "counts2", "counts1", "names")
 
     def write(self, path: str) -> None:
         for name in self.TABLES:
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
-        self.unigrams.sparkSession.createDataFrame([(self.unknown,)], "unknown double").coalesce(1).write.mode("overwrite").parquet(f"{path}/unknown")
+        row = ([list(d) for d in self.discounts], self.total, self.unknown)
+        self.counts1.sparkSession.createDataFrame([row], "discounts array<array<double>>, total long, unknown double").coalesce(1).write.mode("overwrite").parquet(f"{path}/numbers")
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> LanguageModel:
-        unknown = spark.read.parquet(f"{path}/unknown").first()[0]
-        return cls(*[spark.read.parquet(f"{path}/{name}") for name in cls.TABLES], unknown)
+        n = spark.read.parquet(f"{path}/numbers").first()
+        return cls(*[spark.read.parquet(f"{path}/{name}") for name in cls.TABLES], tuple(tuple(d) for d in n.discounts), n.total, n.unknown)
+
+    def _named(self, df: DataFrame, *keys: str) -> DataFrame:
+        for k in keys:
+            df = df.join(self.names.select(F.col("h").alias(k), F.col("word").alias(f"__{k}")), k)
+        return df.select(*[F.col(f"__{c}").alias(c) if c in keys else c for c in df.columns if not c.startswith("__")])
+
+    def _p1(self) -> DataFrame:
+        return self.counts1.select("w", ((F.col("c") - _discount(self.discounts[0])) / self.total + self.unknown).alias("p1"))
+
+    def _p2(self, counts: DataFrame, free1: DataFrame) -> DataFrame:
+        p = (F.col("c") - _discount(self.discounts[1])) / F.col("total") + F.col("free") * F.col("p1")
+        return counts.join(free1, "v").join(self._p1(), "w").select("v", "w", p.alias("p"))
+
+    def _free1(self) -> DataFrame:
+        return _contexts(self.counts2, ["v"], self.discounts[1])
+
+    @property
+    def unigrams(self) -> DataFrame:
+        return self._named(self._p1(), "w").withColumnRenamed("p1", "p")
+
+    @property
+    def bigrams(self) -> DataFrame:
+        return self._named(self._p2(self.counts2, self._free1()), "v", "w")
+
+    @property
+    def free1(self) -> DataFrame:
+        return self._named(self._free1(), "v").drop("total")
+
+    @property
+    def free2(self) -> DataFrame:
+        return self._named(_contexts(self.counts3.where("u IS NOT NULL"), ["u", "v"], self.discounts[2]), "u", "v").drop("total")
 
     def score(self, df: DataFrame, keys: list[str], sentences: str) -> DataFrame:
-        """``keys, log10, length`` of each row: the log probability of its words and sentence ends, and their number."""
+        """``keys, log10, length`` of each row: the log probability of its words and sentence ends, and their number.
+
+        What is asked for is written first and meets the counts once an order, so only contexts that occur in it are smoothed.
+        """
         asked = staged(_trigrams(df, keys, sentences).groupBy(*keys, "u", "v", "w").agg(F.count(F.lit(1)).alias("n")), "asked")
-        pairs = asked.select("v", "w").distinct().join(self.bigrams, ["v", "w"], "left")
-        pairs = pairs.join(self.unigrams.select("w", F.col("p").alias("p1")), "w", "left").join(self.free1, "v", "left")
+        triples = staged(asked.select("u", "v", "w").distinct(), "triples")
+        pairs = staged(triples.select("v", "w").distinct(), "pairs")
+        free1 = staged(self._free1(), "free1")
+        known = staged(self._p2(self.counts2.join(pairs, ["v", "w"]), free1), "known")
         lower = F.coalesce(F.col("free"), F.lit(1.0)) * F.coalesce(F.col("p1"), F.lit(self.unknown))
-        pairs = staged(pairs.select("v", "w", F.coalesce("p", lower).alias("p2")), "pairs")
-        triples = asked.where("u IS NOT NULL").select("u", "v", "w").distinct().join(self.trigrams, ["u", "v", "w"], "left")
-        triples = triples.join(self.free2, ["u", "v"], "left").join(pairs, ["v", "w"])
-        triples = triples.select("u", "v", "w", F.coalesce("p", F.coalesce(F.col("free"), F.lit(1.0)) * F.col("p2")).alias("p"))
-        first = asked.where("u IS NULL").select("v", "w").distinct().join(pairs, ["v", "w"]).select(F.lit("").alias("u"), "v", "w", F.col("p2").alias("p"))
-        known = triples.unionByName(first)  # no word is empty, so it stands for the missing one
-        each = asked.withColumn("u", F.coalesce("u", F.lit(""))).join(known, ["u", "v", "w"])
-        return each.groupBy(*keys).agg(F.sum(F.col("n") * F.log10("p")).alias("log10"), F.sum("n").alias("length"))
+        pairs = pairs.join(known, ["v", "w"], "left").join(self._p1(), "w", "left").join(free1, "v", "left")
+        pairs = staged(pairs.select("v", "w", F.coalesce("p", lower).alias("p2")), "p2")
+        contexts = staged(triples.where("u IS NOT NULL").select("u", "v").distinct(), "contexts")
+        near = staged(self.counts3.where("u IS NOT NULL").join(contexts, ["u", "v"], "left_semi"), "near")
+        free2 = _contexts(near, ["u", "v"], self.discounts[2])
+        # no context: all of the lower order; a context without the word: what it frees
+        upper = F.coalesce((F.coalesce("c", F.lit(0)) - F.coalesce(_discount(self.discounts[2]), F.lit(0.0))) / F.col("total") + F.col("free") * F.col("p2"), F.col("p2"))
+        each = triples.join(pairs, ["v", "w"]).join(near, ["u", "v", "w"], "left").join(free2, ["u", "v"], "left")
+        each = each.select(F.col("u").alias("__u"), F.col("v").alias("__v"), F.col("w").alias("__w"), F.log10(upper).alias("__l"))
+        same = F.col("u").eqNullSafe(F.col("__u")) & (F.col("v") == F.col("__v")) & (F.col("w") == F.col("__w"))
+        return asked.join(each, same).groupBy(*keys).agg(F.sum(F.col("n") * F.col("__l")).alias("log10"), F.sum("n").alias("length"))
 
     def perplexity(self, df: DataFrame, keys: list[str], sentences: str) -> DataFrame:
         scored = self.score(df, keys, sentences)
@@ -117,12 +170,5 @@ def train(df: DataFrame, sentences: str) -> LanguageModel:
     total, freed, words = c1.agg(F.sum("c"), F.sum(_discount(d1)), F.count(F.lit(1))).first()
     if not words:
         raise ValueError("no sentence to learn from")
-    unknown = freed / total / (words + 1)
-    unigrams = staged(c1.select("w", ((F.col("c") - _discount(d1)) / total + unknown).alias("p")), "p1")
-    free1 = staged(_contexts(c2, ["v"], d2), "free1")
-    bigrams = c2.join(free1, "v").join(unigrams.select("w", F.col("p").alias("below")), "w")
-    bigrams = staged(bigrams.select("v", "w", ((F.col("c") - _discount(d2)) / F.col("total") + F.col("free") * F.col("below")).alias("p")), "p2")
-    free2 = staged(_contexts(c3, ["u", "v"], d3), "free2")
-    trigrams = c3.join(free2, ["u", "v"]).join(bigrams.select("v", "w", F.col("p").alias("below")), ["v", "w"])
-    trigrams = staged(trigrams.select("u", "v", "w", ((F.col("c") - _discount(d3)) / F.col("total") + F.col("free") * F.col("below")).alias("p")), "p3")
-    return LanguageModel(unigrams, bigrams, trigrams, free1.drop("total"), free2.drop("total"), unknown)
+    names = _words(df, [], sentences).select(F.explode("t").alias("word")).distinct().select(F.xxhash64("word").alias("h"), "word")
+    return LanguageModel(raw, c2, c1, names, (d1, d2, d3), total, freed / total / (words + 1))

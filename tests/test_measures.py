@@ -92,6 +92,19 @@ def test_language_model_is_kept(spark, tmp_path):
         language_model.train(rows.limit(0), "s")
 
 
+def test_trigrams_of_a_long_sentence(spark):
+    """A sentence of 40 000 words: time in proportion (its shifts, not a copy of it a word)."""
+    import time
+
+    rows = spark.createDataFrame([("a b " * 20_000 + "\n\na",)], "text string").select(language_model.sentence_words(F.col("text")).alias("s"))
+    began = time.time()
+    got = language_model._trigrams(rows, [], "s").groupBy("u", "v", "w").count().collect()
+    assert time.time() - began < 20
+    a, b, begin, end = spark.range(1).select(*[F.xxhash64(F.lit(x)) for x in ("a", "b", "<s>", "</s>")]).first()
+    want = {(None, begin, a): 2, (begin, a, b): 1, (a, b, a): 19_999, (b, a, b): 19_999, (a, b, end): 1, (None, begin, end): 1, (begin, a, end): 1}
+    assert {tuple(r)[:3]: r[3] for r in got} == want
+
+
 # ------------------------------------------------------------------ rank correlation
 
 
