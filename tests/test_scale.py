@@ -293,3 +293,20 @@ def test_datasets_by_kind_and_resumed_runs(spark, tmp_path):
     (tmp_path / "meta.csv").write_text("name,text\n1.jpg,hello\n2.jpg,gone\n")
     got = {r.id: (r.content, r.caption) for r in files.read_media(spark, str(tmp_path / "meta.csv"), str(tmp_path / "m"), "name", caption="text").collect()}
     assert bytes(got["1.jpg"][0]) == b"x" and got["2.jpg"] == (None, "gone")
+
+
+def test_ragged_arrays_of_hot_and_null_groups(spark):
+    """Elements travel in runs: no row an element is shuffled, and a hot or a null group is dealt over spans."""
+    from plumbline.operators import attributes
+
+    rows = spark.range(600).select(F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 10 == 8, None).otherwise("x").alias("g"), "id")
+    rows = rows.withColumn("w", F.when(F.col("id") == 7, F.lit(None)).when(F.col("id") % 6 == 5, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(0), F.col("id") % 50), lambda k: k.cast("int") * 3 - 1)))
+    rows = rows.withColumn("w", F.when(F.col("id") == 20, F.array(F.lit(1), F.lit(None), F.lit(2))).otherwise(F.col("w")))
+    layout = attributes.flat_layout(rows, "g", "id", F.col("w"))
+    flat = layout.select("g", "off", F.posexplode("w").alias("k", "value")).select("g", (F.col("off") + F.col("k")).alias("i"), "value").repartition(3)
+    want = {r.id: r.w for r in rows.collect()}
+    for span in (4, 64, 1 << 16):
+        back = attributes.read_ragged(layout.select("g", "id", "off", "len"), flat, "g", span=span)
+        assert {r.id: r["values"] for r in back.collect()} == want
+    none = attributes.read_ragged(layout.select("g", "id", "off", "len").limit(0), flat.limit(0), "g")
+    assert none.count() == 0
