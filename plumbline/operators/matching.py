@@ -8,20 +8,63 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import vector as v
 from plumbline.plans.indexing import AT, PART, dealt_by_ranges, with_position, with_running
+from plumbline.staging import staged
+
+
+def _matches(weighted: tuple[bool, bool]):
+    """Batches ``k, a, b, wa, wb`` of two lists of vectors and their weights: ``k, precision, recall``."""
+    import pyarrow as pa
+
+    def vectors(column):
+        """Each list as a matrix; a null vector is one of missing numbers."""
+        inner = column.flatten()
+        sizes = inner.value_lengths().fill_null(0).to_numpy()
+        flat = inner.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        ends, n = np.cumsum(sizes), column.value_lengths().fill_null(0).to_numpy()
+        for last, k in zip(np.cumsum(n), n):
+            of = sizes[last - k : last]
+            if not k or not of.any():
+                yield np.full((k, 0), np.nan)
+                continue
+            out = np.full((k, of.max()), np.nan)
+            begin = ends[last - k] - sizes[last - k]
+            out[of > 0] = flat[begin : ends[last - 1]].reshape(-1, of.max())
+            yield out
+
+    def weights(column):
+        flat, n = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), column.value_lengths().fill_null(0).to_numpy()
+        return (flat[last - k : last] for last, k in zip(np.cumsum(n), n))
+
+    def average(values, w, use):
+        total = w.sum() if use else len(values)
+        return (values @ w if use else values.sum()) / total if len(values) and total != 0 else np.nan
+
+    def work(batches):
+        for batch in batches:
+            found = np.full((batch.num_rows, 2), np.nan)
+            for i, (x, y, wx, wy) in enumerate(zip(vectors(batch.column(1)), vectors(batch.column(2)), weights(batch.column(3)), weights(batch.column(4)), strict=True)):
+                if len(x) and len(y) and x.shape[1] == y.shape[1] > 0:
+                    v = x @ y.T
+                    found[i] = average(np.fmax.reduce(v, 1), wx, weighted[0]), average(np.fmax.reduce(v, 0), wy, weighted[1])
+            p, r = (pa.array(c, mask=np.isnan(c)) for c in found.T)
+            yield pa.RecordBatch.from_arrays([batch.column(0), p, r], names=["k", "precision", "recall"])
+
+    return work
 
 
 def greedy_match(pairs: DataFrame, key: str, hyp: str = "hyp", ref: str = "ref", hyp_weight: str | None = None, ref_weight: str | None = None) -> DataFrame:
     """Precision, recall and F of two arrays of unit vectors, each token with its best partner.
 
-    Weights (document frequencies turned round) default to even ones, which makes both plain means.
+    Weights (document frequencies turned round) default to even ones, which makes both plain means.  The products
+    of a pair are one product of matrices in a batch.  Null vectors are no partners; a side without any has no score.
     """
-    best = lambda a, b: F.transform(a, lambda x: F.array_max(F.transform(b, lambda y: v.dot(x, y))))
-
-    def average(values: Column, weight: str | None) -> Column:
-        return v.mean(values) if weight is None else F.try_divide(v.dot(values, F.col(weight)), v.total(F.col(weight)))
-
-    scored = pairs.withColumn("precision", average(best(F.col(hyp), F.col(ref)), hyp_weight)).withColumn("recall", average(best(F.col(ref), F.col(hyp)), ref_weight))
-    return scored.select(key, "precision", "recall", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")).alias("f"))
+    given = [F.col(c).cast("array<array<double>>") for c in (hyp, ref)] + [F.col(c).cast("array<double>") if c else F.array().cast("array<double>") for c in (hyp_weight, ref_weight)]
+    rows = pairs.select(F.col(key).alias("k"), *[c.alias(n) for c, n in zip(given, ("a", "b", "wa", "wb"), strict=True)])
+    schema = rows.select("k", F.lit(0.0).alias("precision"), F.lit(0.0).alias("recall")).schema
+    for f in schema.fields:
+        f.nullable = True
+    scored = rows.mapInArrow(_matches((hyp_weight is not None, ref_weight is not None)), schema)
+    return scored.select(F.col("k").alias(key), "precision", "recall", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")).alias("f"))
 
 
 def full_match(fine: DataFrame, coarse: Column) -> DataFrame:
@@ -63,7 +106,7 @@ def token_features(df: DataFrame, keys: list[str], tokens: str, features: DataFr
     names = [c for c in features.columns if c != "token"]
     found = df.select(*keys, F.explode(F.array_distinct(tokens)).alias("token")).join(features, "token", "left")
     entry = F.struct(*[F.coalesce(F.col(c), missing[c]).alias(c) if missing and c in missing else F.col(c) for c in names])
-    known = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("token", entry.alias("f")))).alias("__f"))  # the words of one text
+    known = found.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("token", entry.alias("f")))).alias("__f"))  # the words of one text
     left, right = df.alias("l"), known.alias("r")
     same = F.lit(True)
     for k in keys:
@@ -76,17 +119,26 @@ def _feature(tokens: str, name: str) -> Column:
     return F.transform(tokens, lambda t: F.col("__f")[t][name]).alias(f"{tokens}_{name}")
 
 
-def weighted_scores(pairs: DataFrame, keys: list[str], candidate: str, reference: str, vectors: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """Precision, recall and F of token arrays, each token weighted by its inverse frequency in a corpus.
+def weighted_tokens(df: DataFrame, keys: list[str], tokens: list[str], vectors: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """Adds the vector (``<tokens>_vec``) and the inverse frequency (``<tokens>_idf``) of every token of the arrays named.
 
     ``vectors(token, vec)`` are unit vectors; ``frequencies`` is what ``inverse_frequencies`` returns, and tokens that the
     corpus lacks take its weight for unseen ones.
     """
-    unseen = frequencies.agg(F.first("unseen_idf").alias("unseen")).first()["unseen"]
+    frequencies = staged(frequencies, "frequencies")
+    seen = frequencies.agg(F.first("unseen_idf").alias("unseen")).first()["unseen"]
     features = vectors.join(frequencies.select("token", "idf"), "token", "full")
-    rows = pairs.select(*keys, candidate, reference)
-    for side in (candidate, reference):
-        rows = token_features(rows, keys, side, features, {"idf": F.lit(unseen)})
+    for side in tokens:
+        df = token_features(df, keys, side, features, {"idf": F.lit(seen)})
+    return df
+
+
+def weighted_scores(pairs: DataFrame, keys: list[str], candidate: str, reference: str, vectors: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """Precision, recall and F of token arrays, each token weighted by its inverse frequency in a corpus (``weighted_tokens``).
+
+    Where a text is in many pairs, take ``weighted_tokens`` of the texts and ``greedy_match`` of the pairs.
+    """
+    rows = weighted_tokens(pairs.select(*keys, candidate, reference), keys, [candidate, reference], vectors, frequencies)
     rows = rows.withColumn("__key", F.struct(*keys))
     scored = greedy_match(rows, "__key", f"{candidate}_vec", f"{reference}_vec", f"{candidate}_idf", f"{reference}_idf")
     return scored.select("__key.*", "precision", "recall", "f")

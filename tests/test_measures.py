@@ -185,6 +185,26 @@ def test_null_vectors_are_left_out(spark):
     assert len(got) == 32 and got[100] is None and got[101] is None and got[5] is not None
 
 
+def test_matching_in_batches(spark):
+    """Equal rows stand each other by, null vectors are no partners, and a text's words are looked up once for all its pairs."""
+    vec = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.6, 0.8]), ("c", [0.0, 1.0])], "token string, vec array<double>")
+    idf = spark.createDataFrame([("a", 1, 2.0, 5.0), ("b", 1, 1.0, 5.0)], "token string, df long, idf double, unseen_idf double")
+    texts = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["a", "b", "a"]), (2, ["c", "x"]), (3, ["x"]), (4, [])], "k int, w array<string>")
+    rows = matching.weighted_tokens(texts, ["k"], ["w"], vec, idf)
+    assert sorted(r.k for r in rows.collect()) == [1, 1, 2, 3, 4]
+    left = rows.where("k = 1").select(F.col("w_vec").alias("h"), F.col("w_idf").alias("hw"))
+    pairs = left.crossJoin(rows.select("k", F.col("w_vec").alias("r"), F.col("w_idf").alias("rw")))
+    got = matching.greedy_match(pairs, "k", "h", "r", "hw", "rw").collect()
+    assert len(got) == 10
+    for r in got:
+        if r.k == 1:
+            assert (r.precision, r.recall, r.f) == (pytest.approx(1), pytest.approx(1), pytest.approx(1))
+        elif r.k == 2:  # a: 0, b: 0.8, a: 0; x has no vector, so no mean of the other side
+            assert (r.precision, r.recall, r.f) == (pytest.approx(0.8 / 5), None, None)
+        else:
+            assert (r.precision, r.recall, r.f) == (None, None, None)
+
+
 def test_spectrum_of_texts(spark, monkeypatch):
     monkeypatch.setattr(spectra, "ROWS", 100)
     monkeypatch.setattr(spectra, "COLUMNS", 500)
