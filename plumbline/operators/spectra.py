@@ -62,7 +62,10 @@ def sparse_rows(rows: DataFrame, tokens: Column, ns: tuple[int, ...], order: str
 
 
 def _multiply(blocks: DataFrame, vectors: DataFrame, key: str, other: str, most: int, m: int) -> DataFrame:
-    """``i, j, x``: a block's product with the piece of a vector under its ``key``, added up under ``other``."""
+    """``i, x``: a block's product with the piece of a vector under its ``key``, added up under ``other``.
+
+    A block sends the places that it has entries for, so products grow with the entries, not with rows times columns.
+    """
     frm, to = ("ri", "ci") if other == "cb" else ("ci", "ri")
 
     def product(batches):
@@ -73,17 +76,36 @@ def _multiply(blocks: DataFrame, vectors: DataFrame, key: str, other: str, most:
                 row = {c: batch.column(c)[k] for c in ("ri", "ci", "w", "x", other)}
                 a, b = (np.frombuffer(row[c].as_buffer(), np.int32) for c in (frm, to))
                 w, x = np.frombuffer(row["w"].as_buffer(), np.float64), np.frombuffer(row["x"].as_buffer(), np.float64).reshape(-1, m)
-                out = np.zeros((most, m))
                 order = np.argsort(b, kind="stable")
+                places, b = np.unique(b, return_inverse=True)
+                out = np.zeros((len(places), m))
                 for s in range(0, len(w), _ENTRIES):
                     part = order[s : s + _ENTRIES]
                     into = b[part]
                     starts = np.flatnonzero(np.concatenate([[True], into[1:] != into[:-1]]))
                     out[into[starts]] += np.add.reduceat(w[part, None] * x[a[part]], starts, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array([row[other].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["i", "j", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array([row[other].as_py()], pa.int32()), pa.array([places.astype(np.int32).tobytes()], pa.binary()), pa.array([out.tobytes()], pa.binary())], names=["i", "at", "x"])
+
+    def added(batches):
+        """Sums by piece; rows come in order of their piece, so a task holds one."""
+        import pyarrow as pa
+
+        def made():
+            return pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["i", "x"])
 
-    parts = blocks.join(vectors, key).select("ri", "ci", "w", "x", other).mapInArrow(product, _KEYED)
-    return parts.repartition("i").mapInArrow(_added, _KEYED).select(F.col("i").alias(other), "x")
+        i, total = None, None
+        for batch in batches:
+            for j, at, x in zip(batch.column("i").to_pylist(), batch.column("at"), batch.column("x"), strict=True):
+                if j != i:
+                    if total is not None:
+                        yield made()
+                    i, total = j, np.zeros((most, m))
+                total[np.frombuffer(at.as_buffer(), np.int32)] += np.frombuffer(x.as_buffer(), np.float64).reshape(-1, m)
+        if total is not None:
+            yield made()
+
+    parts = blocks.join(vectors, key).select("ri", "ci", "w", "x", other).mapInArrow(product, "i int, at binary, x binary")
+    return parts.repartition("i").sortWithinPartitions("i").mapInArrow(added, "i int, x binary").select(F.col("i").alias(other), "x")
 
 
 def _pieces(df: DataFrame, columns: dict[str, int], work, out: list[str], name: str) -> DataFrame:
