@@ -1,5 +1,6 @@
 """Operators against brute force at their production sizes, and at edges that several share."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -289,6 +290,35 @@ def test_repeats_around_the_production_length(spark):
     assert all(not got[i].spans for i in (8, 9, 10))
 
 
+def test_query_on_planted_passages(spark, tmp_path):
+    """Passages of over 50 words in two to four documents each, read by the columns of removal: all of 400 bytes or more are found, shorter ones and clean documents stay."""
+    rng = random.Random(10)
+    words = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9))) for _ in range(n))
+    texts, passages = [], []
+    for k in range(120):
+        passage = words(rng.randint(51, 90))
+        for _ in range(2 + k % 3):
+            texts.append(f"{words(rng.randint(0, 80))}<{passage}>{words(rng.randint(0, 80))}")
+            passages.append(len(passage) + 2)
+    texts += [words(rng.randint(60, 250)) for _ in range(200)]
+    passages += [0] * 200
+    assert 20 < sum(0 < n < 399 for n in passages) and 20 < sum(n >= 400 for n in passages)
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    data = [t.encode() for t in texts]
+    count = Counter(d[i : i + 400] for d in data for i in range(len(d) - 399))
+    got = {r.doc_id: r for r in window_dedup.op10_window_dedup(spark, f"{tmp_path}").collect()}
+    assert len(got) == len(texts)
+    for i, (d, n) in enumerate(zip(data, passages)):
+        gone = np.zeros(len(d), bool)
+        for p in range(len(d) - 399):
+            if count[d[p : p + 400]] > 1:
+                gone[p : p + 400] = True
+        kept = np.frombuffer(d, np.uint8)[~gone].tobytes()
+        n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (len(d), int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest())
+        assert (got[i].n_removed >= n) if n >= 400 else (n > 390 or got[i].n_removed == 0)
+
+
 def test_windows_of_repeated_ids(spark):
     text = sentence(np.random.default_rng(3), 120)
     docs = spark.createDataFrame(rows([text, text])[:1] * 2 + rows(["other"], 9), SCHEMA)
