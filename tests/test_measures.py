@@ -219,6 +219,37 @@ def test_spectrum_of_texts(spark, monkeypatch):
     assert math.isnan(spectra.vendi_of_texts(df.limit(0), text.words(F.col("text")), "id")[0])
 
 
+def test_buckets_of_columns_hold_the_similarities(spark, monkeypatch):
+    """Blocks of many buckets times all unit vectors are the similarities, and what copies share is one number a bucket."""
+    monkeypatch.setattr(spectra, "ROWS", 10)
+    monkeypatch.setattr(spectra, "_BUCKET", 100)
+    monkeypatch.setattr(spectra, "_CHUNK", 50)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 12))) for _ in range(40)] + [" ".join(f"w{i}" for i in range(300))] * 2 + [None, "a a a a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    blocks, scales, n, trace = spectra.sparse_rows(df, text.words(F.col("text")), (1, 2), "id")
+    units = spark.createDataFrame([(i // 10, np.eye(n)[i : i + 10].tobytes()) for i in range(0, n, 10)], "rb int, x binary")
+    made = {r.rb: r.y for r in spectra._multiply(blocks, units, scales, n, n, 2).collect()}
+    got = np.concatenate([np.frombuffer(made[b], np.float64).reshape(-1, n) for b in sorted(made)])
+    grams = [[Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) for k in (1, 2)] for w in ((t or "").split() for t in texts)]
+    cosine = lambda a, b: sum(c * b[g] for g, c in a.items()) / math.sqrt(sum(c * c for c in a.values()) * sum(c * c for c in b.values())) if a and b else 0.0
+    assert np.allclose(got, [[sum(map(cosine, a, b)) / 2 for b in grams] for a in grams]) and trace == pytest.approx(np.trace(got))
+    pairs = sum(int(((spectra._numbers(r.a, np.int32) == 40) & (spectra._numbers(r.b, np.int32) == 41)).sum()) for r in blocks.where("k = 2").collect())
+    assert 0 < pairs <= 2 * blocks.where("k = 2").count() < 100
+
+
+def test_chunks_of_texts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(spectra, "_CHUNK", 5)
+    monkeypatch.setattr(spectra, "_TEXTS", 3)
+    lists = [[1, 2], [], [3] * 12, [4], [], [], [5], [6, 7, 8, 9, 10]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, b)), pa.array(lists[a:b], pa.list_(pa.int64()))], names=["pos", "h"]) for a, b in ((0, 5), (5, 8))]
+    got = list(spectra._chunks(batches))
+    assert [h[of == i].tolist() for pos, of, h in got for i in range(len(pos))] == lists
+    assert np.concatenate([pos for pos, _, _ in got]).tolist() == list(range(8)) and max(len(pos) for pos, _, _ in got) <= 3
+
+
 def test_large_sets_of_texts_take_the_quadrature(spark, monkeypatch):
     monkeypatch.setattr(scorers, "EXACT_TEXTS", 20)
     df = spark.createDataFrame([(i, f"a b c w{i % 7} d") for i in range(40)], "id long, text string")
