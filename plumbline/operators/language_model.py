@@ -11,17 +11,22 @@ million, and would then count as one word.  No table is ever on one task or the
 totals) reach it.  Distinct n-grams are scored level by level, so a join key has at most as many rows as there are
 different words, however often an n-gram occurs; the last join, from texts to their scored
 trigrams, is left to adaptive execution, which splits the side of the texts.
+
+``perplexity_under`` keeps no model: trigrams travel packed to the bucket of their middle word, where
+all counts but those of single words are complete, and a bucket returns only what is asked.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.heads import perplexity
-from plumbline.staging import staged
+from plumbline.operators.spectra import _bytes, _numbers, _runs
+from plumbline.staging import remove_staged, staged
 
 BEGIN, END = "<s>", "</s>"
 #: Discounts where a corpus is too small for its counts of counts to give any.
@@ -53,7 +58,10 @@ def _trigrams(df: DataFrame, keys: list[str], sentences: str) -> DataFrame:
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
     """The three discounts of an order from how many n-grams were counted once to four times."""
-    t = {r["c"]: r["n"] for r in counts.where("c <= 4").groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return _discounts({r["c"]: r["n"] for r in counts.where("c <= 4").groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()})
+
+
+def _discounts(t: dict[int, int]) -> tuple[float, float, float]:
     if any(t.get(k, 0) == 0 for k in (1, 2, 3, 4)):
         return FALLBACK
     y = t[1] / (t[1] + 2 * t[2])
@@ -61,9 +69,9 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return found if all(0 <= d <= k for k, d in zip((1, 2, 3), found, strict=True)) else FALLBACK
 
 
-def _discount(d: tuple[float, float, float]) -> Column:
+def _discount(d: tuple[float, float, float], c: str = "c") -> Column:
     """Null without a count."""
-    c = F.col("c")
+    c = F.col(c)
     return F.when(c == 1, d[0]).when(c == 2, d[1]).when(c > 2, d[2])
 
 
@@ -172,3 +180,214 @@ def train(df: DataFrame, sentences: str) -> LanguageModel:
         raise ValueError("no sentence to learn from")
     names = _words(df, [], sentences).select(F.explode("t").alias("word")).distinct().select(F.xxhash64("word").alias("h"), "word")
     return LanguageModel(raw, c2, c1, names, (d1, d2, d3), total, freed / total / (words + 1))
+
+
+# ------------------------------------------------------------------ without a model
+
+#: Words that are packed at a time, trigrams of a bucket, trigrams that a task unpacks at a time, and buckets up to which those stay small.
+_CHUNK, _BUCKET, _UNPACKED, _BUCKETS = 3_000_000, 2_000_000, 4_000_000, 128
+_PACKED = "bucket int, asked boolean, size long, names binary, v binary, w binary, u binary, c binary"
+_FOUND = "kind int, u long, v long, w long, c long, c2 long, t2 long, a2 long, b2 long, m2 long, t3 long, a3 long, b3 long, m3 long"
+_COLUMNS = [x.split()[0] for x in _FOUND.split(", ")[1:]]
+
+
+def _sentences(batches, begin: int, end: int):
+    """``t, first``: words of some sentences with their beginnings and ends, and whether a word is a beginning."""
+    held, size = [], 0
+
+    def made():
+        lengths, values = (np.concatenate(x) for x in zip(*held, strict=True))
+        at = np.cumsum(lengths + 2)
+        t, first, last = np.empty(int(at[-1]), np.uint64), np.zeros(int(at[-1]), bool), np.zeros(int(at[-1]), bool)
+        first[at - lengths - 2], last[at - 1] = True, True
+        t[first], t[last], t[~(first | last)] = begin, end, values
+        return t, first
+
+    for batch in batches:
+        lines = batch.column(0).flatten()
+        lengths, values = np.diff(lines.offsets.to_numpy()), lines.flatten().to_numpy().view(np.uint64)
+        ends, i = np.cumsum(lengths + 2), 0
+        while i < len(lengths):
+            began = ends[i] - lengths[i] - 2
+            j = max(i + 1, int(np.searchsorted(ends, began + _CHUNK - size, "right")))
+            at = began - 2 * i
+            held.append((lengths[i:j], values[at : ends[j - 1] - 2 * j].copy()))
+            size, i = size + int(ends[j - 1] - began), j
+            if size >= _CHUNK or i < len(lengths):
+                yield made()
+                held, size = [], 0
+    if held:
+        yield made()
+
+
+def _pack(df: DataFrame, sentences: str, buckets: int, asked: bool, begin: int, end: int) -> DataFrame:
+    """Different trigrams of a chunk by the bucket of their middle word: names in order, places in them of v, w and u (one more; 0 is none), and counts."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for t, first in _sentences(batches, begin, end):
+            here = ~first[1:]
+            v, w = t[:-1][here], t[1:][here]
+            u, start = np.concatenate([np.zeros(1, np.uint64), t[:-2]])[here], first[:-1][here]
+            into = (v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            at = np.argsort(into, kind="stable")
+            bounds = np.searchsorted(into[at], np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(bounds)):
+                k = at[bounds[b] : bounds[b + 1]]
+                names, place = np.unique(np.concatenate([v[k], w[k], u[k]]), return_inverse=True)
+                x, y, z = place.reshape(3, -1)
+                found = _triples(x, y, np.where(start[k], 0, z + 1), np.ones(len(k), np.int64))
+                arrays = [np.diff(names, prepend=np.uint64(0)), *(x.astype(np.int32) for x in (np.diff(found[0], prepend=0), *found[1:3])), found[3]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int32()), pa.array([asked]), pa.array([len(found[0])], pa.int64())] + [pa.array([_bytes(x)], pa.binary()) for x in arrays], names=["bucket", "asked", "size", "names", "v", "w", "u", "c"]
+                )
+
+    hashes = F.transform(sentences, lambda s: F.transform(s, lambda w: F.xxhash64(w)))
+    return df.select(F.coalesce(hashes, F.array().cast("array<array<long>>")).alias("h")).mapInArrow(run, _PACKED)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where the values of ordered columns change."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _triples(v: np.ndarray, w: np.ndarray, u: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different places ``v, w, u`` in order, and the sums of their counts."""
+    bits = [max(1, int(x.max(initial=0)).bit_length()) for x in (v, w, u)]
+    if sum(bits) <= 63:
+        at = np.argsort((v.astype(np.int64) << bits[1] | w) << bits[2] | u)
+    else:
+        at = np.lexsort((u, w, v))
+    v, w, u, c = v[at], w[at], u[at], c[at]
+    s = _starts(v, w, u)
+    return v[s], w[s], u[s], np.add.reduceat(c, s) if len(s) else c
+
+
+def _numbered(key: np.ndarray, c: np.ndarray, into: np.ndarray) -> np.ndarray:
+    """For each place of ``into`` in the list of keys asked, the total of ``c`` and how many are 1, 2 and more."""
+    at = np.minimum(np.searchsorted(into, key), max(len(into) - 1, 0))
+    ok = into[at] == key if len(into) else np.zeros(len(key), bool)
+    at, c = at[ok], c[ok]
+    return np.stack([np.bincount(at, x, len(into)) for x in (c, c == 1, c == 2, c > 2)]).astype(np.int64)
+
+
+def _bucket(blobs: list[tuple]):
+    """Rows ``_FOUND`` of a bucket: ``0`` words with the number of pairs they end, ``2`` and ``3`` counts of counts, ``1`` what is asked."""
+    none = np.zeros(0, np.int64)
+    named = [np.cumsum(_numbers(x[2], np.uint64), dtype=np.uint64) for x in blobs]
+    names = np.unique(np.concatenate(named))
+    total = sum(size for asked, size, *_ in blobs if not asked)
+    parts = max(1, -(-total // _UNPACKED))
+
+    def unpacked(kind: bool, part: int | None):
+        held = []
+        for (asked, _, _, v, w, u, c), own in zip(blobs, named, strict=True):
+            if asked != kind:
+                continue
+            to = np.searchsorted(names, own)
+            v, w, u, c = np.cumsum(_numbers(v, np.int32), dtype=np.int64), _numbers(w, np.int32), _numbers(u, np.int32), _numbers(c, np.int64)
+            keep = slice(None) if part is None or parts == 1 else to[w] % parts == part
+            held.append((to[v][keep], to[w][keep], np.where(u == 0, 0, to[u - 1] + 1)[keep], c[keep]))
+        return _triples(*(np.concatenate(x) for x in zip(*held, strict=True))) if held else (none,) * 4
+
+    av, aw, au, _ = unpacked(True, None)
+    size = np.int64(len(names) + 1)  # keys of two places
+    contexts, firsts, pairs, triples = np.unique(av * size + au), np.unique(av), np.unique(av * size + aw), av * size + aw
+    of3, of2 = np.zeros((4, len(contexts)), np.int64), np.zeros((4, len(firsts)), np.int64)
+    c3, before, starting = np.zeros(len(av), np.int64), np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+    ends, hist = np.zeros(len(names), np.int64), np.zeros((2, 5), np.int64)
+    asked_at = np.searchsorted(pairs, triples)
+    asked_key = asked_at * size + au  # in order, as triples are
+    for part in range(parts):
+        v, w, u, c = unpacked(False, part)
+        inner = u > 0
+        hist[1] += np.bincount(np.minimum(c[inner], 5), minlength=6)[:5]
+        of3 += _numbered(v[inner] * size + u[inner], c[inner], contexts)
+        key = v * size + w
+        # those with a word before count the words before, those at a beginning their occurrences
+        s = _starts(key[inner])
+        k2 = key[inner][s]
+        n2 = np.diff(np.append(s, int(inner.sum())))
+        for k, n, into in ((k2, n2, before), (key[~inner], c[~inner], starting)):
+            hist[0] += np.bincount(np.minimum(n, 5), minlength=6)[:5]
+            of2 += _numbered(k // size, n, firsts)
+            ends += np.bincount(k % size, minlength=len(names))
+            into += _numbered(k, n, pairs)[0]
+        at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0))
+        ok = inner & (pairs[at] == key) if len(pairs) else np.zeros(len(key), bool)
+        c3 += _numbered(at[ok] * size + u[ok], c[ok], asked_key)[0]
+    empty = dict.fromkeys(_COLUMNS)
+    signed = names.view(np.int64)
+    some = np.flatnonzero(ends)
+    yield 0, empty | {"w": signed[some], "c": ends[some]}
+    for k in (2, 3):
+        yield k, empty | {"w": np.arange(1, 5), "c": hist[k - 2, 1:]}
+    if not len(av):
+        return
+    f, x = np.searchsorted(firsts, av), np.searchsorted(contexts, av * size + au)
+    both = np.stack([before[asked_at], starting[asked_at]])
+    # a pair with counts of both kinds (a text with the word of a beginning) has both
+    for count, rows in ((both[0], (both[0] > 0) | (both[1] == 0)), (both[1], both[1] > 0)):
+        if rows.any():
+            got = {"v": signed[av], "w": signed[aw], "c": c3, "c2": count, "t2": of2[0][f], "a2": of2[1][f], "b2": of2[2][f], "m2": of2[3][f], "t3": of3[0][x], "a3": of3[1][x], "b3": of3[2][x], "m3": of3[3][x]}
+            got = {k: y[rows] for k, y in got.items()}
+            yield 1, got | {"u": np.ma.masked_array(signed[np.maximum(au - 1, 0)], au == 0)[rows]}
+
+
+def perplexity_under(corpus: DataFrame, df: DataFrame, keys: list[str], sentences: str) -> DataFrame:
+    """``keys, length, perplexity`` of each row under a model of the corpus, as ``train(corpus, sentences).perplexity(df, keys, sentences)``."""
+    spark = corpus.sparkSession
+    begin, end = (x % (1 << 64) for x in spark.range(1).select(F.xxhash64(F.lit(BEGIN)), F.xxhash64(F.lit(END))).first())
+    size = corpus.agg(F.sum(F.aggregate(sentences, F.lit(0), lambda n, s: n + F.size(s) + 1))).first()[0]
+    if not size:
+        raise ValueError("no sentence to learn from")
+    least = spark.sparkContext.defaultParallelism if size > _BUCKET else 1
+    buckets = max(least, min(-(-size // _BUCKET), max(_BUCKETS, -(-size // (8 * _BUCKET)))))
+
+    def counted(batches):
+        import pyarrow as pa
+
+        held: dict[int, list] = {}
+        for batch in batches:
+            for b, *x in zip(*[batch.column(c).to_pylist() for c in ("bucket", "asked", "size", "names", "v", "w", "u", "c")], strict=True):
+                held.setdefault(b, []).append(tuple(x))
+        for b in sorted(held):
+            for kind, got in _bucket(held.pop(b)):
+                n = len(got["w"])
+                for i in range(0, n, 1 << 16):
+                    cut = lambda x, i=i: pa.nulls(min(n - i, 1 << 16), pa.int64()) if x is None else pa.array(np.ma.getdata(x[i : i + (1 << 16)]), pa.int64(), mask=np.ma.getmaskarray(x[i : i + (1 << 16)]))  # noqa: E731, B023
+                    columns = {c: cut(got[c]) for c in _COLUMNS}
+                    yield pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(columns["w"]), kind), pa.int32()), **columns})
+
+    packed = _pack(corpus, sentences, buckets, False, begin, end).unionByName(_pack(df, sentences, buckets, True, begin, end))
+    found = staged(packed.repartitionById(buckets, F.col("bucket")).mapInArrow(counted, _FOUND), "found")
+    c1 = staged(found.where("kind = 0").groupBy("w").agg(F.sum("c").alias("c")), "unigrams")
+    d1 = discounts(c1)
+    total, freed, words = c1.agg(F.sum("c"), F.sum(_discount(d1)), F.count(F.lit(1))).first()
+    unknown = freed / total / (words + 1)
+    hist: dict[int, dict[int, int]] = {2: {}, 3: {}}
+    for r in found.where("kind > 1").groupBy("kind", "w").agg(F.sum("c").alias("c")).collect():
+        hist[r.kind][r.w] = r.c
+    d2, d3 = (_discounts(hist[k]) for k in (2, 3))
+
+    def order(c: str, k: int, d: tuple[float, float, float]) -> tuple[Column, Column]:
+        """What an order's own counts give, and the share of the order below; all of it without the context."""
+        t, own = F.col(f"t{k}"), (F.col(c) - F.coalesce(_discount(d, c), F.lit(0.0)))
+        free = F.col(f"a{k}") * d[0] + F.col(f"b{k}") * d[1] + F.col(f"m{k}") * d[2]
+        return F.when(t > 0, own / t).otherwise(0.0), F.when(t > 0, free / t).otherwise(1.0)
+
+    (own3, free3), (own2, free2) = order("c", 3, d3), order("c2", 2, d2)
+    rest = found.where("kind = 1").select("u", "v", "w", (own3 + free3 * own2).alias("__own"), (free3 * free2).alias("__share"))
+    p1 = F.coalesce((F.col("c") - _discount(d1)) / total + unknown, F.lit(unknown))
+    each = rest.join(c1, "w", "left").select(F.col("u").alias("__u"), F.col("v").alias("__v"), F.col("w").alias("__w"), F.log10(F.col("__own") + F.col("__share") * p1).alias("__l"))
+    each = staged(each, "each")
+    for table in (found, c1):
+        remove_staged(table)
+    same = F.col("u").eqNullSafe(F.col("__u")) & (F.col("v") == F.col("__v")) & (F.col("w") == F.col("__w"))
+    scored = _trigrams(df, keys, sentences).join(each, same).groupBy(*keys).agg(F.sum("__l").alias("log10"), F.count(F.lit(1)).alias("length"))
+    return scored.select(*keys, "length", perplexity(F.col("log10"), F.col("length")).alias("perplexity"))

@@ -81,6 +81,38 @@ def test_language_model_equals_a_plain_one(spark):
     assert context.agg(F.sum("p")).first()[0] + free * (rest + model.unknown) == pytest.approx(1)
 
 
+def test_perplexity_without_a_model_equals_a_plain_one(spark, monkeypatch):
+    """Chunks, buckets and parts of a bucket smaller than the texts."""
+    monkeypatch.setattr(language_model, "_BUCKET", 400)
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(60)]
+    texts = ["\n".join(" ".join(rng.choices(words, [1 / (i + 1) for i in range(60)], k=rng.randint(0, 12))) for _ in range(rng.randint(1, 4))) for _ in range(200)]
+    asked = [*texts[:40], "", "unknown w1 w2", "w1 unknown w2 w3\n\nw0", "w0 " * 50, None]
+    log10 = plain_model(texts)
+    sentences = language_model.sentence_words(F.col("text")).alias("s")
+    corpus = spark.createDataFrame([(t,) for t in texts], "text string").select(sentences)
+    rows = spark.createDataFrame(list(enumerate(asked)), "id long, text string").select("id", sentences)
+    got = {r.id: r for r in language_model.perplexity_under(corpus, rows, ["id"], "s").collect()}
+    for i, t in enumerate(asked):
+        want, n = log10(t or "")
+        assert got[i].length == n and got[i].perplexity == pytest.approx(10 ** (-want / n), abs=0.0501)  # given to one place
+    with pytest.raises(ValueError):
+        language_model.perplexity_under(corpus.limit(0), rows, ["id"], "s")
+
+
+def test_trigrams_travel_packed(spark, monkeypatch):
+    """Different trigrams of one chunk take a few bytes each, and parts of a bucket give what the whole gives."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 5000}" for _ in range(400)) for _ in range(100)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(language_model.sentence_words(F.col("text")).alias("s")).coalesce(1)
+    begin, end = (x % (1 << 64) for x in spark.range(1).select(F.xxhash64(F.lit("<s>")), F.xxhash64(F.lit("</s>"))).first())
+    made = [tuple(r)[1:] for kind in (False, True) for r in language_model._pack(rows, "s", 1, kind, begin, end).collect()]
+    assert sum(len(x) for r in made[:1] for x in r[2:]) < 7 * made[0][1]
+    whole = [(k, {c: None if x is None else np.ma.getdata(x).tolist() for c, x in r.items()}) for k, r in language_model._bucket(made)]
+    monkeypatch.setattr(language_model, "_UNPACKED", 5000)
+    assert whole == [(k, {c: None if x is None else np.ma.getdata(x).tolist() for c, x in r.items()}) for k, r in language_model._bucket(made)]
+
+
 def test_language_model_is_kept(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a b a c\nb a"), (2, None)], "id long, text string").select("id", language_model.sentence_words(F.col("text")).alias("s"))
     model = language_model.train(rows, "s")
