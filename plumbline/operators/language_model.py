@@ -185,7 +185,7 @@ def train(df: DataFrame, sentences: str) -> LanguageModel:
 # ------------------------------------------------------------------ without a model
 
 #: Words that are packed at a time, trigrams of a bucket, trigrams that a task unpacks at a time, and buckets up to which those stay small.
-_CHUNK, _BUCKET, _UNPACKED, _BUCKETS = 3_000_000, 2_000_000, 4_000_000, 128
+_CHUNK, _BUCKET, _UNPACKED, _BUCKETS = 2_000_000, 2_000_000, 2_000_000, 128
 _PACKED = "bucket int, asked boolean, size long, names binary, v binary, w binary, u binary, c binary"
 _FOUND = "kind int, u long, v long, w long, c long, c2 long, t2 long, a2 long, b2 long, m2 long, t3 long, a3 long, b3 long, m3 long"
 _COLUMNS = [x.split()[0] for x in _FOUND.split(", ")[1:]]
